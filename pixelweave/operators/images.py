@@ -6,10 +6,12 @@ each row is a few NumPy calls on a view of the Arrow buffer.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pixelweave import fixed
@@ -45,14 +47,31 @@ def _struct_pixels(images: pa.StructArray) -> Iterator[np.ndarray | None]:
         yield np.frombuffer(raw, np.uint8).reshape(shape) if valid else None
 
 
+def _decoded(content: bytes, decode: Decoder) -> np.ndarray | None:
+    try:
+        return decode(content)
+    except ImportError:
+        raise
+    except Exception:  # a file that cannot be decoded is a dropped row
+        return None
+
+
 def _content_pixels(contents: pa.Array, decode: Decoder) -> Iterator[np.ndarray | None]:
     for content in contents:
+        yield _decoded(content.as_py(), decode)
+
+
+def _file_pixels(paths: pa.Array, decode: Decoder) -> Iterator[np.ndarray | None]:
+    for path in paths.to_pylist():
+        # Hadoop writes local paths as "file:/x", Arrow as "file:///x".
+        filesystem, place = pafs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", path))
         try:
-            yield decode(content.as_py())
-        except ImportError:
-            raise
-        except Exception:  # a file that cannot be decoded is a dropped row
+            with filesystem.open_input_stream(place) as file:
+                content = file.read()
+        except FileNotFoundError:
             yield None
+        else:
+            yield _decoded(content, decode)
 
 
 def _tensor_rows(
@@ -63,8 +82,9 @@ def _tensor_rows(
     w: int,
     mean: Sequence[float],
     std: Sequence[float],
+    keep_input: bool = False,
 ) -> DataFrame:
-    keep = [c for c in df.columns if c != column]
+    keep = [c for c in df.columns if c != column or keep_input]
     flush_at = max(1, MAX_BLOCK_BYTES // (h * w * 3 * FLOAT.itemsize))
 
     def transform(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -122,6 +142,26 @@ def content_to_tensor(
     return _tensor_rows(df, content, lambda c: _content_pixels(c, decoder), h, w, mean, std)
 
 
+def path_to_tensor(
+    df: DataFrame,
+    h: int = fixed.IMAGE_SHAPE[0],
+    w: int = fixed.IMAGE_SHAPE[1],
+    mean: Sequence[float] = fixed.CHANNEL_MEAN,
+    std: Sequence[float] = fixed.CHANNEL_STD,
+    path: str = "path",
+    decode: Decoder | None = None,
+) -> DataFrame:
+    """Add the tensor of the image file each row names; missing files are dropped.
+
+    Only narrow rows are filtered, numbered and shuffled before this step, and pixels are
+    never shuffled at all. The files must be reachable by all executors.
+    """
+    decoder = decode or opencv_decode
+    return _tensor_rows(
+        df, path, lambda p: _file_pixels(p, decoder), h, w, mean, std, keep_input=True
+    )
+
+
 def opencv_decode(content: bytes) -> np.ndarray | None:
     """Three-channel BGR pixels by way of OpenCV, where that is installed."""
     import cv2

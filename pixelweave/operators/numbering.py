@@ -20,6 +20,9 @@ Order = str | Column | Sequence["str | Column"]
 _ROW_BITS = 33
 _SLOT = "__slot"
 
+# Rows of a few short columns that may be sent to every executor.
+_FEW_ROWS = 100_000
+
 
 def _columns(spec: Order) -> list:
     return [spec] if isinstance(spec, (str, Column)) else list(spec)
@@ -45,6 +48,14 @@ def _starts(table: DataFrame, amount: Column) -> Column:
     return F.lit(starts).cast("array<bigint>")
 
 
+def broadcast_if_few(df: DataFrame, most: int = _FEW_ROWS) -> DataFrame:
+    """Mark ``df`` for broadcast after counting that it has at most ``most`` rows.
+
+    A longer table is returned unmarked, and Catalyst joins it by shuffling.
+    """
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+
+
 def with_position(
     df: DataFrame, order_by: Order, by: Order = (), name: str = "pos"
 ) -> DataFrame:
@@ -66,7 +77,7 @@ def with_position(
     first = numbered.groupBy(*groups).agg(F.min(name).alias("__first"))
     first = first.withColumnsRenamed({g: f"__{g}" for g in groups})
     same_group = [F.col(g).eqNullSafe(F.col(f"__{g}")) for g in groups]
-    shifted = numbered.join(first, same_group, "inner")
+    shifted = numbered.join(broadcast_if_few(first), same_group, "inner")
     return shifted.withColumn(name, F.col(name) - F.col("__first")).select(*numbered.columns)
 
 
