@@ -27,13 +27,20 @@ def three_channels(pixels: np.ndarray) -> np.ndarray:
     return np.repeat(pixels, 3, axis=-1) if channels == 1 else pixels[..., :3]
 
 
-def pixels_to_tensor(
-    bgr: np.ndarray, h: int, w: int, mean: Sequence[float], std: Sequence[float]
-) -> np.ndarray:
-    """BGR pixels to a standardised RGB tensor. Resized pixels are whole numbers again."""
-    rgb = swap_channels(three_channels(bgr))
-    resized = np.floor(bilinear(rgb, h, w) + 0.5)
-    return normalise(resized / fixed.PIXEL_MAX, mean, std).astype(FLOAT)
+def pixel_table(mean: Sequence[float], std: Sequence[float]) -> np.ndarray:
+    """Standardised value of each 8-bit level, for the channels in R, G, B order."""
+    levels = np.arange(int(fixed.PIXEL_MAX) + 1) / fixed.PIXEL_MAX
+    return normalise(levels[:, None], mean, std).astype(FLOAT).T
+
+
+def pixels_to_tensor(bgr: np.ndarray, h: int, w: int, table: np.ndarray) -> np.ndarray:
+    """BGR pixels to a standardised RGB tensor.
+
+    Resized pixels are rounded to whole levels, so the rest is a table lookup.
+    """
+    levels = (bilinear(three_channels(bgr), h, w) + 0.5).astype(np.intp)
+    rows = np.arange(3)[::-1] * table.shape[1]
+    return swap_channels(table.ravel()[levels + rows])
 
 
 def _struct_pixels(images: pa.StructArray) -> Iterator[np.ndarray | None]:
@@ -85,6 +92,7 @@ def _tensor_rows(
     keep_input: bool = False,
 ) -> DataFrame:
     keep = [c for c in df.columns if c != column or keep_input]
+    table = pixel_table(mean, std)
     flush_at = max(1, MAX_BLOCK_BYTES // (h * w * 3 * FLOAT.itemsize))
 
     def transform(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -100,7 +108,7 @@ def _tensor_rows(
                 if image is None:
                     continue
                 rows.append(i)
-                tensors.append(pixels_to_tensor(image, h, w, mean, std))
+                tensors.append(pixels_to_tensor(image, h, w, table))
                 if len(rows) == flush_at:
                     yield ready()
                     rows, tensors = [], []

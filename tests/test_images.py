@@ -28,7 +28,14 @@ def pixels(h, w, c=3):
 
 
 def expected(rgb, h, w):
-    return images.pixels_to_tensor(rgb[..., ::-1], h, w, fixed.CHANNEL_MEAN, fixed.CHANNEL_STD)
+    table = images.pixel_table(fixed.CHANNEL_MEAN, fixed.CHANNEL_STD)
+    return images.pixels_to_tensor(rgb[..., ::-1], h, w, table)
+
+
+def test_tensor_of_known_pixels():
+    rgb = pixels(3, 4)
+    want = (rgb / 255 - np.array(fixed.CHANNEL_MEAN)) / np.array(fixed.CHANNEL_STD)
+    assert np.allclose(expected(rgb, 3, 4), want, atol=1e-6)
 
 
 @pytest.fixture()
@@ -165,7 +172,7 @@ def test_both_decoding_ways_agree(spark, tmp_path):
     (tmp_path / "train").mkdir()
     for i in range(12):
         image = pixels(3, 4)
-        (tmp_path / "train" / f"coco_{i:06d}.jpg").write_bytes(ppm(image) if i != 5 else b"broken")
+        (tmp_path / "train" / f"coco_{i:06d}.jpg").write_bytes(ppm(image) if i != 4 else b"broken")
     (tmp_path / "train" / "labels.json").write_text(json.dumps(["cat", "dog", "zebra"] * 4))
     chosen = jobs.select_images(spark, str(tmp_path), CLASSES, {"train": 100}, 4)
     by_path = images.path_to_tensor(chosen, 2, 2, decode=ppm_decode)
