@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from pixelweave.functions import labels as L
 from pixelweave.operators.numbering import Order, with_position
+from pixelweave.workspace import one_row
 
 # Positions per bin of the range assignment, and the most bins one range may span.
 _BIN = 4096
@@ -23,7 +24,7 @@ _MAX_BINS_PER_RANGE = 100_000
 def class_list(spark: SparkSession, classes: Sequence, label: str = "label") -> DataFrame:
     """Class list as a table ``(class_idx, label)``."""
     literal = F.array(*[F.lit(c) for c in classes])
-    return spark.range(1).select(F.posexplode(literal).alias("class_idx", label))
+    return one_row(spark).select(F.posexplode(literal).alias("class_idx", label))
 
 
 def zip_by_position(

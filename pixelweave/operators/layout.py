@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from pixelweave import fixed
 from pixelweave.operators.numbering import Order, _columns, running_total, with_position
+from pixelweave.workspace import one_row
 
 # A sorted limit keeps this many rows per task and merges them in one task. Larger limits
 # go through positions, which need no merging task.
@@ -67,7 +68,7 @@ def first_gap(ids: DataFrame, column: str = "chunk_id") -> DataFrame:
     ordering the ids.
     """
     present = ids.select(F.col(column).alias("id")).distinct()
-    zero = ids.sparkSession.range(1).select(F.col("id").cast("bigint"))
+    zero = one_row(ids.sparkSession).select(F.col("id").cast("bigint"))
     following = present.select((F.col("id") + 1).alias("id")).unionByName(zero)
     return following.join(present, "id", "left_anti").agg(F.min("id").alias("first_gap"))
 

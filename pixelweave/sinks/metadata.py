@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pixelweave import fixed, schemas
 from pixelweave.functions.labels import label_lookup
+from pixelweave.workspace import one_row
 
 
 def batch_info(df: DataFrame, batch_dir: str, label: str = "label") -> DataFrame:
@@ -39,7 +40,7 @@ def run_config(
 def label_map(spark: SparkSession, classes: Sequence = fixed.TARGET_CLASSES) -> DataFrame:
     """One JSON object of label to index."""
     pairs = [x for label, idx in label_lookup(classes).items() for x in (F.lit(label), F.lit(idx))]
-    return spark.range(1).select(F.to_json(F.create_map(*pairs)).alias("value"))
+    return one_row(spark).select(F.to_json(F.create_map(*pairs)).alias("value"))
 
 
 def write_meta(df: DataFrame, path: str) -> None:

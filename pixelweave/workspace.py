@@ -31,6 +31,11 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_scratch()
 
 
+def one_row(spark: SparkSession) -> DataFrame:
+    """One row ``(id = 0)`` in one partition, to hang literals on."""
+    return spark.range(0, 1, 1, numPartitions=1)
+
+
 def fresh_path(spark: SparkSession, purpose: str) -> str:
     """A path nobody has used before, under the shared folder."""
     return f"{shared_dir(spark)}/pixelweave/{purpose}-{uuid.uuid4().hex}"

@@ -17,3 +17,22 @@ def spark():
     session = local_session("tests", cpus=min(8, os.cpu_count() or 1))
     yield session
     session.stop()
+
+
+@pytest.fixture(params=["adaptive", "many partitions", "not adaptive"])
+def any_plan(request, spark):
+    """Run a test under plans that keep small data in one or in many sort partitions."""
+    settings = {
+        "adaptive": {},
+        "many partitions": {"spark.sql.adaptive.coalescePartitions.enabled": "false"},
+        "not adaptive": {
+            "spark.sql.adaptive.enabled": "false",
+            "spark.sql.autoBroadcastJoinThreshold": "-1",
+        },
+    }[request.param]
+    before = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield request.param
+    for key, value in before.items():
+        spark.conf.set(key, value)

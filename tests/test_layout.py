@@ -6,7 +6,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from pixelweave.operators import aggregates as A, joins, layout, sets
-from pixelweave.operators.numbering import running_total, with_position
+from pixelweave.operators.numbering import (
+    _sort_partition,
+    _sorted_table,
+    running_total,
+    with_position,
+)
 from pixelweave.sources import chunks as scans
 
 
@@ -15,18 +20,24 @@ def table(spark, rows, schema):
 
 
 @pytest.mark.parametrize("partitions", [1, 3, 16])
-def test_positions_do_not_depend_on_partitions(spark, partitions):
+def test_positions_do_not_depend_on_partitions(any_plan, spark, partitions):
     names = [f"coco_{random.Random(5).random()}_{i:04d}" for i in range(700)]
     df = table(spark, [(n,) for n in names], "path string").repartition(partitions)
     got = {r["path"]: r["pos"] for r in with_position(df, "path").collect()}
     assert got == {n: i for i, n in enumerate(sorted(names))}
 
 
+def test_small_tables_can_be_numbered_over_many_partitions(any_plan, spark):
+    table = _sorted_table(spark.range(4000).repartition(6), ["id"])
+    used = table.select(_sort_partition().alias("p")).distinct().count()
+    assert used == 1 if any_plan == "adaptive" else used > 1
+
+
 def test_positions_of_an_empty_table(spark):
     assert with_position(spark.range(0), "id").count() == 0
 
 
-def test_positions_in_groups_of_very_different_size(spark):
+def test_positions_in_groups_of_very_different_size(any_plan, spark):
     # One group holds a third of the rows, another is null.
     rows = [("hot" if i % 3 == 0 else None if i % 3 == 1 else f"g{i}", i) for i in range(3000)]
     got = with_position(table(spark, rows, "g string, i int"), "i", by="g").collect()
@@ -37,7 +48,7 @@ def test_positions_in_groups_of_very_different_size(spark):
     assert len(got) == 3000
 
 
-def test_positions_with_equal_leading_keys(spark):
+def test_positions_with_equal_leading_keys(any_plan, spark):
     df = spark.range(5000).select((F.col("id") % 2).alias("k"), "id")
     got = with_position(df, ["k", "id"]).collect()
     want = sorted((r["k"], r["id"]) for r in got)
@@ -45,7 +56,7 @@ def test_positions_with_equal_leading_keys(spark):
     assert sorted(r["pos"] for r in got) == list(range(5000))
 
 
-def test_running_total(spark):
+def test_running_total(any_plan, spark):
     rng = random.Random(3)
     rows = [(i, rng.randrange(0, 9)) for i in range(2000)]
     rng.shuffle(rows)
@@ -66,7 +77,7 @@ def test_steps_per_epoch(spark, n, want):
     assert A.steps_per_epoch(spark.range(n)).first()["steps"] == want
 
 
-def test_chunks_are_full_but_the_last(spark):
+def test_chunks_are_full_but_the_last(any_plan, spark):
     df = layout.assign_chunk(with_position(spark.range(1234), "id"))
     sizes = {r["chunk_id"]: r["n"] for r in A.block_size(df).collect()}
     assert sizes == {i: 50 if i < 24 else 34 for i in range(25)}
@@ -80,7 +91,7 @@ def test_tolerant_and_prefix_scan_differ_on_a_gap(spark):
 
 
 @pytest.mark.parametrize("ids,want", [([], 0), ([1, 2], 0), ([0], 1), ([0, 1, 2], 3), ([0, 2, 5], 1)])
-def test_first_gap(spark, ids, want):
+def test_first_gap(any_plan, spark, ids, want):
     df = table(spark, [(i,) for i in ids], "chunk_id bigint")
     assert layout.first_gap(df).first()["first_gap"] == want
     assert scans.read_chunk_prefix(df).count() == sum(i < want for i in ids)
@@ -114,7 +125,7 @@ def test_filter_then_limit_and_limit_then_filter(spark, n):
     assert before == [i for i in ids[: max(n, 0)] if i % 2 == 0]
 
 
-def test_caps_per_split(spark):
+def test_caps_per_split(any_plan, spark):
     rows = [(s, f"{s}{i:03d}") for s, n in (("train", 90), ("test", 9), ("other", 5)) for i in range(n)]
     df = table(spark, rows, "split string, path string")
     got = layout.cap_per_split(df, {"train": 20, "test": 10, "validation": 3}).collect()
@@ -124,7 +135,7 @@ def test_caps_per_split(spark):
 
 
 @pytest.mark.parametrize("sizes", [[5, 0, 7, 1], [9000, 1, 0, 3, 4095, 2], [1] * 300])
-def test_range_assignment(spark, sizes):
+def test_range_assignment(any_plan, spark, sizes):
     ends = [sum(sizes[: i + 1]) for i in range(len(sizes))]
     ranges = table(
         spark,
@@ -152,7 +163,7 @@ def test_zip_stops_at_the_shorter_side(spark, left, right, want):
     assert joins.zip_by_position(a, b, "id", "other").count() == want
 
 
-def test_realign_report_counts_missing_labels(spark):
+def test_realign_report_counts_missing_labels(any_plan, spark):
     images = table(spark, [(0, 0), (0, 1), (1, 2)], "chunk_id bigint, pos bigint")
     labels = table(spark, [(0, 0), (1, 2), (1, 3)], "chunk_id bigint, pos bigint")
     rows = joins.realign_report(images, labels).collect()
@@ -161,7 +172,7 @@ def test_realign_report_counts_missing_labels(spark):
     assert joins.realign(images, labels).count() == 2
 
 
-def test_shuffle_is_a_reproducible_permutation(spark):
+def test_shuffle_is_a_reproducible_permutation(any_plan, spark):
     rows = layout.repeat_epochs(spark.range(300), 2)
     first = {(r["epoch"], r["id"]): r["pos"] for r in layout.shuffle_seeded(rows, 1, "id", "epoch").collect()}
     again = layout.shuffle_seeded(rows.repartition(5), 1, "id", "epoch").collect()
