@@ -17,6 +17,7 @@ import pyarrow.compute as pc
 MAX_BLOCK_BYTES = 32 << 20
 
 FLOAT = np.dtype("<f4")
+PIXEL = np.dtype("u1")
 
 
 def block_of(column: pa.Array, dtype: np.dtype, shape: tuple[int, ...]) -> np.ndarray:

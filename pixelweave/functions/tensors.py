@@ -14,7 +14,14 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, functions as F
 
 from pixelweave import fixed
-from pixelweave.functions.arrow import FLOAT, MAX_BLOCK_BYTES, block_of, fitting, map_block
+from pixelweave.functions.arrow import (
+    FLOAT,
+    MAX_BLOCK_BYTES,
+    PIXEL,
+    block_of,
+    fitting,
+    map_block,
+)
 
 Shape = tuple[int, int, int]
 
@@ -31,6 +38,21 @@ def _blockwise(fn: Callable[[np.ndarray], np.ndarray], shape: Shape) -> Callable
     return F.arrow_udf(apply, "binary")
 
 
+def _in_pieces(
+    kernel: Callable[[np.ndarray], np.ndarray], dtype: np.dtype, shape: Shape, out_values: int
+) -> Callable:
+    """Like ``_blockwise`` where output outgrows input: a batch leaves in bounded pieces."""
+    step = max(1, MAX_BLOCK_BYTES // (out_values * FLOAT.itemsize))
+
+    def apply(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for column in columns:
+            for at in range(0, len(column), step):
+                yield map_block(column.slice(at, step), kernel, dtype, shape)
+
+    apply.__annotations__ = {"columns": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    return F.arrow_udf(apply, "binary")
+
+
 # --- NumPy kernels, shared with the image operator -------------------------------------
 
 
@@ -80,6 +102,18 @@ def normalise(block: np.ndarray, mean: Sequence[float], std: Sequence[float]) ->
     return (block - np.asarray(mean)) / np.asarray(std)
 
 
+def pixel_table(mean: Sequence[float], std: Sequence[float]) -> np.ndarray:
+    """Standardised value of each 8-bit level, one row per channel in R, G, B order."""
+    levels = np.arange(int(fixed.PIXEL_MAX) + 1) / fixed.PIXEL_MAX
+    return normalise(levels[:, None], mean, std).astype(FLOAT).T
+
+
+def look_up(pixels: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Standardised tensor of 8-bit RGB pixels."""
+    rows = np.arange(len(table)) * table.shape[1]
+    return table.ravel()[pixels.astype(np.intp) + rows]
+
+
 # --- Arrow forms -----------------------------------------------------------------------
 
 
@@ -151,22 +185,23 @@ def standardize(
 
 
 def resize(c: Column | str, shape: Shape, h: int, w: int) -> Column:
-    """Bilinear resize to ``h`` x ``w``.
+    """Bilinear resize to ``h`` x ``w``."""
+    return _in_pieces(
+        lambda block: bilinear(block, h, w).astype(FLOAT), FLOAT, shape, h * w * shape[2]
+    )(_col(c))
 
-    Output may be far larger than input, so a batch is emitted in bounded pieces.
-    """
-    step = max(1, MAX_BLOCK_BYTES // (h * w * shape[2] * FLOAT.itemsize))
-
-    def kernel(block: np.ndarray) -> np.ndarray:
-        return bilinear(block, h, w).astype(FLOAT)
-
-    @F.arrow_udf("binary")
-    def pieces(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for column in columns:
-            for at in range(0, len(column), step):
-                yield map_block(column.slice(at, step), kernel, FLOAT, shape)
 
-    return pieces(_col(c))
+def standardize_pixels(
+    c: Column | str,
+    shape: Shape,
+    mean: Sequence[float] = fixed.CHANNEL_MEAN,
+    std: Sequence[float] = fixed.CHANNEL_STD,
+) -> Column:
+    """Tensor of 8-bit RGB pixels, which take a quarter of the storage of the tensor."""
+    table = pixel_table(mean, std)
+    return _in_pieces(
+        lambda block: look_up(block, table), PIXEL, shape, int(np.prod(shape))
+    )(_col(c))
 
 
 def as_float32(c: Column | str, array: bool = False) -> Column:

@@ -16,7 +16,7 @@ from pixelweave.functions import labels as L, tensors as T
 from pixelweave.learning import scoring, training
 from pixelweave.operators import images, layout
 from pixelweave.operators.filters import drop_bad_payload, keep_classes
-from pixelweave.operators.numbering import with_position
+from pixelweave.operators.numbering import broadcast_if_few, with_position
 from pixelweave.operators.sets import all_splits
 from pixelweave.sinks import metadata, tables
 from pixelweave.sources import chunks, files
@@ -53,17 +53,20 @@ def prepare(
 ) -> DataFrame:
     """Write the processed samples of all splits and return them.
 
-    With ``decode`` every task opens just the selected files. Without it, Spark's image
-    source decodes the folder and the selection is joined by name.
+    With a codec (``decode``, or OpenCV where installed) every task opens just the
+    selected files, and pixels are never shuffled. Without one, Spark's image source
+    decodes the whole folder; pixels are then resized before the selection is joined.
     """
     h, w, c = shape
     chosen = select_images(spark, raw_root, classes, caps, chunk_size)
-    if decode:
-        rows = images.path_to_tensor(chosen, h, w, decode=decode)
+    codec = decode or images.installed_decoder()
+    if codec:
+        rows = images.path_to_tensor(chosen, h, w, decode=codec)
     else:
         decoded = all_splits(**{s: files.decode_images(spark, raw_root, s) for s in caps})
-        picked = decoded.join(chosen.drop("path"), ["split", "name"])
-        rows = images.image_to_tensor(picked, h, w)
+        resized = images.image_to_pixels(decoded, h, w)
+        picked = resized.join(broadcast_if_few(chosen.drop("path")), ["split", "name"])
+        rows = picked.withColumn("tensor", T.standardize_pixels("pixels", shape))
     sized = rows.withColumns({"h": F.lit(h), "w": F.lit(w), "c": F.lit(c)})
     tables.write_chunks(sized.select(*schemas.PROCESSED_SAMPLE.fieldNames()), out)
     return read_processed(spark, out)

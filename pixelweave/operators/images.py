@@ -6,6 +6,7 @@ each row is a few NumPy calls on a view of the Arrow buffer.
 
 from __future__ import annotations
 
+import importlib.util
 import re
 from collections.abc import Callable, Iterator, Sequence
 
@@ -16,31 +17,22 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from pixelweave import fixed
 from pixelweave.functions.arrow import FLOAT, MAX_BLOCK_BYTES, block_of, column_of
-from pixelweave.functions.tensors import Shape, bilinear, normalise, swap_channels
+from pixelweave.functions.tensors import Shape, bilinear, look_up, pixel_table, swap_channels
 
 Decoder = Callable[[bytes], "np.ndarray | None"]
 
 
 def three_channels(pixels: np.ndarray) -> np.ndarray:
     """Grey is repeated, a fourth (alpha) channel is dropped."""
-    channels = pixels.shape[-1]
-    return np.repeat(pixels, 3, axis=-1) if channels == 1 else pixels[..., :3]
+    if pixels.ndim == 2:
+        pixels = pixels[..., None]
+    return np.repeat(pixels, 3, axis=-1) if pixels.shape[-1] == 1 else pixels[..., :3]
 
 
-def pixel_table(mean: Sequence[float], std: Sequence[float]) -> np.ndarray:
-    """Standardised value of each 8-bit level, for the channels in R, G, B order."""
-    levels = np.arange(int(fixed.PIXEL_MAX) + 1) / fixed.PIXEL_MAX
-    return normalise(levels[:, None], mean, std).astype(FLOAT).T
-
-
-def pixels_to_tensor(bgr: np.ndarray, h: int, w: int, table: np.ndarray) -> np.ndarray:
-    """BGR pixels to a standardised RGB tensor.
-
-    Resized pixels are rounded to whole levels, so the rest is a table lookup.
-    """
-    levels = (bilinear(three_channels(bgr), h, w) + 0.5).astype(np.intp)
-    rows = np.arange(3)[::-1] * table.shape[1]
-    return swap_channels(table.ravel()[levels + rows])
+def resized_pixels(bgr: np.ndarray, h: int, w: int) -> np.ndarray:
+    """8-bit RGB pixels of the target size, rounded to whole levels."""
+    resized = bilinear(three_channels(bgr), h, w) + 0.5
+    return swap_channels(resized.astype(np.uint8))
 
 
 def _struct_pixels(images: pa.StructArray) -> Iterator[np.ndarray | None]:
@@ -81,44 +73,62 @@ def _file_pixels(paths: pa.Array, decode: Decoder) -> Iterator[np.ndarray | None
             yield _decoded(content, decode)
 
 
-def _tensor_rows(
+def _image_rows(
     df: DataFrame,
     column: str,
-    pixels: Callable[[pa.Array], Iterator[np.ndarray | None]],
+    decoded: Callable[[pa.Array], Iterator[np.ndarray | None]],
     h: int,
     w: int,
-    mean: Sequence[float],
-    std: Sequence[float],
+    finish: Callable[[np.ndarray], np.ndarray],
+    output: str,
     keep_input: bool = False,
 ) -> DataFrame:
     keep = [c for c in df.columns if c != column or keep_input]
-    table = pixel_table(mean, std)
     flush_at = max(1, MAX_BLOCK_BYTES // (h * w * 3 * FLOAT.itemsize))
 
     def transform(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, tensors = [], []
+            rows, blocks = [], []
 
             def ready() -> pa.RecordBatch:
                 kept = batch.select(keep).take(pa.array(rows, pa.int64()))
-                block = column_of(np.stack(tensors))
-                return pa.RecordBatch.from_arrays([*kept.columns, block], [*keep, "tensor"])
+                done = column_of(finish(np.stack(blocks)))
+                return pa.RecordBatch.from_arrays([*kept.columns, done], [*keep, output])
 
-            for i, image in enumerate(pixels(batch.column(column))):
-                if image is None:
+            for i, image in enumerate(decoded(batch.column(column))):
+                if image is None or image.size == 0:
                     continue
                 rows.append(i)
-                tensors.append(pixels_to_tensor(image, h, w, table))
+                blocks.append(resized_pixels(image, h, w))
                 if len(rows) == flush_at:
                     yield ready()
-                    rows, tensors = [], []
+                    rows, blocks = [], []
             if rows:
                 yield ready()
 
-    schema = df.select(*keep).schema.add("tensor", "binary")
+    schema = df.select(*keep).schema.add(output, "binary")
     return df.mapInArrow(transform, schema)
 
 
+def _standardiser(mean: Sequence[float], std: Sequence[float]):
+    table = pixel_table(mean, std)
+    return lambda pixels: look_up(pixels, table)
+
+
+def image_to_pixels(
+    df: DataFrame,
+    h: int = fixed.IMAGE_SHAPE[0],
+    w: int = fixed.IMAGE_SHAPE[1],
+    image: str = "image",
+) -> DataFrame:
+    """Replace the image struct by resized 8-bit RGB ``pixels``.
+
+    They are a quarter of the size of the tensor and hold the same information; apply
+    ``standardize_pixels`` where the tensor is needed.
+    """
+    return _image_rows(df, image, _struct_pixels, h, w, lambda p: p, "pixels")
+
+
 def image_to_tensor(
     df: DataFrame,
     h: int = fixed.IMAGE_SHAPE[0],
@@ -128,7 +138,7 @@ def image_to_tensor(
     image: str = "image",
 ) -> DataFrame:
     """Replace the image struct by a ``tensor`` column; undecodable rows are dropped."""
-    return _tensor_rows(df, image, _struct_pixels, h, w, mean, std)
+    return _image_rows(df, image, _struct_pixels, h, w, _standardiser(mean, std), "tensor")
 
 
 def content_to_tensor(
@@ -147,7 +157,9 @@ def content_to_tensor(
     given.
     """
     decoder = decode or opencv_decode
-    return _tensor_rows(df, content, lambda c: _content_pixels(c, decoder), h, w, mean, std)
+    return _image_rows(
+        df, content, lambda c: _content_pixels(c, decoder), h, w, _standardiser(mean, std), "tensor"
+    )
 
 
 def path_to_tensor(
@@ -165,8 +177,15 @@ def path_to_tensor(
     never shuffled at all. The files must be reachable by all executors.
     """
     decoder = decode or opencv_decode
-    return _tensor_rows(
-        df, path, lambda p: _file_pixels(p, decoder), h, w, mean, std, keep_input=True
+    return _image_rows(
+        df,
+        path,
+        lambda p: _file_pixels(p, decoder),
+        h,
+        w,
+        _standardiser(mean, std),
+        "tensor",
+        keep_input=True,
     )
 
 
@@ -177,6 +196,11 @@ def opencv_decode(content: bytes) -> np.ndarray | None:
     return cv2.imdecode(np.frombuffer(content, np.uint8), cv2.IMREAD_COLOR)
 
 
+def installed_decoder() -> Decoder | None:
+    """The OpenCV decoder if this machine has it."""
+    return opencv_decode if importlib.util.find_spec("cv2") else None
+
+
 def uniform(seed: int, epoch: Column, key: Column, use: str) -> Column:
     """Pseudo-random number in [0, 1) from seed, epoch, row key and purpose."""
     text = F.concat_ws("-", F.lit(str(seed)), epoch.cast("string"), key.cast("string"), F.lit(use))

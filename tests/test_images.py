@@ -10,6 +10,7 @@ from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from pixelweave import fixed, jobs
+from pixelweave.functions import tensors as T
 from pixelweave.functions.arrow import FLOAT
 from pixelweave.operators import images
 from pixelweave.plans.images import png
@@ -28,8 +29,8 @@ def pixels(h, w, c=3):
 
 
 def expected(rgb, h, w):
-    table = images.pixel_table(fixed.CHANNEL_MEAN, fixed.CHANNEL_STD)
-    return images.pixels_to_tensor(rgb[..., ::-1], h, w, table)
+    table = T.pixel_table(fixed.CHANNEL_MEAN, fixed.CHANNEL_STD)
+    return T.look_up(images.resized_pixels(rgb[..., ::-1], h, w), table)
 
 
 def test_tensor_of_known_pixels():
@@ -76,6 +77,21 @@ def test_every_channel_kind_becomes_rgb(spark, folder):
         assert np.array_equal(tensor, expected(rgb, 4, 4))
 
 
+def test_stored_pixels_give_the_same_tensor(spark, folder):
+    root, _ = folder
+    decoded = files.decode_images(spark, root, "train")
+    direct = images.image_to_tensor(decoded, 4, 4)
+    stored = images.image_to_pixels(decoded, 4, 4).select(
+        "name", T.standardize_pixels("pixels", (4, 4, 3)).alias("tensor")
+    )
+    assert sorted(map(tuple, stored.collect())) == sorted(map(tuple, direct.collect()))
+
+
+@pytest.mark.parametrize("shape", [(3, 2), (3, 2, 1), (3, 2, 3), (3, 2, 4)])
+def test_harmonised_channels(shape):
+    assert images.three_channels(np.zeros(shape, np.uint8)).shape == (3, 2, 3)
+
+
 def test_constant_image(spark, tmp_path):
     (tmp_path / "train").mkdir()
     (tmp_path / "train" / "coco_0.png").write_bytes(png(np.full((5, 7, 3), 100, np.uint8)))
