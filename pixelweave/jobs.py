@@ -6,7 +6,8 @@ Each is a plan over the operators and one Parquet write. ``prepare`` needs the r
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import math
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -18,24 +19,36 @@ from pixelweave.operators import images, layout
 from pixelweave.operators.filters import drop_bad_payload, keep_classes
 from pixelweave.operators.numbering import broadcast_if_few, with_position
 from pixelweave.operators.sets import all_splits
+from pixelweave.session import use_tensor_settings
 from pixelweave.sinks import metadata, tables
 from pixelweave.sources import chunks, files
 
 
+# Bytes of a tensor from which the default batch sizes of Spark would fill the memory.
+_WIDE_ROW = 64 << 10
+
+
 def select_images(
     spark: SparkSession,
     raw_root: str,
     classes: Sequence[str] | None = fixed.TARGET_CLASSES,
     caps: Mapping[str, int] = fixed.SPLIT_CAPS,
     chunk_size: int = fixed.CHUNK_SIZE,
+    labels_of: Callable[[str], DataFrame] | None = None,
 ) -> DataFrame:
-    """Images to prepare, with label, position and chunk. Only file names are read."""
+    """Images to prepare, with label, position and chunk. Only file names are read.
+
+    ``labels_of`` gives the ``(pos, label)`` table of a split, for label sets that are too
+    large for one ``labels.json``.
+    """
     per_split = {}
     for split in caps:
         listed = with_position(files.list_images(spark, raw_root, split), "path")
-        per_split[split] = files.with_labels(
-            listed, files.read_labels(spark, f"{raw_root}/{split}/labels.json")
-        ).drop("pos")
+        if labels_of:
+            labels = labels_of(split)
+        else:
+            labels = files.read_labels(spark, f"{raw_root}/{split}/labels.json")
+        per_split[split] = files.with_labels(listed, labels).drop("pos")
     labelled = all_splits(**per_split)
     wanted = keep_classes(labelled, classes) if classes else labelled
     return layout.assign_chunk(layout.cap_per_split(wanted, caps, "path"), chunk_size)
@@ -50,6 +63,7 @@ def prepare(
     shape: T.Shape = fixed.IMAGE_SHAPE,
     chunk_size: int = fixed.CHUNK_SIZE,
     decode: images.Decoder | None = None,
+    labels_of: Callable[[str], DataFrame] | None = None,
 ) -> DataFrame:
     """Write the processed samples of all splits and return them.
 
@@ -58,7 +72,7 @@ def prepare(
     decodes the whole folder; pixels are then resized before the selection is joined.
     """
     h, w, c = shape
-    chosen = select_images(spark, raw_root, classes, caps, chunk_size)
+    chosen = select_images(spark, raw_root, classes, caps, chunk_size, labels_of)
     codec = decode or images.installed_decoder()
     if codec:
         rows = images.path_to_tensor(chosen, h, w, decode=codec)
@@ -72,6 +86,12 @@ def prepare(
     return read_processed(spark, out)
 
 
+def _expect_tensors(spark: SparkSession, shape: T.Shape) -> None:
+    """Shrink the session's batches if rows of this shape are wide."""
+    if math.prod(shape) * 4 > _WIDE_ROW:
+        use_tensor_settings(spark)
+
+
 def read_processed(spark: SparkSession, path: str) -> DataFrame:
     """Processed samples; a split predicate prunes folders, a chunk predicate row groups."""
     return spark.read.schema(schemas.PROCESSED_SAMPLE).parquet(path)
@@ -84,8 +104,10 @@ def build_batches(
     classes: Sequence[str] = fixed.TARGET_CLASSES,
     num_batches: int | None = None,
     per_batch: int = fixed.CHUNKS_PER_BATCH,
+    shape: T.Shape = fixed.IMAGE_SHAPE,
 ) -> DataFrame:
     """Write the training rows of the train split and the run's metadata; return the rows."""
+    _expect_tensors(spark, shape)
     loaded = read_processed(spark, processed).where(F.col("split") == "train")
     packed = layout.pack_batches(loaded, per_batch, num_batches)
     tables.write_training_set(tables.training_set(packed, classes), f"{out}/batches")
@@ -115,6 +137,7 @@ def train(
     **params,
 ) -> PipelineModel:
     """Fit on the batch table and save the model."""
+    _expect_tensors(spark, shape)
     model = training.fit_classifier(_model_rows(spark.read.parquet(batches), shape), **params)
     training.save_model(model, model_path)
     return model
@@ -129,6 +152,7 @@ def evaluate(
     shape: T.Shape = fixed.IMAGE_SHAPE,
 ) -> DataFrame:
     """Loss and accuracy on the contiguous chunks of a split; one row."""
+    _expect_tensors(spark, shape)
     rows = keep_classes(chunks.read_chunk_prefix(read_processed(spark, processed), split), classes)
     encoded = rows.withColumn("label_idx", L.label_index("label", classes))
     return scoring.evaluate(_model_rows(encoded, shape), training.load_model(model_path))

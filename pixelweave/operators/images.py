@@ -7,16 +7,15 @@ each row is a few NumPy calls on a view of the Arrow buffer.
 from __future__ import annotations
 
 import importlib.util
-import re
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pixelweave import fixed
 from pixelweave.functions.arrow import FLOAT, MAX_BLOCK_BYTES, block_of, column_of
+from pixelweave.functions.storage import locate
 from pixelweave.functions.tensors import Shape, bilinear, look_up, pixel_table, swap_channels
 
 Decoder = Callable[[bytes], "np.ndarray | None"]
@@ -62,8 +61,7 @@ def _content_pixels(contents: pa.Array, decode: Decoder) -> Iterator[np.ndarray
 
 def _file_pixels(paths: pa.Array, decode: Decoder) -> Iterator[np.ndarray | None]:
     for path in paths.to_pylist():
-        # Hadoop writes local paths as "file:/x", Arrow as "file:///x".
-        filesystem, place = pafs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", path))
+        filesystem, place = locate(path)
         try:
             with filesystem.open_input_stream(place) as file:
                 content = file.read()

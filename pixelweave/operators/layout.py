@@ -7,11 +7,17 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pixelweave import fixed
-from pixelweave.operators.numbering import Order, _columns, running_total, with_position
+from pixelweave.operators.numbering import (
+    Order,
+    _columns,
+    first_rows,
+    running_total,
+    with_position,
+)
 from pixelweave.workspace import one_row
 
 # A sorted limit keeps this many rows per task and merges them in one task. Larger limits
-# go through positions, which need no merging task.
+# are cut from the sorted table, which needs no merging task.
 SMALL_LIMIT = 1000
 
 
@@ -88,8 +94,7 @@ def head(df: DataFrame, n: int, order_by: Order) -> DataFrame:
     n = max(n, 0)
     if n <= SMALL_LIMIT:
         return df.orderBy(*_columns(order_by)).limit(n)
-    numbered = with_position(df, order_by, name="__pos")
-    return numbered.where(F.col("__pos") < n).drop("__pos")
+    return first_rows(df, order_by, n)
 
 
 def cap_per_split(

@@ -8,6 +8,7 @@ number is bounded by ``spark.sql.shuffle.partitions`` and not by the data.
 
 from __future__ import annotations
 
+import bisect
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -37,15 +38,21 @@ def _sorted_table(df: DataFrame, keys: list) -> DataFrame:
     return materialize(ranked, "sorted")
 
 
-def _starts(table: DataFrame, amount: Column) -> Column:
-    """Literal array: total of ``amount`` over all earlier sort partitions."""
+def _partition_starts(table: DataFrame, amount: Column) -> list[int]:
+    """Total of ``amount`` over all earlier sort partitions, for every sort partition."""
     per_partition = table.groupBy(_sort_partition().alias("p")).agg(amount.alias("n"))
     sums = {row["p"]: row["n"] or 0 for row in per_partition.collect()}
     starts, running = [], 0
     for p in range(max(sums, default=0) + 1):
         starts.append(running)
         running += sums.get(p, 0)
-    return F.lit(starts).cast("array<bigint>")
+    return starts
+
+
+def _start_of_partition(table: DataFrame, amount: Column) -> Column:
+    # One folded literal, however many partitions there are.
+    text = ",".join(map(str, _partition_starts(table, amount)))
+    return F.get(F.split(F.lit(text), ",").cast("array<bigint>"), _sort_partition())
 
 
 def broadcast_if_few(df: DataFrame, most: int = _FEW_ROWS) -> DataFrame:
@@ -69,7 +76,7 @@ def with_position(
     """
     groups = _columns(by)
     table = _sorted_table(df, groups + _columns(order_by))
-    start = F.get(_starts(table, F.count("*")), _sort_partition())
+    start = _start_of_partition(table, F.count("*"))
     within = F.col(_SLOT).bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
     numbered = table.withColumn(name, start + within).drop(_SLOT)
     if not groups:
@@ -81,10 +88,19 @@ def with_position(
     return shifted.withColumn(name, F.col(name) - F.col("__first")).select(*numbered.columns)
 
 
+def first_rows(df: DataFrame, order_by: Order, n: int) -> DataFrame:
+    """First ``n`` rows, however many; later sort partitions are skipped by the scan."""
+    table = _sorted_table(df, _columns(order_by))
+    starts = _partition_starts(table, F.count("*"))
+    last = max(bisect.bisect_left(starts, n) - 1, 0)
+    end = (last << _ROW_BITS) + n - starts[last]
+    return table.where(F.col(_SLOT) < end).drop(_SLOT)
+
+
 def running_total(df: DataFrame, order_by: Order, value: str, name: str) -> DataFrame:
     """Add the sum of ``value`` over all rows up to and including the current one."""
     table = _sorted_table(df, _columns(order_by))
-    start = F.get(_starts(table, F.sum(value)), _sort_partition())
+    start = _start_of_partition(table, F.sum(value))
     upto = (
         Window.partitionBy(_sort_partition())
         .orderBy(_SLOT)

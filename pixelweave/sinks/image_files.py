@@ -6,9 +6,10 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
-import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 
+from pixelweave.functions.storage import locate
+
 
 def write_image_files(df: DataFrame, root: str) -> DataFrame:
     """Write ``content`` to ``<root>/<split>/<name>`` from the executors.
@@ -19,7 +20,7 @@ def write_image_files(df: DataFrame, root: str) -> DataFrame:
     """
 
     def save(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        filesystem, base = pafs.FileSystem.from_uri(root)
+        filesystem, base = locate(root)
         made = set()
         for batch in batches:
             sizes = []

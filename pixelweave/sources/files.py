@@ -78,6 +78,13 @@ def read_labels(spark: SparkSession, path: str) -> DataFrame:
     return _or_empty(spark, load, schemas.LABEL_ROW)
 
 
+def read_label_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Labels and positions from JSON lines, which many tasks read at once."""
+    return _or_empty(
+        spark, lambda: spark.read.schema(schemas.LABEL_ROW).json(path), schemas.LABEL_ROW
+    )
+
+
 def fallback_label(pos: str = "pos", k: int = fixed.FALLBACK_CLASSES):
     """Label made from the position alone."""
     return F.pmod(F.col(pos), F.lit(k)).cast("string")

@@ -172,7 +172,7 @@ def test_whole_run(spark, raw_root, tmp_path):
     chunk = {r["chunk_id"]: r["n"] for r in done.where("split='train'").groupBy("chunk_id").agg(F.count("*").alias("n")).collect()}
     assert chunk == {i: 9 if i == 0 else 10 for i in range(10)}
 
-    rows = jobs.build_batches(spark, out, str(tmp_path / "training"), CLASSES, per_batch=4)
+    rows = jobs.build_batches(spark, out, str(tmp_path / "training"), CLASSES, per_batch=4, shape=shape)
     assert rows.count() == 99
     info = files.read_meta(spark, str(tmp_path / "training/batch_info"), jobs.schemas.BATCH_INFO).first()
     assert (info["total_images"], info["num_batches"]) == (99, 3)
@@ -213,4 +213,15 @@ def test_raw_table(spark, tmp_path):
     tables.write_raw(df, str(tmp_path / "raw"))
     assert spark.read.parquet(str(tmp_path / "raw")).where("split='test'").first()["name"] == "b"
     tables.write_label_lines(df, str(tmp_path / "labels"))
-    assert spark.read.json(str(tmp_path / "labels")).count() == 2
+    lines = files.read_label_lines(spark, str(tmp_path / "labels"))
+    assert {(r["pos"], r["label"]) for r in lines.collect()} == {(0, "cat"), (1, "dog")}
+    assert files.read_label_lines(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_labels_from_a_table(spark, raw_root):
+    def all_dogs(split):
+        return spark.range(1000).select(F.col("id").alias("pos"), F.lit("dog").alias("label"))
+
+    rows = jobs.select_images(spark, raw_root, CLASSES, {"train": 500, "validation": 5}, labels_of=all_dogs)
+    got = {r["split"]: r["n"] for r in rows.groupBy("split").agg(F.count("*").alias("n")).collect()}
+    assert got == {"train": 130, "validation": 5}

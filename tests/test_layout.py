@@ -9,6 +9,7 @@ from pixelweave.operators import aggregates as A, joins, layout, sets
 from pixelweave.operators.numbering import (
     _sort_partition,
     _sorted_table,
+    first_rows,
     running_total,
     with_position,
 )
@@ -115,7 +116,7 @@ def test_a_batch_may_keep_no_row(spark):
 
 
 @pytest.mark.parametrize("n", [-1, 0, 1, 40, 1500, 5000])
-def test_filter_then_limit_and_limit_then_filter(spark, n):
+def test_filter_then_limit_and_limit_then_filter(any_plan, spark, n):
     df = spark.range(3000).repartition(5)
     even = F.col("id") % 2 == 0
     ids = list(range(3000))
@@ -157,6 +158,18 @@ def test_range_assignment_leaves_out_rows_between_ranges(spark):
     assert got == {2: 0, 3: 0, 6: 1}
 
 
+@pytest.mark.parametrize("n", [0, 1, 999, 1000, 1001, 5000])
+def test_first_rows_at_partition_borders(any_plan, spark, n):
+    got = [r["id"] for r in first_rows(spark.range(1000).repartition(4), "id", n).collect()]
+    assert sorted(got) == list(range(min(n, 1000)))
+
+
+def test_orders(spark):
+    rows = table(spark, [(1, 3, "b.png"), (0, 2, "a.jpg"), (0, 1, "c.jpg")], "chunk_id int, pos int, path string")
+    assert [r["pos"] for r in layout.stable_order(rows).collect()] == [1, 2, 3]
+    assert [r["path"] for r in layout.order_by_path(rows).collect()] == ["a.jpg", "b.png", "c.jpg"]
+
+
 @pytest.mark.parametrize("left,right,want", [(3, 2, 2), (2, 3, 2), (0, 2, 0)])
 def test_zip_stops_at_the_shorter_side(spark, left, right, want):
     a, b = spark.range(left), spark.range(right).withColumnRenamed("id", "other")

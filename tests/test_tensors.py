@@ -146,5 +146,12 @@ def test_augmentation_limits(arrays):
         assert np.allclose(gain, gain[0], atol=1e-4) and 0.8 - 1e-4 <= gain[0] <= 1.2 + 1e-4
 
 
+def test_float32_cast(spark):
+    row = spark.range(1).select(
+        T.as_float32(F.lit(0.1)).alias("x"), T.as_float32(F.array(F.lit(0.1)), array=True).alias("a")
+    )
+    assert [t for _, t in row.dtypes] == ["float", "array<float>"]
+
+
 def test_fixed_chunk_bytes():
     assert 50 * int(np.prod(fixed.IMAGE_SHAPE)) * 4 == 30_105_600
