@@ -10,3 +10,15 @@ import pyarrow.fs as pafs
 def locate(uri: str) -> tuple[pafs.FileSystem, str]:
     """File system and path of a location. Hadoop writes "file:/x", Arrow "file:///x"."""
     return pafs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", uri))
+
+
+def read_file(uri: str | None) -> bytes | None:
+    """Bytes of a file, or nothing if there is no such file."""
+    if uri is None:
+        return None
+    filesystem, path = locate(uri)
+    try:
+        with filesystem.open_input_stream(path) as file:
+            return file.read()
+    except FileNotFoundError:
+        return None

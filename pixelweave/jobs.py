@@ -1,7 +1,8 @@
-"""The four programs of a run: prepare images, build batches, train, evaluate.
+"""The programs of a run: import samples, prepare images, build batches, train, evaluate.
 
-Each is a plan over the operators and one Parquet write. ``prepare`` needs the raw folder
-``<root>/<split>/`` with images and an optional ``labels.json``.
+Each is a plan over the operators that ends in a write. ``prepare`` needs the raw folder
+``<root>/<split>/`` with images and an optional ``labels.json``, or what ``import_samples``
+has written.
 """
 
 from __future__ import annotations
@@ -21,13 +22,45 @@ from pixelweave.operators.numbering import broadcast_if_few, with_position
 from pixelweave.operators.sets import all_splits
 from pixelweave.session import use_tensor_settings
 from pixelweave.sinks import metadata, tables
+from pixelweave.sinks.image_files import write_image_files
 from pixelweave.sources import chunks, files
+from pixelweave.workspace import materialize
 
 
 # Bytes of a tensor from which the default batch sizes of Spark would fill the memory.
 _WIDE_ROW = 64 << 10
 
 
+def import_samples(
+    spark: SparkSession,
+    source: str,
+    raw_root: str,
+    caps: Mapping[str, int] = fixed.SPLIT_CAPS,
+    fmt: str = "parquet",
+) -> DataFrame:
+    """Copy the images of annotated samples to canonical names and write their labels.
+
+    The cap counts samples before missing files are dropped, and names keep the gaps.
+    Returns ``(split, name, pos, label)`` of the images copied.
+    """
+    annotated = spark.read.schema(schemas.ANNOTATED_SAMPLE).format(fmt).load(source)
+    labelled = annotated.select(
+        "split", "sample_id", "filepath", L.first_label("ground_truth.detections").alias("label")
+    )
+    taken = layout.cap_per_split(labelled, caps, "sample_id")
+    named = taken.select("split", L.canonical_name("pos").alias("name"), "label", "filepath")
+    # Written first, so that the sort below does not copy the files a second time.
+    copied = materialize(write_image_files(files.with_contents(named), raw_root), "copied")
+    numbered = with_position(copied.select("split", "name", "label"), "name", by="split")
+    tables.write_label_lines(numbered, f"{raw_root}/labels")
+    return numbered
+
+
+def imported_labels(spark: SparkSession, raw_root: str) -> Callable[[str], DataFrame]:
+    """The ``labels_of`` argument of ``prepare`` for imported samples."""
+    return lambda split: files.read_label_lines(spark, f"{raw_root}/labels/split={split}")
+
+
 def select_images(
     spark: SparkSession,
     raw_root: str,

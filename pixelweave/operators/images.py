@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from pixelweave import fixed
 from pixelweave.functions.arrow import FLOAT, MAX_BLOCK_BYTES, block_of, column_of
-from pixelweave.functions.storage import locate
+from pixelweave.functions.storage import read_file
 from pixelweave.functions.tensors import Shape, bilinear, look_up, pixel_table, swap_channels
 
 Decoder = Callable[[bytes], "np.ndarray | None"]
@@ -61,14 +61,8 @@ def _content_pixels(contents: pa.Array, decode: Decoder) -> Iterator[np.ndarray
 
 def _file_pixels(paths: pa.Array, decode: Decoder) -> Iterator[np.ndarray | None]:
     for path in paths.to_pylist():
-        filesystem, place = locate(path)
-        try:
-            with filesystem.open_input_stream(place) as file:
-                content = file.read()
-        except FileNotFoundError:
-            yield None
-        else:
-            yield _decoded(content, decode)
+        content = read_file(path)
+        yield None if content is None else _decoded(content, decode)
 
 
 def _image_rows(

@@ -10,12 +10,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pixelweave import fixed
+from pixelweave import fixed, jobs
 from pixelweave.functions import labels as L, tensors as T
 from pixelweave.functions.arrow import FLOAT, block_of
 from pixelweave.operators import images, layout
 from pixelweave.operators.numbering import with_position
-from pixelweave.plans.bindings import SHAPE, exploded, tensors
+from pixelweave.plans.bindings import SHAPE, exploded, split_of, tensors, vectors
 from pixelweave.plans.registry import query
 from pixelweave.plans.tensors import _MEAN, _STD, sql_resize
 from pixelweave.sinks.image_files import write_image_files
@@ -97,3 +97,39 @@ def image_listing(spark, sf_dir):
     rows = layout.assign_chunk(files.with_labels(listed, no_file), fixed.CHUNK_SIZE)
     vec_id = F.regexp_extract("name", "([0-9]+)", 1).cast("bigint").alias("vec_id")
     return rows.select(vec_id, "name", "label", "pos", "chunk_id")
+
+
+@query("""
+WITH numbered AS (
+  SELECT vec_id, label, CASE WHEN vec_id % 10 <= 7 THEN 'train'
+                             WHEN vec_id % 10 = 8 THEN 'validation' ELSE 'test' END AS split
+  FROM embeddings
+),
+named AS (
+  SELECT *, printf('coco_%06d.jpg', row_number() OVER (PARTITION BY split ORDER BY vec_id) - 1) AS name
+  FROM numbered
+)
+SELECT split, name, 'class ' || label AS label,
+       CAST(row_number() OVER (PARTITION BY split ORDER BY name) - 1 AS BIGINT) AS pos
+FROM named WHERE label <> 9
+""")
+def import_samples(spark, sf_dir):
+    # The files of one class are missing, which leaves gaps in the names.
+    root = fresh_path(spark, "source")
+    rows = png_files(spark, sf_dir).withColumnRenamed("split", "folder")
+    present = rows.join(vectors(spark, sf_dir).where(F.col("label") != 9).select("vec_id"), "vec_id")
+    written = write_image_files(present.withColumn("split", F.lit("all")), root)
+    written.agg(F.sum("bytes")).collect()  # one row; runs the write
+
+    label = F.concat(F.lit(" Class "), F.col("label").cast("string"))
+    annotated = vectors(spark, sf_dir).select(
+        F.col("vec_id").alias("sample_id"),
+        split_of("vec_id").alias("split"),
+        F.format_string(f"{root}/all/coco_%06d.png", "vec_id").alias("filepath"),
+        F.struct(F.array(F.struct(label.alias("label"))).alias("detections")).alias("ground_truth"),
+    )
+    source = fresh_path(spark, "annotated")
+    annotated.write.parquet(source)
+    return jobs.import_samples(spark, source, fresh_path(spark, "raw")).select(
+        "split", "name", "label", "pos"
+    )

@@ -14,17 +14,19 @@ from pixelweave.functions.storage import locate
 def write_image_files(df: DataFrame, root: str) -> DataFrame:
     """Write ``content`` to ``<root>/<split>/<name>`` from the executors.
 
-    Returns ``(split, name, bytes)`` of the files written; nothing happens until that
-    table is used. A file is moved into place when complete and its bytes depend only on
-    its row, so a repeated task does no harm. ``root`` must be reachable by all executors.
+    Returns the rows with column ``bytes`` in place of the content; nothing happens until
+    that table is used. A file is moved into place when complete and its bytes depend only
+    on its row, so a repeated task does no harm. ``root`` must be reachable by all
+    executors.
     """
+    kept = [c for c in df.columns if c != "content"]
 
     def save(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filesystem, base = locate(root)
         made = set()
         for batch in batches:
             sizes = []
-            for split, name, content in zip(*batch.columns):
+            for split, name, content in zip(*(batch.column(c) for c in ("split", "name", "content"))):
                 folder = f"{base}/{split}"
                 if folder not in made:
                     filesystem.create_dir(folder, recursive=True)
@@ -36,8 +38,7 @@ def write_image_files(df: DataFrame, root: str) -> DataFrame:
                     out.write(data)
                 filesystem.move(partial, f"{folder}/{name}")
                 sizes.append(data.size)
-            columns = [batch.column("split"), batch.column("name"), pa.array(sizes, pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, ["split", "name", "bytes"])
+            columns = [*batch.select(kept).columns, pa.array(sizes, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, [*kept, "bytes"])
 
-    rows = df.select("split", "name", "content")
-    return rows.mapInArrow(save, "split string, name string, bytes bigint")
+    return df.mapInArrow(save, df.select(*kept).schema.add("bytes", "long"))

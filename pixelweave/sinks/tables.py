@@ -48,8 +48,9 @@ def write_training_set(df: DataFrame, path: str) -> None:
 
 
 def write_label_lines(df: DataFrame, path: str, order: str = "pos") -> None:
-    """Labels in sample order as JSON lines, for programs that want labels alone.
+    """Labels with their position as JSON lines, by split, for use with loose images.
 
-    Spark programs read the label from the sample row instead.
+    Spark tables carry the label in the sample row instead.
     """
-    df.orderBy(order).select(order, "label").write.mode("overwrite").json(path)
+    rows = df.select("split", order, "label").orderBy("split", order)
+    rows.write.mode("overwrite").partitionBy("split").json(path)

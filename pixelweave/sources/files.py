@@ -5,13 +5,16 @@ A path that does not exist is an empty table, as a split without files is not an
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from pixelweave import fixed, schemas
 from pixelweave.functions import labels as L
+from pixelweave.functions.arrow import MAX_BLOCK_BYTES
+from pixelweave.functions.storage import read_file
 
 
 def _or_empty(spark: SparkSession, load: Callable[[], DataFrame], schema: T.StructType) -> DataFrame:
@@ -46,6 +49,37 @@ def read_contents(spark: SparkSession, root: str, split: str) -> DataFrame:
     return _or_empty(spark, load, schema)
 
 
+def with_contents(df: DataFrame, path: str = "filepath") -> DataFrame:
+    """Add the bytes of the file each row names; rows without a file are dropped."""
+    names = [*df.columns, "content"]
+
+    def load(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, contents, size = [], [], 0
+
+            def ready() -> pa.RecordBatch:
+                kept = batch.take(pa.array(rows, pa.int64()))
+                return pa.RecordBatch.from_arrays(
+                    [*kept.columns, pa.array(contents, pa.binary())], names
+                )
+
+            for i, place in enumerate(batch.column(path).to_pylist()):
+                content = read_file(place)
+                if content is None:
+                    continue
+                rows.append(i)
+                contents.append(content)
+                size += len(content)
+                if size >= MAX_BLOCK_BYTES:
+                    yield ready()
+                    rows, contents, size = [], [], 0
+            if rows:
+                yield ready()
+
+    schema = T.StructType([*df.schema.fields, T.StructField("content", T.BinaryType())])
+    return df.mapInArrow(load, schema)
+
+
 def decode_images(
     spark: SparkSession, root: str, split: str, drop_invalid: bool = True
 ) -> DataFrame:

@@ -184,6 +184,40 @@ def test_whole_run(spark, raw_root, tmp_path):
     assert result["accuracy"] > 0.9
 
 
+def test_import_keeps_gaps_and_labels(spark, tmp_path):
+    source, root = tmp_path / "source", str(tmp_path / "raw")
+    source.mkdir()
+    lines = []
+    for i in range(60):
+        split = "train" if i % 3 else "test"
+        file = source / f"photo{i}.png"
+        if i % 7:
+            file.write_bytes(png(np.full((2, 2, 3), i, np.uint8)))
+        lines.append({"sample_id": 1000 - i, "split": split, "filepath": str(file),
+                      "ground_truth": {"detections": [{"label": " Cat " if i % 2 else "dog"}]}})
+    (tmp_path / "samples.json").write_text("\n".join(map(json.dumps, lines)))
+    caps = {"train": 30, "test": 100}
+    got = jobs.import_samples(spark, str(tmp_path / "samples.json"), root, caps, "json").collect()
+
+    want = []
+    for split, cap in caps.items():
+        mine = sorted((x for x in lines if x["split"] == split), key=lambda x: x["sample_id"])[:cap]
+        names = [(f"coco_{i:06d}.jpg", x) for i, x in enumerate(mine)]
+        kept = [(n, x) for n, x in names if (1000 - x["sample_id"]) % 7]
+        want += [(split, n, p, x["ground_truth"]["detections"][0]["label"].strip().lower())
+                 for p, (n, x) in enumerate(kept)]
+    assert sorted((r["split"], r["name"], r["pos"], r["label"]) for r in got) == sorted(want)
+
+    done = jobs.prepare(spark, root, str(tmp_path / "out"), ["cat"], caps, (2, 2, 3),
+                        labels_of=jobs.imported_labels(spark, root))
+    assert done.count() == sum(w[3] == "cat" for w in want)
+    # The grey level of an image is its sample, so every tensor tells its own label.
+    levels = T.pixel_table(fixed.CHANNEL_MEAN, fixed.CHANNEL_STD)[0]
+    for r in done.collect():
+        red = np.frombuffer(r["tensor"], FLOAT)[0]
+        assert int(np.abs(levels - red).argmin()) % 2 == 1
+
+
 def test_both_decoding_ways_agree(spark, tmp_path):
     (tmp_path / "train").mkdir()
     for i in range(12):
@@ -213,8 +247,8 @@ def test_raw_table(spark, tmp_path):
     tables.write_raw(df, str(tmp_path / "raw"))
     assert spark.read.parquet(str(tmp_path / "raw")).where("split='test'").first()["name"] == "b"
     tables.write_label_lines(df, str(tmp_path / "labels"))
-    lines = files.read_label_lines(spark, str(tmp_path / "labels"))
-    assert {(r["pos"], r["label"]) for r in lines.collect()} == {(0, "cat"), (1, "dog")}
+    lines = files.read_label_lines(spark, str(tmp_path / "labels/split=test"))
+    assert [(r["pos"], r["label"]) for r in lines.collect()] == [(1, "dog")]
     assert files.read_label_lines(spark, str(tmp_path / "none")).count() == 0
 
 
