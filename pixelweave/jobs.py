@@ -48,7 +48,9 @@ def import_samples(
         "split", "sample_id", "filepath", L.first_label("ground_truth.detections").alias("label")
     )
     taken = layout.cap_per_split(labelled, caps, "sample_id")
-    named = taken.select("split", L.canonical_name("pos").alias("name"), "label", "filepath")
+    named = layout.spread(taken, ["split", "pos"]).select(
+        "split", L.canonical_name("pos").alias("name"), "label", "filepath"
+    )
     # Written first, so that the sort below does not copy the files a second time.
     copied = materialize(write_image_files(files.with_contents(named), raw_root), "copied")
     numbered = with_position(copied.select("split", "name", "label"), "name", by="split")
@@ -108,7 +110,7 @@ def prepare(
     chosen = select_images(spark, raw_root, classes, caps, chunk_size, labels_of)
     codec = decode or images.installed_decoder()
     if codec:
-        rows = images.path_to_tensor(chosen, h, w, decode=codec)
+        rows = images.path_to_tensor(layout.spread(chosen, ["split", "pos"]), h, w, decode=codec)
     else:
         decoded = all_splits(**{s: files.decode_images(spark, raw_root, s) for s in caps})
         resized = images.image_to_pixels(decoded, h, w)
@@ -126,7 +128,11 @@ def _expect_tensors(spark: SparkSession, shape: T.Shape) -> None:
 
 
 def read_processed(spark: SparkSession, path: str) -> DataFrame:
-    """Processed samples; a split predicate prunes folders, a chunk predicate row groups."""
+    """Processed samples.
+
+    A split predicate prunes folders. Where a codec kept rows in position order, a chunk
+    predicate skips files and row groups as well.
+    """
     return spark.read.schema(schemas.PROCESSED_SAMPLE).parquet(path)
 
 

@@ -20,11 +20,25 @@ from pixelweave.workspace import one_row
 # are cut from the sorted table, which needs no merging task.
 SMALL_LIMIT = 1000
 
+# Images one task reads or decodes. As full-size tensors they take about 150 MB.
+IMAGES_PER_TASK = 256
+
 
 def _div(c: str, size: int) -> Column:
     return F.expr(f"`{c}` div {int(size)}")
 
 
+def spread(df: DataFrame, order_by: Order, rows_per_task: int = IMAGES_PER_TASK) -> DataFrame:
+    """Deal narrow rows that each stand for heavy work, such as a file to decode, to tasks.
+
+    Spark sizes tasks by bytes, which would leave thousands of file names to one task. The
+    rows of a task are neighbours in the given order.
+    """
+    keys = _columns(order_by)
+    tasks = max(1, -(-df.count() // rows_per_task))
+    return df.repartitionByRange(tasks, *keys).sortWithinPartitions(*keys)
+
+
 def order_by_path(df: DataFrame, path: str = "path") -> DataFrame:
     """All image kinds merged and sorted together."""
     return df.orderBy(path)

@@ -52,7 +52,7 @@ def png_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         for column in columns:
             yield pa.array([png(p) for p in quantised(block_of(column, FLOAT, SHAPE))], pa.binary())
 
-    return tensors(spark, sf_dir).select(
+    return layout.spread(tensors(spark, sf_dir), "vec_id").select(
         "vec_id",
         F.lit("train").alias("split"),
         F.regexp_replace(L.canonical_name("vec_id"), "jpg$", "png").alias("name"),

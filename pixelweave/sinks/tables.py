@@ -52,5 +52,5 @@ def write_label_lines(df: DataFrame, path: str, order: str = "pos") -> None:
 
     Spark tables carry the label in the sample row instead.
     """
-    rows = df.select("split", order, "label").orderBy("split", order)
+    rows = df.select("split", order, "label")
     rows.write.mode("overwrite").partitionBy("split").json(path)

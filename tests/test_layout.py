@@ -164,6 +164,14 @@ def test_first_rows_at_partition_borders(any_plan, spark, n):
     assert sorted(got) == list(range(min(n, 1000)))
 
 
+@pytest.mark.parametrize("n,tasks", [(0, 1), (1, 1), (256, 1), (257, 2), (2000, 8)])
+def test_spread(spark, n, tasks):
+    # Spark may leave range partitions empty, but never makes more of them.
+    dealt = layout.spread(spark.range(n, numPartitions=1), "id")
+    assert dealt.rdd.getNumPartitions() == tasks
+    assert sorted(r["id"] for r in dealt.collect()) == list(range(n))
+
+
 def test_orders(spark):
     rows = table(spark, [(1, 3, "b.png"), (0, 2, "a.jpg"), (0, 1, "c.jpg")], "chunk_id int, pos int, path string")
     assert [r["pos"] for r in layout.stable_order(rows).collect()] == [1, 2, 3]
