@@ -14,6 +14,7 @@ PIXEL_MAX = 255.0
 # Names of images, chunks and batches.
 IMAGE_NAME_FORMAT = "coco_%06d.jpg"
 IMAGE_GLOB = "coco_*.{jpg,png}"
+CHUNK_NAME_FORMATS = {"images": "images_chunk_%d", "labels": "labels_chunk_%d"}
 BATCH_PREFIX = "batch_"
 UNKNOWN_LABEL = "unknown"
 

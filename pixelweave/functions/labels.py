@@ -35,7 +35,8 @@ def canonical_name(idx: Column | str) -> Column:
 
 def chunk_path(split: Column | str, chunk_id: Column | str, kind: str = "images") -> Column:
     """Relative location of one chunk of a split."""
-    return F.concat_ws("/", _col(split), F.format_string(f"{kind}_chunk_%d", _col(chunk_id)))
+    name = F.format_string(fixed.CHUNK_NAME_FORMATS[kind], _col(chunk_id))
+    return F.concat_ws("/", _col(split), name)
 
 
 def basename(c: Column | str) -> Column:

@@ -22,6 +22,16 @@ LISTING = T.StructType(
     [T.StructField("path", T.StringType()), T.StructField("name", T.StringType())]
 )
 
+# Schema of Spark's binary file source.
+FILE_ROW = T.StructType(
+    [
+        T.StructField("path", T.StringType()),
+        T.StructField("modificationTime", T.TimestampType()),
+        T.StructField("length", T.LongType()),
+        T.StructField("content", T.BinaryType()),
+    ]
+)
+
 LABEL_ROW = T.StructType(
     [T.StructField("pos", T.LongType()), T.StructField("label", T.StringType())]
 )

@@ -13,7 +13,8 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from pixelweave import fixed
+from pixelweave import fixed, schemas
+from pixelweave.functions import labels as L
 from pixelweave.learning.scoring import score
 from pixelweave.sinks.tables import training_set
 
@@ -32,6 +33,17 @@ def read_stream(
     return reader.parquet(path)
 
 
+def read_image_stream(
+    spark: SparkSession, path: str, files_per_trigger: int | None = None
+) -> DataFrame:
+    """Image files of a folder as ``(name, content)``, as they arrive."""
+    reader = spark.readStream.format("binaryFile").schema(schemas.FILE_ROW)
+    reader = reader.option("pathGlobFilter", fixed.IMAGE_GLOB)
+    if files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    return reader.load(path).select(L.basename("path").alias("name"), "content")
+
+
 def append(df: DataFrame, sink: str, checkpoint: str) -> StreamingQuery:
     """Append all files present now to a Parquet sink, then stop."""
     return (

@@ -17,6 +17,7 @@ from pixelweave.plans.images import png
 from pixelweave.sinks import tables
 from pixelweave.sinks.image_files import write_image_files
 from pixelweave.sources import files
+from pixelweave.streaming import build
 
 # Executors do not see this file, so its decoder travels with the tasks.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -233,6 +234,22 @@ def test_both_decoding_ways_agree(spark, tmp_path):
     assert a == b and len(a) == 7
 
 
+def test_images_arriving_as_files(spark, tmp_path):
+    folder, sink, state = (tmp_path / n for n in ("in", "out", "state"))
+    folder.mkdir()
+
+    def arrive(*names):
+        for name in names:
+            (folder / name).write_bytes(ppm(pixels(3, 3)) if "bad" not in name else b"bad")
+        arriving = build.read_image_stream(spark, str(folder), files_per_trigger=2)
+        tensors = images.content_to_tensor(arriving, 2, 2, decode=ppm_decode)
+        build.append(tensors, str(sink), str(state)).awaitTermination()
+        return {r["name"] for r in spark.read.parquet(str(sink)).collect()}
+
+    assert arrive("coco_1.jpg", "coco_2.png", "coco_bad.jpg", "x.jpg") == {"coco_1.jpg", "coco_2.png"}
+    assert arrive("coco_3.jpg") == {"coco_1.jpg", "coco_2.png", "coco_3.jpg"}
+
+
 def test_missing_file_is_dropped(spark, tmp_path):
     (tmp_path / "x.ppm").write_bytes(ppm(pixels(2, 2)))
     df = spark.createDataFrame([(str(tmp_path / "x.ppm"),), (str(tmp_path / "gone.ppm"),)], "path string")
