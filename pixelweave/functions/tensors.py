@@ -212,12 +212,17 @@ def as_float32(c: Column | str, array: bool = False) -> Column:
 # --- Expression forms on arrays --------------------------------------------------------
 
 
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once per row, not once per array element."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def bgr_to_rgb_expr(a: Column | str, channels: int = 3) -> Column:
     """Channel reversal of an HWC array."""
-    arr = _col(a)
     last = F.lit(channels - 1)
-    return F.transform(
-        arr, lambda _, i: F.get(arr, i - i % channels + (last - i % channels))
+    return _once(
+        _col(a),
+        lambda arr: F.transform(arr, lambda _, i: F.get(arr, i - i % channels + (last - i % channels))),
     )
 
 
@@ -241,26 +246,32 @@ def standardize_expr(
     )
 
 
+def _number_array(values: np.ndarray, kind: str) -> Column:
+    """Array literal in one piece; Spark folds the cast away while planning."""
+    return F.split(F.lit(",".join(map(repr, values.tolist()))), ",").cast(f"array<{kind}>")
+
+
 def resize_expr(a: Column | str, shape: Shape, h: int, w: int) -> Column:
     """Bilinear resize of an HWC array, in double precision; taps are literals."""
     height, width, channels = shape
-    arr = _col(a).cast("array<double>")
-    y0, y1, wy = (F.lit(t.tolist()) for t in axis_taps(height, h))
-    x0, x1, wx = (F.lit(t.tolist()) for t in axis_taps(width, w))
-
-    def pixel(i: Column) -> Column:
-        row = F.floor(i / (w * channels)).cast("int")
-        column = F.floor(i / channels).cast("int") % w
-        channel = i % channels
+    y0, y1, wy = axis_taps(height, h)
+    x0, x1, wx = axis_taps(width, w)
+    row, column, channel = np.unravel_index(np.arange(h * w * channels), (h, w, channels))
 
-        def at(y: Column, x: Column) -> Column:
-            return F.get(arr, ((F.get(y, row) * width + F.get(x, column)) * channels + channel).cast("int"))
+    def corner(y: np.ndarray, x: np.ndarray) -> Column:
+        return _number_array((y[row] * width + x[column]) * channels + channel, "int")
 
-        def across(y: Column) -> Column:
-            weight = F.get(wx, column)
-            return at(y, x0) * (1.0 - weight) + at(y, x1) * weight
+    corners = [corner(y, x) for y in (y0, y1) for x in (x0, x1)]
+    across, down = _number_array(wx[column], "double"), _number_array(wy[row], "double")
 
-        weight = F.get(wy, row)
-        return across(y0) * (1.0 - weight) + across(y1) * weight
+    def pixel(arr: Column, i: Column) -> Column:
+        top_left, top_right, low_left, low_right = (F.get(arr, F.get(c, i)) for c in corners)
+        u, v = F.get(across, i), F.get(down, i)
+        top = top_left * (1.0 - u) + top_right * u
+        low = low_left * (1.0 - u) + low_right * u
+        return top * (1.0 - v) + low * v
 
-    return F.transform(F.sequence(F.lit(0), F.lit(h * w * channels - 1)), pixel)
+    every = F.sequence(F.lit(0), F.lit(h * w * channels - 1))
+    return _once(
+        _col(a).cast("array<double>"), lambda arr: F.transform(every, lambda i: pixel(arr, i))
+    )
