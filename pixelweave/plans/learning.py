@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from pixelweave.functions import labels as L
 from pixelweave.learning import scoring, training
 from pixelweave.operators import aggregates as A, filters
-from pixelweave.plans.bindings import INT_CLASSES, table
+from pixelweave.plans.bindings import CLASSES, INT_CLASSES, SQL_INDEX, SQL_KEPT, kept, table
 from pixelweave.plans.registry import query
 from pixelweave.workspace import fresh_path
 
@@ -83,6 +84,18 @@ def _ready(rows):
     return training.with_features(indexed, "features")
 
 
+@query(f"""
+SELECT event_id, label, CAST({SQL_INDEX} AS INTEGER) AS label_idx, label AS decoded FROM ({SQL_KEPT})
+""")
+def label_indexer(spark, sf_dir):
+    """Encoder and decoder stages, saved and loaded as one model."""
+    stages = [training.label_encoder(CLASSES), training.label_decoder(CLASSES, output="decoded")]
+    path = fresh_path(spark, "model")
+    training.save_model(PipelineModel(stages), path)
+    coded = training.load_model(path).transform(kept(spark, sf_dir))
+    return coded.withColumn("label_idx", F.col("label_idx").cast("int"))
+
+
 @query()
 def fit_classifier(spark, sf_dir):
     """Fit, save, load and evaluate; with the last objective value of the fit."""
