@@ -151,7 +151,7 @@ def build_batches(
     packed = layout.pack_batches(loaded, per_batch, num_batches)
     tables.write_training_set(tables.training_set(packed, classes), f"{out}/batches")
     rows = spark.read.parquet(f"{out}/batches")
-    info = metadata.batch_info(rows, f"{out}/batches")
+    info = metadata.batch_info(packed, f"{out}/batches", classes)
     metadata.write_meta(info.select(*schemas.BATCH_INFO.fieldNames()), f"{out}/batch_info")
     metadata.write_meta(metadata.label_map(spark, classes), f"{out}/label_mapping")
     found = files.read_meta(spark, f"{out}/batch_info", schemas.BATCH_INFO).first()

@@ -50,9 +50,14 @@ def batch_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count_distinct("batch_id").alias("num_batches"))
 
 
-def batch_sizes(df: DataFrame) -> DataFrame:
-    """Rows per batch."""
-    return totals(df, "batch_id")
+def batch_sizes(
+    df: DataFrame, classes: Sequence | None = None, label: str = "label"
+) -> DataFrame:
+    """Rows per batch; with a class list only its rows, and 0 for a batch without any."""
+    if classes is None:
+        return totals(df, "batch_id")
+    kept = batch_kept_counts(df, classes, label)
+    return kept.select("batch_id", F.col("n_kept").alias("n"))
 
 
 def block_size(df: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F, types as T
 
 from pixelweave import schemas
 from pixelweave.functions import labels as L
-from pixelweave.operators import aggregates as A, filters, joins, layout
+from pixelweave.operators import aggregates as A, joins, layout
 from pixelweave.operators.numbering import with_position
 from pixelweave.plans.bindings import (
     CLASSES,
@@ -146,16 +146,16 @@ _SQL_RANGES = f"""
   SELECT batch_id, n, CAST(sum(n) OVER (ORDER BY batch_id) - n AS BIGINT) AS start,
          CAST(sum(n) OVER (ORDER BY batch_id) AS BIGINT) AS "end"
   FROM (
-    SELECT CAST(batch_id AS BIGINT) AS batch_id, count(*) AS n
-    FROM ({SQL_BATCHES}) WHERE label IN ({SQL_LIST}) GROUP BY 1
+    SELECT CAST(batch_id AS BIGINT) AS batch_id, count(*) FILTER (label IN ({SQL_LIST})) AS n
+    FROM ({SQL_BATCHES}) GROUP BY 1
   )
 """
 
 
 @query(_SQL_RANGES)
 def batch_ranges(spark, sf_dir):
-    rows = filters.keep_classes(batches(spark, sf_dir), CLASSES)
-    return layout.batch_ranges(A.batch_sizes(rows)).select("batch_id", "n", "start", "end")
+    sizes = A.batch_sizes(batches(spark, sf_dir), CLASSES)
+    return layout.batch_ranges(sizes).select("batch_id", "n", "start", "end")
 
 
 @query(f"""
@@ -165,9 +165,7 @@ JOIN ({_SQL_RANGES}) AS r ON l.pos >= r.start AND l.pos < r."end"
 GROUP BY 1, 2
 """)
 def batch_range_join(spark, sf_dir):
-    ranges = layout.batch_ranges(
-        A.batch_sizes(filters.keep_classes(batches(spark, sf_dir), CLASSES))
-    )
+    ranges = layout.batch_ranges(A.batch_sizes(batches(spark, sf_dir), CLASSES))
     labels = with_position(kept(spark, sf_dir), "event_id").select("pos", "label")
     located = joins.assign_batch_range(labels, ranges)
     return located.groupBy("batch_id", "label").agg(F.count("*").alias("n"))
@@ -199,14 +197,15 @@ def realign(spark, sf_dir):
 
 
 @query(f"""
-SELECT 'batches' AS batch_dir, count(*) AS total_images,
-       count(DISTINCT batch_id) AS num_batches, count(DISTINCT label) AS num_classes
-FROM ({SQL_BATCHES}) WHERE label IN ({SQL_LIST})
+SELECT 'batches' AS batch_dir, count(*) FILTER (label IN ({SQL_LIST})) AS total_images,
+       count(DISTINCT batch_id) AS num_batches,
+       count(DISTINCT label) FILTER (label IN ({SQL_LIST})) AS num_classes
+FROM ({SQL_BATCHES})
 """)
 def run_metadata(spark, sf_dir):
-    rows = filters.keep_classes(batches(spark, sf_dir), CLASSES)
+    rows = batches(spark, sf_dir)
     path = fresh_path(spark, "batch-info")
-    metadata.write_meta(metadata.batch_info(rows, "batches"), path)
+    metadata.write_meta(metadata.batch_info(rows, "batches", CLASSES), path)
     return files.read_meta(spark, path, _RUN_INFO)
 
 

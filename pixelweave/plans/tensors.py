@@ -14,7 +14,6 @@ from pixelweave.plans.bindings import (
     SHAPE,
     VALUES,
     exploded,
-    table,
     tensors,
     vectors,
 )
@@ -163,7 +162,8 @@ moved AS (
   FROM draws, range(4) AS a(y), range(4) AS b(x), range(3) AS d(c)
 ),
 centred AS (SELECT *, avg(p) OVER (PARTITION BY vec_id, c) AS m FROM moved)
-SELECT vec_id, CAST((y * 4 + x) * 3 + c AS INTEGER) AS i, round(CAST(CAST((p - m) * gain + m AS FLOAT) AS DOUBLE), 5) + 0.0 AS value
+SELECT vec_id, CAST((y * 4 + x) * 3 + c AS INTEGER) AS i,
+       round(CAST(CAST((p - m) * gain + m AS FLOAT) AS DOUBLE), 5) + 0.0 AS value
 FROM centred
 """)
 def augment(spark, sf_dir):

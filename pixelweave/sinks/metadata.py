@@ -11,15 +11,24 @@ from pixelweave.functions.labels import label_lookup
 from pixelweave.workspace import one_row
 
 
-def batch_info(df: DataFrame, batch_dir: str, label: str = "label") -> DataFrame:
-    """Location, rows, batches and classes of a batch table; one row."""
+def batch_info(
+    df: DataFrame,
+    batch_dir: str,
+    classes: Sequence = fixed.TARGET_CLASSES,
+    label: str = "label",
+) -> DataFrame:
+    """Location, kept rows, batches and kept classes of loaded batches; one row.
+
+    A batch counts even if the class filter leaves none of its rows.
+    """
     # One partial row per (batch, label) leaves each task, so no row is shuffled.
     cells = df.groupBy("batch_id", label).agg(F.count("*").alias("n"))
+    listed = F.col(label).isin(list(classes))
     return cells.agg(
         F.lit(batch_dir).alias("batch_dir"),
-        F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("total_images"),
+        F.coalesce(F.sum(F.when(listed, F.col("n"))), F.lit(0)).cast("bigint").alias("total_images"),
         F.count_distinct("batch_id").alias("num_batches"),
-        F.count_distinct(label).alias("num_classes"),
+        F.count_distinct(F.when(listed, F.col(label))).alias("num_classes"),
     )
 
 

@@ -29,8 +29,8 @@ def differences(df, con, sql: str) -> str | None:
         return f"columns {sorted(got.columns)} != {sorted(want.columns)}"
     if len(got) != len(want):
         return f"{len(got)} rows != {len(want)}"
-    kinds = {c: (got[c].dtype.kind + str(got[c].dtype.itemsize), want[c].dtype.kind + str(want[c].dtype.itemsize)) for c in got.columns}
-    odd = {c: k for c, k in kinds.items() if k[0] != k[1] and "O" not in k[0] + k[1]}
+    kinds = {c: (got[c].dtype, want[c].dtype) for c in got.columns}
+    odd = {c: k for c, k in kinds.items() if k[0] != k[1] and "O" not in (k[0].kind, k[1].kind)}
     if odd and len(got):
         return f"types {odd}"
     bad = [(a, b) for a, b in zip(_rows(got), _rows(want)) if a != b]

@@ -170,7 +170,8 @@ def test_whole_run(spark, raw_root, tmp_path):
     per_split = {r["split"]: r["n"] for r in done.groupBy("split").agg(F.count("*").alias("n")).collect()}
     # 130 images hold 109 listed ones; the cap leaves 100, of which one cannot be decoded.
     assert per_split == {"train": 99, "validation": 30}
-    chunk = {r["chunk_id"]: r["n"] for r in done.where("split='train'").groupBy("chunk_id").agg(F.count("*").alias("n")).collect()}
+    train = done.where("split='train'").groupBy("chunk_id").agg(F.count("*").alias("n"))
+    chunk = {r["chunk_id"]: r["n"] for r in train.collect()}
     assert chunk == {i: 9 if i == 0 else 10 for i in range(10)}
 
     rows = jobs.build_batches(spark, out, str(tmp_path / "training"), CLASSES, per_batch=4, shape=shape)

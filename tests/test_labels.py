@@ -125,6 +125,15 @@ def test_metadata_round_trip(spark, tmp_path):
     assert json.loads(part.read_text())["batch_size"] == 32
 
 
+def test_batch_info_counts_batches_without_kept_rows(spark):
+    df = spark.createDataFrame([(0, "cat"), (0, "dog"), (1, "zebra")], "batch_id bigint, label string")
+    assert metadata.batch_info(df, "d").first().asDict() == {
+        "batch_dir": "d", "total_images": 2, "num_batches": 2, "num_classes": 2,
+    }
+    empty = metadata.batch_info(df.where("false"), "d").first()
+    assert (empty["total_images"], empty["num_batches"]) == (0, 0)
+
+
 def test_read_samples(spark, tmp_path):
     lines = [
         {"sample_id": i, "split": "train" if i % 2 else "test", "filepath": f"/x/{i}.jpg",

@@ -113,6 +113,8 @@ def test_a_batch_may_keep_no_row(spark):
     df = table(spark, [(0, "a"), (0, "x"), (1, "x")], "batch_id bigint, label string")
     rows = {r["batch_id"]: (r["n_loaded"], r["n_kept"]) for r in A.batch_kept_counts(df, ["a"]).collect()}
     assert rows == {0: (2, 1), 1: (1, 0)}
+    ranges = layout.batch_ranges(A.batch_sizes(df, ["a"])).collect()
+    assert sorted((r["batch_id"], r["start"], r["end"]) for r in ranges) == [(0, 0, 1), (1, 1, 1)]
 
 
 @pytest.mark.parametrize("n", [-1, 0, 1, 40, 1500, 5000])
