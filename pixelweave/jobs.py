@@ -73,17 +73,21 @@ def select_images(
 ) -> DataFrame:
     """Images to prepare, with label, position and chunk. Only file names are read.
 
-    ``labels_of`` gives the ``(pos, label)`` table of a split, for label sets that are too
-    large for one ``labels.json``.
+    ``labels_of`` gives the labels of a split where there is no ``labels.json``: either
+    ``(pos, label)`` in file order, or ``(name, label)``, which files left over from an
+    earlier run cannot shift.
     """
     per_split = {}
     for split in caps:
-        listed = with_position(files.list_images(spark, raw_root, split), "path")
+        listed = files.list_images(spark, raw_root, split)
         if labels_of:
             labels = labels_of(split)
         else:
             labels = files.read_labels(spark, f"{raw_root}/{split}/labels.json")
-        per_split[split] = files.with_labels(listed, labels).drop("pos")
+        if "name" in labels.columns:
+            per_split[split] = listed.join(labels.select("name", "label"), "name")
+        else:
+            per_split[split] = files.with_labels(with_position(listed, "path"), labels).drop("pos")
     labelled = all_splits(**per_split)
     wanted = keep_classes(labelled, classes) if classes else labelled
     return layout.assign_chunk(layout.cap_per_split(wanted, caps, "path"), chunk_size)

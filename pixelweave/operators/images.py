@@ -36,7 +36,8 @@ def resized_pixels(bgr: np.ndarray, h: int, w: int) -> np.ndarray:
 
 def _struct_pixels(images: pa.StructArray) -> Iterator[np.ndarray | None]:
     heights, widths, channels = (
-        images.field(f).to_numpy(zero_copy_only=False) for f in ("height", "width", "nChannels")
+        images.field(f).fill_null(-1).to_numpy(zero_copy_only=False)
+        for f in ("height", "width", "nChannels")
     )
     for i, data in enumerate(images.field("data")):
         raw = data.as_buffer()

@@ -70,6 +70,14 @@ BATCH_INFO = T.StructType(
     ]
 )
 
+NAMED_LABEL = T.StructType(
+    [
+        T.StructField("pos", T.LongType()),
+        T.StructField("name", T.StringType()),
+        T.StructField("label", T.StringType()),
+    ]
+)
+
 RUN_CONFIG = T.StructType(
     [
         T.StructField("epochs", T.IntegerType()),

@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 
 from pixelweave.functions.storage import locate
@@ -36,9 +37,18 @@ def write_image_files(df: DataFrame, root: str) -> DataFrame:
                 partial = f"{folder}/_{name}.{uuid.uuid4().hex}"
                 with filesystem.open_output_stream(partial) as out:
                     out.write(data)
-                filesystem.move(partial, f"{folder}/{name}")
+                _replace(filesystem, partial, f"{folder}/{name}")
                 sizes.append(data.size)
             columns = [*batch.select(kept).columns, pa.array(sizes, pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, [*kept, "bytes"])
 
     return df.mapInArrow(save, df.select(*kept).schema.add("bytes", "long"))
+
+
+def _replace(filesystem: pafs.FileSystem, partial: str, final: str) -> None:
+    try:
+        filesystem.move(partial, final)
+    except OSError:
+        # Some file systems do not move onto a file that exists.
+        filesystem.delete_file(final)
+        filesystem.move(partial, final)

@@ -48,9 +48,9 @@ def write_training_set(df: DataFrame, path: str) -> None:
 
 
 def write_label_lines(df: DataFrame, path: str, order: str = "pos") -> None:
-    """Labels with their position as JSON lines, by split, for use with loose images.
+    """Labels with position and image name as JSON lines, by split, beside loose images.
 
     Spark tables carry the label in the sample row instead.
     """
-    rows = df.select("split", order, "label")
+    rows = df.select("split", order, "name", "label")
     rows.write.mode("overwrite").partitionBy("split").json(path)

@@ -113,9 +113,9 @@ def read_labels(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_label_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Labels and positions from JSON lines, which many tasks read at once."""
+    """Labels with position and image name from JSON lines, which many tasks read at once."""
     return _or_empty(
-        spark, lambda: spark.read.schema(schemas.LABEL_ROW).json(path), schemas.LABEL_ROW
+        spark, lambda: spark.read.schema(schemas.NAMED_LABEL).json(path), schemas.NAMED_LABEL
     )
 
 

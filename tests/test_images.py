@@ -9,7 +9,7 @@ import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
-from pixelweave import fixed, jobs
+from pixelweave import fixed, jobs, schemas
 from pixelweave.functions import tensors as T
 from pixelweave.functions.arrow import FLOAT
 from pixelweave.operators import images
@@ -78,6 +78,14 @@ def test_every_channel_kind_becomes_rgb(spark, folder):
         assert np.array_equal(tensor, expected(rgb, 4, 4))
 
 
+def test_rows_without_an_image_are_dropped(spark):
+    whole = ("o", 2, 2, 3, 16, bytearray(range(12)))
+    rows = [("a", None), ("b", whole), ("c", (*whole[:5], bytearray(5))), ("d", (*whole[:5], None))]
+    fields = [schemas.T.StructField("name", schemas.T.StringType()), *schemas.IMAGE_ROW.fields]
+    df = spark.createDataFrame(rows, schemas.T.StructType(fields))
+    assert [r["name"] for r in images.image_to_tensor(df, 2, 2).collect()] == ["b"]
+
+
 def test_stored_pixels_give_the_same_tensor(spark, folder):
     root, _ = folder
     decoded = files.decode_images(spark, root, "train")
@@ -210,6 +218,8 @@ def test_import_keeps_gaps_and_labels(spark, tmp_path):
                  for p, (n, x) in enumerate(kept)]
     assert sorted((r["split"], r["name"], r["pos"], r["label"]) for r in got) == sorted(want)
 
+    # A file of an earlier, longer run has no label and shifts nobody else's.
+    (tmp_path / "raw" / "train" / "coco_000000.png").write_bytes(png(np.full((2, 2, 3), 2, np.uint8)))
     done = jobs.prepare(spark, root, str(tmp_path / "out"), ["cat"], caps, (2, 2, 3),
                         labels_of=jobs.imported_labels(spark, root))
     assert done.count() == sum(w[3] == "cat" for w in want)
