@@ -7,7 +7,6 @@ a file, not a re-run of the sort that produced it.
 
 from __future__ import annotations
 
-import functools
 import tempfile
 import uuid
 
@@ -16,9 +15,13 @@ from pyspark.sql import DataFrame, SparkSession
 _SETTING = "spark.checkpoint.dir"
 
 
-@functools.cache
+_scratch: list[str] = []
+
+
 def _local_scratch() -> str:
-    return tempfile.mkdtemp(prefix="pixelweave-")
+    if not _scratch:
+        _scratch.append(tempfile.mkdtemp(prefix="pixelweave-"))
+    return _scratch[0]
 
 
 def shared_dir(spark: SparkSession) -> str:
