@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pixelweave.llm import language, rules, simhash
+from pixelweave.llm import language, mixing, rules, simhash
 from pixelweave.llm.text import fold
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,35 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# Production parameters of the mix: domains by the number in a source's name, target weights,
+# six tenths of the corpus, at most two passes.
+DOMAINS = ("web", "books", "code", "news")
+TARGETS = mixing.Targets(
+    domain={"web": 4, "books": 3, "code": 2, "news": 1},
+    lang={"en": 5, "de": 2, "fr": 2, "es": 1},
+)
+
+
+def leaves_of(docs: DataFrame) -> DataFrame:
+    """Key, tree levels and word count of documents."""
+    number = F.regexp_extract("source", r"(\d{1,9})", 1)
+    domain = F.when(
+        number != "", F.get(F.array(*map(F.lit, DOMAINS)), number.cast("long").cast("int") % len(DOMAINS))
+    ).otherwise("other")
+    return docs.select(
+        "doc_id",
+        F.coalesce(domain, F.lit("other")).alias("domain"),
+        "lang",
+        "source",
+        F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")).alias("tokens"),
+    )
+
+
+def op7_mixing_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
+    leaves = leaves_of(table(spark, sf_dir, "documents"))
+    return mixing.mix(leaves, TARGETS, F.sum("held") * 6 / 10, max_epochs=2, seed=7)
+
+
 def op8_language_hierarchy(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = fold(F.col("doc_id"), 4) == 2
@@ -42,6 +71,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op7_mixing_budget": op7_mixing_budget,
     "op8_language_hierarchy": op8_language_hierarchy,
     "op9_simhash_near_duplicates": op9_simhash_near_duplicates,
     "op10_quality_rules": op10_quality_rules,
