@@ -8,9 +8,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pixelweave.llm import language, mixing, rules, simhash
+from pixelweave.llm import language, mixing, packing, rules, simhash
 from pixelweave.llm.text import fold
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +21,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_path() -> str:
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = packing.pieces(table(spark, sf_dir, "documents"), tokenizer_path())
+    return packing.pack(cut)[0]
+
+
 # Production parameters of the mix: domains by the number in a source's name, target weights,
 # six tenths of the corpus, at most two passes.
 DOMAINS = ("web", "books", "code", "news")
@@ -71,6 +81,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op4_best_fit_packing": op4_best_fit_packing,
     "op7_mixing_budget": op7_mixing_budget,
     "op8_language_hierarchy": op8_language_hierarchy,
     "op9_simhash_near_duplicates": op9_simhash_near_duplicates,
