@@ -11,7 +11,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pixelweave.llm import language, mixing, packing, rules, simhash
+from pixelweave.llm import grammar, language, mixing, packing, rules, simhash
 from pixelweave.llm.text import fold
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,11 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(cut)[0]
 
 
+def op5_repair_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return grammar.read(grammar.write(docs, tokenizer_path(), grammar.corpus_folder(docs)))
+
+
 # Production parameters of the mix: domains by the number in a source's name, target weights,
 # six tenths of the corpus, at most two passes.
 DOMAINS = ("web", "books", "code", "news")
@@ -82,6 +87,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op5_repair_grammar": op5_repair_grammar,
     "op7_mixing_budget": op7_mixing_budget,
     "op8_language_hierarchy": op8_language_hierarchy,
     "op9_simhash_near_duplicates": op9_simhash_near_duplicates,
