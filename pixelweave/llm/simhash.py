@@ -44,6 +44,8 @@ SEED = 42
 
 # Fingerprints of a subtree or chunk that one task holds.
 _NODE = 8_192
+# Least depth of the split, so that a corpus of any size makes groups for many tasks.
+_LEAST_DEPTH = 6
 # Bits of a group key: depth of the split and number of chunks are bounded by these.
 _DEPTH, _CHUNK = 20, 11
 # Node pairs that one step of the walk expands.
@@ -230,7 +232,7 @@ def links(distinct: DataFrame, budget: int) -> DataFrame:
     """Edges (a, b) that connect the distinct fingerprints of column ``fp`` exactly as all
     pairs within ``budget`` bits do."""
     n = distinct.count()
-    depth = min(_DEPTH, max(0, int(np.ceil(np.log2(max(n, 1) / _NODE)))))
+    depth = min(_DEPTH, max(_LEAST_DEPTH, int(np.ceil(np.log2(max(n, 1) / _NODE)))))
     # Fingerprints per node: at most 2 ** _DEPTH numbers for each trie.
     chunks_of = []
     for first_bits in (F.col("fp"), F.shiftleft("fp", 32)):
