@@ -25,6 +25,11 @@ def differences(df, con, sql: str) -> str | None:
     """None if columns, types and all values agree, else a short description."""
     got = df.toPandas()
     want = con.execute(sql).df()
+    for field in df.schema.fields:
+        # Pandas has no nulls in its integers.
+        if field.dataType.typeName() in ("long", "integer") and got[field.name].dtype.kind in "fO":
+            got[field.name] = got[field.name].astype("Int64")
+            want[field.name] = want[field.name].astype("Int64")
     if sorted(got.columns) != sorted(want.columns):
         return f"columns {sorted(got.columns)} != {sorted(want.columns)}"
     if len(got) != len(want):
