@@ -11,8 +11,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pixelweave.llm import grammar, language, mixing, packing, rules, simhash
+from pixelweave.llm import grammar, language, mixing, packing, rules, simhash, warc
 from pixelweave.llm.text import fold
+from pixelweave.workspace import fresh_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +22,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_warc_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = warc.write(table(spark, sf_dir, "pages"), fresh_path(spark, "warc"))
+    return warc.read(index, with_payload=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+OP2_SQL = """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
+  FROM pages
+), f AS (
+  SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) END AS first_id FROM p
+)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN first_id <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN first_id <> page_id THEN first_id END AS refers_to
+FROM f
+"""
+
+
 def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
@@ -86,6 +108,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_warc_dictionary": op2_warc_dictionary,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_repair_grammar": op5_repair_grammar,
     "op7_mixing_budget": op7_mixing_budget,
@@ -94,4 +117,6 @@ QUERIES: dict[str, Query] = {
     "op10_quality_rules": op10_quality_rules,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op2_warc_dictionary": OP2_SQL,
+}
