@@ -54,11 +54,7 @@ def _big(x: Column) -> Column:
     return x.cast("decimal(18,0)")
 
 
-def _floor(x: Column) -> Column:
-    return F.floor(x).cast("decimal(18,0)")
-
-
-def _shares(nodes: DataFrame, parents: list[str], name: str) -> DataFrame:
+def _shares(nodes: DataFrame, parents: list, name: str) -> DataFrame:
     """Add ``share`` to children with ``weight``, ``holds`` (what the subtree can give) and
     ``budget`` (of the parent).
 
@@ -86,8 +82,8 @@ def _shares(nodes: DataFrame, parents: list[str], name: str) -> DataFrame:
     upto = _big(F.coalesce(F.sum(open_weight).over(by_name.rowsBetween(Window.unboundedPreceding, Window.currentRow)), zero))
     total = _big(F.sum(open_weight).over(family))
     cut = ranked.select("*", left.alias("_left"), upto.alias("_upto"), total.alias("_total"))
-    end = _floor(F.col("_left") * F.col("_upto") / F.col("_total"))
-    start = _floor(F.col("_left") * (F.col("_upto") - F.col("weight")) / F.col("_total"))
+    end = F.expr("_left * _upto div _total")
+    start = F.expr("_left * (_upto - weight) div _total")
     share = F.when(F.col("_full"), F.col("holds")).otherwise(end - start)
     return cut.withColumn("share", _big(share)).drop("_given", "_heavy", "_full", "_left", "_upto", "_total")
 
@@ -102,22 +98,21 @@ def plan(leaves: DataFrame, targets: Targets, budget: Column, max_epochs: int) -
         weighed = weighed.withColumn(f"w_{level}", targets.weight(level))
     weighed = weighed.where(" and ".join(f"w_{level} > 0" for level in LEVELS) + " and held > 0")
     weighed = weighed.withColumn("holds", _big(F.col("held") * max_epochs))
-    root = leaves.agg(_floor(budget).alias("budget"))
-    # The only row of the first level's parent; every further level has the rows above it.
-    above, parents = root.withColumn("_root", F.lit(0)), ["_root"]
-    weighed = weighed.withColumn("_root", F.lit(0))
+    whole = leaves.agg(_big(F.floor(budget))).first()[0] or 0
+    above, parents = None, []
     for i, level in enumerate(LEVELS):
-        nodes = weighed.groupBy("_root", *LEVELS[: i + 1]).agg(
+        nodes = weighed.groupBy(*LEVELS[: i + 1]).agg(
             F.first(f"w_{level}").alias("weight"), _big(F.sum("holds")).alias("holds")
         )
-        family = Window.partitionBy(*parents)
-        children = nodes.join(above, parents).withColumn(
-            "budget", F.least("budget", _big(F.sum("holds").over(family)))
+        # All nodes of the first level are one family.
+        family = parents or [F.lit(0)]
+        given = nodes.join(above, parents) if parents else nodes.withColumn("budget", _big(F.lit(whole)))
+        children = given.withColumn(
+            "budget", F.least("budget", _big(F.sum("holds").over(Window.partitionBy(*family))))
         )
-        shared = _shares(children, parents, level)
-        parents = ["_root", *LEVELS[: i + 1]]
-        above = shared.select(*parents, F.col("share").alias("budget"))
-    return above.drop("_root").withColumnRenamed("budget", "share").join(
+        parents = list(LEVELS[: i + 1])
+        above = _shares(children, family, level).select(*parents, F.col("share").alias("budget"))
+    return above.withColumnRenamed("budget", "share").join(
         weighed.select(*LEVELS, F.col("held")), list(LEVELS)
     )
 
