@@ -11,7 +11,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pixelweave.llm import grammar, language, mixing, packing, rules, simhash, warc
+from pixelweave.llm import grammar, inner_product, language, mixing, packing, rules, simhash, warc
 from pixelweave.llm.text import fold
 from pixelweave.workspace import fresh_path
 
@@ -57,6 +57,26 @@ def op5_repair_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grammar.read(grammar.write(docs, tokenizer_path(), grammar.corpus_folder(docs)))
 
 
+def op6_norm_sorted_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return inner_product.top_k(vectors, F.col("vec_id") % 50 == 0, k=5, scale=256)
+
+
+OP6_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(CAST(q.e AS DOUBLE[]), CAST(c.e AS DOUBLE[])) AS BIGINT) AS score
+  FROM v q, v c WHERE q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id
+), r AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+
 # Production parameters of the mix: domains by the number in a source's name, target weights,
 # six tenths of the corpus, at most two passes.
 DOMAINS = ("web", "books", "code", "news")
@@ -86,6 +106,70 @@ def op7_mixing_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(leaves, TARGETS, F.sum("held") * 6 / 10, max_epochs=2, seed=7)
 
 
+def _case(column: str, weights: dict[str, int]) -> str:
+    if not weights:
+        return "1"
+    whens = " ".join(f"WHEN '{name}' THEN {weight}" for name, weight in weights.items())
+    return f"CASE {column} {whens} ELSE 1 END"
+
+
+def _level_sql(i: int) -> str:
+    """Shares of level ``i`` of the tree from those of the level above."""
+    name, parents = mixing.LEVELS[i], mixing.LEVELS[:i]
+    family = "PARTITION BY " + (", ".join(parents) or "0")
+    by_ratio = f"{family} ORDER BY CAST(holds AS DOUBLE) / CAST(weight AS DOUBLE), {name}"
+    nodes = ", ".join([*parents, name])
+    joined = f"JOIN s{i - 1} USING ({', '.join(parents)})" if parents else "CROSS JOIN root"
+    return f"""
+n{i} AS (SELECT {nodes}, any_value(w_{name}) AS weight, sum(holds) AS holds FROM weighed GROUP BY {nodes}),
+f{i} AS (SELECT {nodes}, weight, holds, least(share, sum(holds) OVER ({family})) AS budget FROM n{i} {joined}),
+r{i} AS (SELECT *,
+  coalesce(sum(holds) OVER ({by_ratio} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS given,
+  sum(weight) OVER ({by_ratio} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS heavy FROM f{i}),
+u{i} AS (SELECT *, holds * heavy <= weight * (budget - given) AS is_full FROM r{i}),
+o{i} AS (SELECT *,
+  budget - coalesce(sum(CASE WHEN is_full THEN holds END) OVER ({family}), 0) AS remains,
+  coalesce(sum(CASE WHEN NOT is_full THEN weight END)
+    OVER ({family} ORDER BY {name} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0) AS upto,
+  sum(CASE WHEN NOT is_full THEN weight END) OVER ({family}) AS total FROM u{i}),
+s{i} AS (SELECT {nodes}, CASE WHEN is_full THEN holds
+  ELSE remains * upto // total - remains * (upto - weight) // total END AS share FROM o{i}),"""
+
+
+def _mix_sql(seed: int, max_epochs: int) -> str:
+    domains = ", ".join(f"'{d}'" for d in DOMAINS)
+    return f"""
+WITH named AS (
+  SELECT doc_id, regexp_extract(coalesce(source, ''), '(\\d{{1,9}})', 1) AS number,
+    coalesce(lang, 'none') AS lang, coalesce(source, 'none') AS source,
+    coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS tokens FROM documents),
+docs AS (
+  SELECT doc_id, CASE WHEN number = '' THEN 'other'
+    ELSE ([{domains}])[CAST(number AS BIGINT) % {len(DOMAINS)} + 1] END AS domain, lang, source, tokens FROM named),
+leaves AS (SELECT domain, lang, source, sum(tokens) AS held FROM docs GROUP BY ALL),
+weighed AS (
+  SELECT *, held * {max_epochs} AS holds, {_case("domain", TARGETS.domain)} AS w_domain,
+    {_case("lang", TARGETS.lang)} AS w_lang, {_case("source", TARGETS.source)} AS w_source
+  FROM leaves WHERE held > 0),
+root AS (SELECT CAST(floor(sum(held) * 6 / 10) AS HUGEINT) AS share FROM leaves),
+{"".join(map(_level_sql, range(3)))}
+plan AS (
+  SELECT domain, lang, source, share // held AS whole, share - share // held * held AS rest
+  FROM s2 JOIN weighed USING (domain, lang, source)),
+placed AS (
+  SELECT *, md5('{seed}:' || CAST(whole AS VARCHAR) || ':' || CAST(doc_id AS VARCHAR)) AS place
+  FROM docs JOIN plan USING (domain, lang, source)),
+run AS (
+  SELECT *, sum(tokens) OVER (PARTITION BY domain, lang, source ORDER BY place, doc_id, tokens
+    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - tokens AS start FROM placed)
+SELECT doc_id, domain, lang, source, CAST(unnest(range(CAST(whole AS BIGINT))) AS BIGINT) AS epoch,
+  CAST(tokens AS BIGINT) AS tokens, CAST(tokens AS BIGINT) AS taken FROM placed
+UNION ALL
+SELECT doc_id, domain, lang, source, CAST(whole AS BIGINT), CAST(tokens AS BIGINT),
+  CAST(least(tokens, rest - start) AS BIGINT) FROM run WHERE start < rest
+"""
+
+
 def op8_language_hierarchy(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = fold(F.col("doc_id"), 4) == 2
@@ -111,6 +195,7 @@ QUERIES: dict[str, Query] = {
     "op2_warc_dictionary": op2_warc_dictionary,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_repair_grammar": op5_repair_grammar,
+    "op6_norm_sorted_search": op6_norm_sorted_search,
     "op7_mixing_budget": op7_mixing_budget,
     "op8_language_hierarchy": op8_language_hierarchy,
     "op9_simhash_near_duplicates": op9_simhash_near_duplicates,
@@ -119,4 +204,6 @@ QUERIES: dict[str, Query] = {
 
 ORACLES: dict[str, str] = {
     "op2_warc_dictionary": OP2_SQL,
+    "op6_norm_sorted_search": OP6_SQL,
+    "op7_mixing_budget": _mix_sql(seed=7, max_epochs=2),
 }
