@@ -11,7 +11,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pixelweave.llm import grammar, inner_product, language, mixing, packing, rules, simhash, warc
+from pixelweave.llm import grammar, inner_product, language, mixing, packing, quality, rules, simhash, warc
 from pixelweave.llm.text import fold
 from pixelweave.workspace import fresh_path
 
@@ -22,6 +22,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_line_field(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = fold(F.col("doc_id"), 5) == 0
+    labels = table(spark, sf_dir, "labels").where(~held_out)
+    field = quality.learn(docs, labels)
+    found = docs.select(
+        "doc_id", held_out.alias("held_out"), quality.scored(field, F.col("text")).alias("score")
+    )
+    return found.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
 def op2_warc_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = warc.write(table(spark, sf_dir, "pages"), fresh_path(spark, "warc"))
     return warc.read(index, with_payload=False).select(
@@ -192,6 +203,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_line_field": op1_line_field,
     "op2_warc_dictionary": op2_warc_dictionary,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_repair_grammar": op5_repair_grammar,
