@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import sys
 import types
 from collections.abc import Iterable, Sequence
@@ -13,8 +14,8 @@ from pyspark.sql import Column, functions as F
 # without an argument cuts at exactly these.
 SPACES = " \t\n\r\x0b\x0c"
 
-# Entries of a worker's word cache before it starts anew; about 250 bytes each.
-CACHED_WORDS = 500_000
+# Entries of a worker's word cache before it starts anew; about 200 bytes each.
+CACHED_WORDS = 1_000_000
 
 
 def texts(column: pa.Array) -> list[str]:
@@ -48,6 +49,8 @@ class Encoder:
     """
 
     def __init__(self, path: str):
+        # Spark runs a task per core already; more threads only add to the work.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         holder = sys.modules.setdefault("_word_ids", types.ModuleType("_word_ids"))
