@@ -11,7 +11,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pixelweave.llm import grammar, inner_product, language, mixing, packing, quality, rules, simhash, warc
+from pixelweave.llm import backoff, grammar, inner_product, language, mixing, packing, quality, rules, simhash, warc
 from pixelweave.llm.text import fold
 from pixelweave.workspace import fresh_path
 
@@ -54,6 +54,46 @@ FROM f
 """
 
 
+def op3_stupid_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = backoff.score(table(spark, sf_dir, "documents"))
+    return found.withColumn("score", F.round("score", 6))
+
+
+OP3_SQL = """
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS ws
+  FROM documents
+), w AS (
+  SELECT doc_id, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM d
+), p AS (
+  SELECT *, lag(w) OVER (PARTITION BY doc_id ORDER BY i) AS v FROM w
+), one AS (SELECT w, count(*) AS c FROM w GROUP BY w),
+two AS (SELECT v, w, count(*) AS c FROM p WHERE v IS NOT NULL GROUP BY v, w),
+own_one AS (SELECT doc_id, w, count(*) AS c FROM w GROUP BY doc_id, w),
+own_two AS (SELECT doc_id, v, w, count(*) AS c FROM p WHERE v IS NOT NULL GROUP BY doc_id, v, w),
+size AS (SELECT count(*) AS n FROM w),
+own_size AS (SELECT doc_id, count(*) AS n FROM w GROUP BY doc_id),
+x AS (
+  SELECT p.doc_id, p.v, one.c - own_one.c AS c_word, two.c - own_two.c AS c_pair, first.c - own_first.c AS c_first,
+    greatest(size.n - own_size.n, 1) AS others
+  FROM p CROSS JOIN size JOIN own_size USING (doc_id)
+  JOIN one ON one.w = p.w JOIN own_one ON own_one.doc_id = p.doc_id AND own_one.w = p.w
+  LEFT JOIN two ON two.v = p.v AND two.w = p.w
+  LEFT JOIN own_two ON own_two.doc_id = p.doc_id AND own_two.v = p.v AND own_two.w = p.w
+  LEFT JOIN one AS first ON first.w = p.v
+  LEFT JOIN own_one AS own_first ON own_first.doc_id = p.doc_id AND own_first.w = p.v
+), s AS (
+  SELECT doc_id, count(*) AS n_words, avg(CASE
+    WHEN v IS NULL THEN ln(greatest(c_word, 0.5::DOUBLE) / others)
+    WHEN c_pair > 0 THEN ln(c_pair::DOUBLE / c_first)
+    ELSE ln(0.4::DOUBLE * greatest(c_word, 0.5::DOUBLE) / others) END) AS score
+  FROM x GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n_words, 0) AS n_words, round(score, 6) AS score FROM d LEFT JOIN s USING (doc_id)
+"""
+
+
 def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
@@ -205,6 +245,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_line_field": op1_line_field,
     "op2_warc_dictionary": op2_warc_dictionary,
+    "op3_stupid_backoff": op3_stupid_backoff,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_repair_grammar": op5_repair_grammar,
     "op6_norm_sorted_search": op6_norm_sorted_search,
@@ -216,6 +257,7 @@ QUERIES: dict[str, Query] = {
 
 ORACLES: dict[str, str] = {
     "op2_warc_dictionary": OP2_SQL,
+    "op3_stupid_backoff": OP3_SQL,
     "op6_norm_sorted_search": OP6_SQL,
     "op7_mixing_budget": _mix_sql(seed=7, max_epochs=2),
 }
