@@ -8,7 +8,7 @@ document's posterior probability of being good replaces a filter that all rules
 The corpus is read once for the votes. What EM needs of it is the number of documents per
 combination of votes, which Spark counts with partial aggregation; the number of
 combinations is bounded by 3 to the number of rules and not by the corpus. The fitted model
-is a few numbers per rule, applied as a column expression.
+is a few numbers per rule, applied in the scan of the documents.
 
 Defined cases: a null text has no words; an empty text has counts of zero and fails the
 base check; repeated rows vote once each; an empty table gives an empty result; a null id
@@ -17,7 +17,6 @@ is kept as null; extra columns are ignored.
 
 from __future__ import annotations
 
-import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -27,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.functions import arrow_udf
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from pixelweave.llm.text import SPACES, texts, words_of
 
@@ -88,13 +87,10 @@ def describe(text: str) -> tuple[int, ...]:
     )
 
 
-@arrow_udf(StructType([StructField(name, LongType()) for name in _FEATURES]))
-def features(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-    for batch in batches:
-        rows = [describe(t) for t in texts(batch)]
-        columns = list(zip(*rows)) if rows else [[] for _ in _FEATURES]
-        arrays = [pa.array(c, pa.int64()) for c in columns]
-        yield pa.StructArray.from_arrays(arrays, list(_FEATURES))
+def _counts(batch: pa.Array) -> dict[str, np.ndarray]:
+    rows = [describe(t) for t in texts(batch)]
+    table = np.array(rows, np.int64).reshape(len(rows), len(_FEATURES))
+    return dict(zip(_FEATURES, table.T))
 
 
 @dataclass(frozen=True)
@@ -113,13 +109,15 @@ class Rule:
     bad: float
     low: bool = False
 
-    def vote(self, f: Column) -> Column:
+    def vote(self, counts: dict[str, np.ndarray]) -> np.ndarray:
         """2 good, 1 bad, 0 abstains."""
-        per = F.lit(1) if self.per == "1" else f[self.per]
-        x = f[self.over] / F.when(per > 0, per)
+        x = counts[self.over].astype(float)
+        if self.per != "1":
+            per = counts[self.per]
+            x = np.divide(x, per, out=np.full(len(x), np.nan), where=per > 0)
         is_bad = x < self.bad if self.low else x > self.bad
         is_good = x >= self.good if self.low else x <= self.good
-        return F.when(is_bad, 1).when(is_good, 2).otherwise(0)
+        return np.where(is_bad, 1, np.where(is_good, 2, 0))
 
 
 # The thresholds are those of common web-text filters, with a neutral band between them.
@@ -141,6 +139,9 @@ RULES = (
 # document, on one of its own kind of bad ones and on one of another kind; and the weight
 # of that start in documents.
 _SHARE, _ON_GOOD, _ON_OWN, _ON_OTHER, _PSEUDO = 0.85, 0.001, 0.5, 0.02, 10.0
+# A rule errs on at most this share of the good documents; otherwise documents that break one
+# rule only could end up as good ones on which that rule is often wrong.
+_MOST_ON_GOOD = 0.002
 
 
 @dataclass(frozen=True)
@@ -181,6 +182,7 @@ def estimate(votes: np.ndarray, counts: np.ndarray, rules: tuple[Rule, ...] = RU
         weight = counts[:, None] * score / score.sum(axis=1, keepdims=True)
         shares = (weight.sum(axis=0) + _PSEUDO * start_shares) / (counts.sum() + _PSEUDO)
         says_bad = (weight.T @ is_bad + _PSEUDO * start) / (weight.T @ voted + _PSEUDO)
+        says_bad[0] = np.minimum(says_bad[0], _MOST_ON_GOOD)
         moved = np.abs(says_bad - model.says_bad).max()
         model = Model(shares, says_bad)
         if moved < 1e-9:
@@ -188,26 +190,50 @@ def estimate(votes: np.ndarray, counts: np.ndarray, rules: tuple[Rule, ...] = RU
     return model
 
 
-def fit(described: DataFrame, rules: tuple[Rule, ...] = RULES) -> Model:
-    """Accuracies from the votes on every row of ``described`` (column ``f``)."""
-    votes = [rule.vote(F.col("f")).alias(f"v{i}") for i, rule in enumerate(rules)]
-    names = [f"v{i}" for i in range(len(rules))]
+def _votes(counts: dict[str, np.ndarray], rules: tuple[Rule, ...]) -> np.ndarray:
+    return np.stack([rule.vote(counts) for rule in rules], axis=1)
+
+
+def posterior(model: Model, votes: np.ndarray) -> np.ndarray:
+    """Probability that documents with these votes are good."""
+    score = (
+        np.log(model.shares)
+        + (votes == 1) @ np.log(model.says_bad).T
+        + (votes == 2) @ np.log1p(-model.says_bad).T
+    )
+    weight = np.exp(score - score.max(axis=1, keepdims=True, initial=-np.inf))
+    return weight[:, 0] / weight.sum(axis=1)
+
+
+def fit(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> Model:
+    """Accuracies from the votes on every document."""
+
+    @arrow_udf(LongType())
+    def ballot(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        """All votes of a document as one number in base 3."""
+        for batch in batches:
+            yield pa.array(_votes(_counts(batch), rules) @ 3 ** np.arange(len(rules)), pa.int64())
+
     # At most 3 ** len(rules) rows, however large the corpus.
-    table = described.select(*votes).groupBy(*names).count().orderBy(*names).collect()
-    rows = np.array([[*r] for r in table], np.int64).reshape(len(table), len(rules) + 1)
-    return estimate(rows[:, :-1], rows[:, -1], rules)
+    table = docs.select(ballot(F.col(text)).alias("ballot")).groupBy("ballot").count()
+    rows = np.array(sorted(map(tuple, table.collect())), np.int64).reshape(-1, 2)
+    votes = rows[:, :1] // 3 ** np.arange(len(rules)) % 3
+    return estimate(votes, rows[:, 1], rules)
+
+
+def judged(model: Model, text: Column, rules: tuple[Rule, ...] = RULES) -> Column:
+    """Struct of a text's counts and its ``quality``, the posterior of being good."""
+    schema = StructType([*(StructField(c, LongType()) for c in _FEATURES), StructField("quality", DoubleType())])
 
+    @arrow_udf(schema)
+    def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            counts = _counts(batch)
+            quality = posterior(model, _votes(counts, rules))
+            arrays = [*(pa.array(counts[c], pa.int64()) for c in _FEATURES), pa.array(quality)]
+            yield pa.StructArray.from_arrays(arrays, schema.names)
 
-def posterior(model: Model, rules: tuple[Rule, ...] = RULES) -> Column:
-    """Probability that the document described by column ``f`` is good."""
-    votes = [rule.vote(F.col("f")) for rule in rules]
-    likelihoods = []
-    for share, says_bad in zip(model.shares, model.says_bad):
-        score = F.lit(math.log(share))
-        for vote, p in zip(votes, map(float, says_bad)):
-            score += F.when(vote == 1, math.log(p)).when(vote == 2, math.log1p(-p)).otherwise(0.0)
-        likelihoods.append(F.exp(score))
-    return likelihoods[0] / sum(likelihoods[1:], likelihoods[0])
+    return of(text)
 
 
 def base_failed(f: Column) -> Column:
@@ -221,10 +247,10 @@ def judge(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES,
     """``docs`` with columns ``f`` (counts), ``quality`` (posterior), ``base_failed`` and
     ``kept`` (posterior at least ``least`` and base check passed); columns of these names
     are replaced."""
-    model = fit(docs.select(features(F.col(text)).alias("f")), rules)
+    model = fit(docs, text, rules)
     return (
-        docs.withColumn("f", features(F.col(text)))
-        .withColumn("quality", posterior(model, rules))
+        docs.withColumn("f", judged(model, F.col(text), rules))
+        .withColumn("quality", F.col("f")["quality"])
         .withColumn("base_failed", base_failed(F.col("f")))
         .withColumn("kept", ~F.col("base_failed") & (F.col("quality") >= least))
     )
