@@ -42,7 +42,7 @@ from pixelweave.operators.numbering import running_total
 from pixelweave.workspace import fresh_path, materialize
 
 MAGIC = b"REPAIR01"
-SHARD_IDS = 2_000_000
+SHARD_IDS = 1_000_000
 
 # A pair is replaced while it occurs at least LEAST times; passes and rules per pass.
 LEAST = 32
@@ -51,16 +51,17 @@ RULES_PER_PASS = 2_500
 _BUCKETS = 1 << 18
 
 
-def _frequent(codes: np.ndarray, usable: np.ndarray) -> np.ndarray:
-    """Codes of the most frequent pairs, sorted."""
+def _frequent(codes: np.ndarray, usable: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Codes of the most frequent pairs, sorted, and the places they may be at."""
     slot = ((codes * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(46)).astype(np.int32)
     # A pair cannot be more frequent than its slot, so only pairs of full slots are sorted.
     per_slot = np.bincount(slot[usable], minlength=_BUCKETS)
     n_best = min(RULES_PER_PASS, _BUCKETS - 1)
     least = max(LEAST, int(np.partition(per_slot, -n_best)[-n_best]))
-    found, counts = np.unique(codes[usable & (per_slot >= least)[slot]], return_counts=True)
+    places = np.flatnonzero(usable & (per_slot >= least)[slot])
+    found, counts = np.unique(codes[places], return_counts=True)
     best = np.argsort(-counts, kind="stable")[:RULES_PER_PASS]
-    return np.sort(found[best[counts[best] >= LEAST]])
+    return np.sort(found[best[counts[best] >= LEAST]]), places
 
 
 def compress(ids: np.ndarray, ends: np.ndarray, first: int):
@@ -77,17 +78,18 @@ def compress(ids: np.ndarray, ends: np.ndarray, first: int):
         if len(symbols) < 2:
             break
         codes = symbols[:-1].astype(np.uint64) << np.uint64(32) | symbols[1:]
-        chosen = _frequent(codes, ~last[:-1])
+        chosen, places = _frequent(codes, ~last[:-1])
         if not len(chosen):
             break
-        rank = np.searchsorted(chosen, codes)
-        rank[rank == len(chosen)] = 0
-        at = np.flatnonzero((chosen[rank] == codes) & ~last[:-1])
+        rank = np.minimum(np.searchsorted(chosen, codes[places]), len(chosen) - 1)
+        found = chosen[rank] == codes[places]
+        at, rank = places[found], rank[found]
         # Of a run of overlapping pairs every second one is replaced, from the left.
         starts = np.r_[True, np.diff(at) > 1]
         run = np.maximum.accumulate(np.where(starts, np.arange(len(at)), 0))
-        at = at[(np.arange(len(at)) - run) % 2 == 0]
-        symbols[at] = number + rank[at]
+        taken = (np.arange(len(at)) - run) % 2 == 0
+        at = at[taken]
+        symbols[at] = number + rank[taken]
         keep = np.ones(len(symbols), bool)
         keep[at + 1] = False
         last[at] |= last[at + 1]
@@ -98,19 +100,33 @@ def compress(ids: np.ndarray, ends: np.ndarray, first: int):
     return symbols, np.flatnonzero(last) + 1, table
 
 
-def expand(symbols: np.ndarray, rules: np.ndarray, first: int) -> np.ndarray:
-    """The ids that symbols stand for."""
-    symbols = symbols.astype(np.uint32)
-    while True:
-        open_ = symbols >= first
-        if not open_.any():
-            return symbols
-        place = np.arange(len(symbols)) + np.r_[0, np.cumsum(open_)[:-1]]
-        out = np.empty(len(symbols) + int(open_.sum()), np.uint32)
-        out[place[~open_]] = symbols[~open_]
-        pair = rules[symbols[open_] - first]
-        out[place[open_]], out[place[open_] + 1] = pair[:, 0], pair[:, 1]
-        symbols = out
+def _open_once(symbols: np.ndarray, rules: np.ndarray, first: int) -> np.ndarray:
+    """Symbols with every nonterminal replaced by its pair."""
+    open_ = symbols >= first
+    place = np.arange(len(symbols)) + np.r_[0, np.cumsum(open_)[:-1]]
+    out = np.empty(len(symbols) + int(open_.sum()), np.uint32)
+    out[place[~open_]] = symbols[~open_]
+    pair = rules[symbols[open_] - first]
+    out[place[open_]], out[place[open_] + 1] = pair[:, 0], pair[:, 1]
+    return out
+
+
+def expand(symbols: np.ndarray, rules: np.ndarray, lengths: np.ndarray, first: int) -> np.ndarray:
+    """The ids that symbols stand for; ``lengths`` are the rules' expansion lengths."""
+    # All rules' ids one after the other, opened pass by pass; then each symbol copies its own.
+    flat = np.arange(first, first + len(rules), dtype=np.uint32)
+    while (flat >= first).any():
+        flat = _open_once(flat, rules, first)
+    flat = np.r_[np.arange(first, dtype=np.uint32), flat]
+    start = np.r_[np.arange(first), first + np.cumsum(lengths, dtype=np.int64) - lengths]
+    size = np.ones(first + len(rules), np.int64)
+    size[first:] = lengths
+    symbols = symbols.astype(np.int64)
+    sizes = size[symbols]
+    ends = np.cumsum(sizes)
+    if not len(ends):
+        return np.empty(0, np.uint32)
+    return flat[np.arange(ends[-1]) + np.repeat(start[symbols] - (ends - sizes), sizes)]
 
 
 def _expansions(rules: np.ndarray, first: int) -> np.ndarray:
@@ -183,14 +199,14 @@ class Shard:
         return np.cumsum(self._sizes())[self.ends - 1] if len(self.ends) else self.ends
 
     def ids(self) -> np.ndarray:
-        return expand(self.symbols, self.rules, self.first)
+        return expand(self.symbols, self.rules, self.lengths, self.first)
 
     def slice(self, start: int, stop: int) -> np.ndarray:
         """Ids from ``start`` to ``stop``, decoded from the symbols that cover them."""
         ends = np.cumsum(self._sizes())
         a, b = np.searchsorted(ends, start, "right"), np.searchsorted(ends, stop, "left") + 1
         before = int(ends[a - 1]) if a else 0
-        return expand(self.symbols[a:b], self.rules, self.first)[start - before : stop - before]
+        return expand(self.symbols[a:b], self.rules, self.lengths, self.first)[start - before : stop - before]
 
 
 _INDEX = StructType([

@@ -45,7 +45,7 @@ def test_no_rule_spans_documents():
     docs = [[5, 6, 2], [5, 6, 2]] * 100
     shard = grammar.Shard.of([0] * len(docs), [np.array(d, "<u4").tobytes() for d in docs])
     for rule in range(len(shard.rules)):
-        ids = grammar.expand(np.array([shard.first + rule]), shard.rules, shard.first)
+        ids = grammar.expand(np.array([shard.first + rule]), shard.rules, shard.lengths, shard.first)
         assert 2 not in ids[:-1]
 
 
