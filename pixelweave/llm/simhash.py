@@ -28,7 +28,7 @@ component; an empty table gives an empty result; extra columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -49,7 +49,7 @@ _LEAST_DEPTH = 6
 # Bits of a group key: depth of the split and number of chunks are bounded by these.
 _DEPTH, _CHUNK = 20, 11
 # Node pairs that one step of the walk expands.
-_FRONTIER = 1 << 19
+_FRONTIER = 1 << 15
 
 _DEALT = StructType([
     StructField("pair", LongType()), StructField("fp", LongType()), StructField("high", BooleanType())
@@ -136,16 +136,27 @@ def _deal(fps: np.ndarray, depth: int, budget: int, chunks_of: list[np.ndarray])
             yield (u(view) << (width + width)) | (low << width) | high, fps[row], mine > partner
 
 
-def _walk(left: np.ndarray, right: np.ndarray, depth: int, start: int, half: int,
-          budget: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Positions of all pairs of two sorted subtrees that differ in at most ``budget`` bits,
-    and in at most ``half`` of the first 32. ``start`` bits differ above ``depth``."""
+def _one_component(roots: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Whether the places of each range [start, end) have one root."""
+    changes = np.r_[0, np.cumsum(roots[1:] != roots[:-1])]
+    return changes[start] == changes[end - 1]
+
+
+def _walk(left: np.ndarray, right: np.ndarray, depth: int, start: int, half: int, budget: int,
+          roots: Callable[[], tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Positions of pairs of two sorted subtrees that differ in at most ``budget`` bits, and in
+    at most ``half`` of the first 32. ``start`` bits differ above ``depth``.
+
+    ``roots`` gives the components found so far: a pair of nodes that lie in one component
+    can add no connection and is left out, so a crowd of near copies costs little more than
+    its members.
+    """
     u = np.uint64
 
     def limit(level: int) -> int:
         return half if level <= 32 else budget
 
-    first = np.array([[0, len(left), 0, len(right), start]], np.int64)
+    first = np.array([[0, len(left), 0, len(right), start]], np.int32)
     stack = [(depth, first)] if len(left) and len(right) and start <= limit(depth) else []
     while stack:
         level, nodes = stack.pop()
@@ -154,6 +165,13 @@ def _walk(left: np.ndarray, right: np.ndarray, depth: int, start: int, half: int
             stack += [(level, nodes[middle:]), (level, nodes[:middle])]
             continue
         a0, a1, b0, b1, _ = nodes.T
+        of_left, of_right = roots()
+        known = of_left[a0] == of_right[b0]
+        known &= _one_component(of_left, a0, a1) & _one_component(of_right, b0, b1)
+        nodes = nodes[~known]
+        if not len(nodes):
+            continue
+        a0, a1, b0, b1, _ = nodes.T.astype(np.int64)
         few = (a1 - a0) * (b1 - b0) <= 4 if level < 64 else np.ones(len(nodes), bool)
         if few.any():
             # Small enough: compare whole fingerprints.
@@ -171,7 +189,7 @@ def _walk(left: np.ndarray, right: np.ndarray, depth: int, start: int, half: int
                 )
                 yield i[near], j[near]
             nodes = nodes[~few]
-            a0, a1, b0, b1, _ = nodes.T
+            a0, a1, b0, b1, _ = nodes.T.astype(np.int64)
         if not len(nodes):
             continue
         # The children of a node are the two parts of its range.
@@ -187,7 +205,7 @@ def _walk(left: np.ndarray, right: np.ndarray, depth: int, start: int, half: int
                     middle_a if x else a0, a1 if x else middle_a,
                     middle_b if y else b0, b1 if y else middle_b,
                     nodes[:, 4] + (x != y),
-                ], axis=1)
+                ], axis=1).astype(np.int32)
                 alive = (child[:, 0] < child[:, 1]) & (child[:, 2] < child[:, 3])
                 children.append(child[alive & (child[:, 4] <= limit(level + 1))])
         stack.append((level + 1, np.concatenate(children)))
@@ -222,7 +240,8 @@ def _forest(key: int, fps: np.ndarray, high: np.ndarray, depth: int, budget: int
     place = np.arange(len(values))
     left, right = (place, place) if low_id == high_id else (place[~high], place[high])
     root = place.copy()
-    for i, j in _walk(values[left], values[right], depth, differ, half, budget):
+    found = _walk(values[left], values[right], depth, differ, half, budget, lambda: (root[left], root[right]))
+    for i, j in found:
         root = _join_roots(root, left[i], right[j])
     tied = root != place
     return _rotated(values[tied], view), _rotated(values[root[tied]], view)
