@@ -49,6 +49,8 @@ def _replace(filesystem: pafs.FileSystem, partial: str, final: str) -> None:
     try:
         filesystem.move(partial, final)
     except OSError:
-        # Some file systems do not move onto a file that exists.
-        filesystem.delete_file(final)
-        filesystem.move(partial, final)
+        # Some file systems do not move onto a file that exists. Another attempt of this
+        # task has then put the same bytes there; the complete file is left alone.
+        if filesystem.get_file_info(final).type != pafs.FileType.File:
+            raise
+        filesystem.delete_file(partial)

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pixelweave import fixed, schemas
 from pixelweave.functions import labels as L
 from pixelweave.functions.arrow import MAX_BLOCK_BYTES
-from pixelweave.functions.storage import read_file
+from pixelweave.functions.storage import Storage
 
 
 def _or_empty(spark: SparkSession, load: Callable[[], DataFrame], schema: T.StructType) -> DataFrame:
@@ -49,34 +49,40 @@ def read_contents(spark: SparkSession, root: str, split: str) -> DataFrame:
     return _or_empty(spark, load, schema)
 
 
-def with_contents(df: DataFrame, path: str = "filepath") -> DataFrame:
-    """Add the bytes of the file each row names; rows without a file are dropped."""
-    names = [*df.columns, "content"]
+def with_contents(df: DataFrame, path: str = "filepath", keep_rejects: bool = False) -> DataFrame:
+    """Add the bytes of the file each row names; rows without a readable file are dropped.
+
+    With ``keep_rejects`` they stay, with null bytes, and column ``reject`` names the reason.
+    """
+    names = [*df.columns, "content", *(["reject"] if keep_rejects else [])]
 
     def load(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        storage = Storage()
         for batch in batches:
-            rows, contents, size = [], [], 0
+            rows, contents, reasons, size = [], [], [], 0
 
             def ready() -> pa.RecordBatch:
                 kept = batch.take(pa.array(rows, pa.int64()))
-                return pa.RecordBatch.from_arrays(
-                    [*kept.columns, pa.array(contents, pa.binary())], names
-                )
+                added = [pa.array(contents, pa.binary()), pa.array(reasons, pa.string())]
+                return pa.RecordBatch.from_arrays([*kept.columns, *added][: len(names)], names)
 
             for i, place in enumerate(batch.column(path).to_pylist()):
-                content = read_file(place)
-                if content is None:
+                content, reason = storage.read(place)
+                if content is None and not keep_rejects:
                     continue
                 rows.append(i)
                 contents.append(content)
-                size += len(content)
+                reasons.append(reason)
+                size += len(content or b"")
                 if size >= MAX_BLOCK_BYTES:
                     yield ready()
-                    rows, contents, size = [], [], 0
+                    rows, contents, reasons, size = [], [], [], 0
             if rows:
                 yield ready()
 
     schema = T.StructType([*df.schema.fields, T.StructField("content", T.BinaryType())])
+    if keep_rejects:
+        schema = schema.add("reject", T.StringType())
     return df.mapInArrow(load, schema)
 
 

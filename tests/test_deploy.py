@@ -15,7 +15,7 @@ from pixelweave.sinks import image_files
 from pixelweave.sources import files
 
 CARRIED = [
-    arrow.map_block, storage.read_file, tensors.bilinear, scoring.softmax, images.resized_pixels,
+    arrow.map_block, storage.Storage, tensors.bilinear, scoring.softmax, images.resized_pixels,
     image_files.write_image_files, files.with_contents, image_plans.png,
     labels, bindings, joins, layout, numbering,
 ]
