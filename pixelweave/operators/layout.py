@@ -12,16 +12,15 @@ from pixelweave.operators.numbering import (
     _columns,
     first_rows,
     running_total,
+    upto_bound,
     with_position,
 )
 from pixelweave.workspace import one_row
 
-# A sorted limit keeps this many rows per task and merges them in one task. Larger limits
-# are cut from the sorted table, which needs no merging task.
-SMALL_LIMIT = 1000
-
 # Images one task reads or decodes. As full-size tensors they take about 150 MB.
 IMAGES_PER_TASK = 256
+# Tasks that rows are dealt to; beyond it tasks grow, whose memory is bounded by their batches.
+MOST_TASKS = 10_000
 
 
 def _div(c: str, size: int) -> Column:
@@ -35,7 +34,7 @@ def spread(df: DataFrame, order_by: Order, rows_per_task: int = IMAGES_PER_TASK)
     rows of a task are neighbours in the given order.
     """
     keys = _columns(order_by)
-    tasks = max(1, -(-df.count() // rows_per_task))
+    tasks = min(MOST_TASKS, max(1, -(-df.count() // rows_per_task)))
     return df.repartitionByRange(tasks, *keys).sortWithinPartitions(*keys)
 
 
@@ -105,30 +104,38 @@ def limit_filter(df: DataFrame, n: int, predicate: Column, order_by: Order) -> D
 
 def head(df: DataFrame, n: int, order_by: Order) -> DataFrame:
     """First ``n`` rows."""
-    n = max(n, 0)
-    if n <= SMALL_LIMIT:
-        return df.orderBy(*_columns(order_by)).limit(n)
-    return first_rows(df, order_by, n)
+    return first_rows(df, order_by, n) if n > 0 else df.limit(0)
 
 
 def cap_per_split(
     df: DataFrame,
-    caps: Mapping[str, int] = fixed.SPLIT_CAPS,
+    caps: Mapping[str, int] | None = None,
     order_by: Order = "path",
     split: str = "split",
 ) -> DataFrame:
-    """At most ``caps[split]`` rows per split; a split without a cap yields none.
+    """At most ``caps[split]`` rows per split; a split without a cap keeps all its rows.
 
-    The position within the split stays in column ``pos``.
+    The position within the split stays in column ``pos``. Only rows that may lie within a cap
+    are sorted and written.
     """
-    wanted = df.where(F.col(split).isin(list(caps)))
-    numbered = with_position(wanted, order_by, by=split)
+    caps = {s: max(n, 0) for s, n in (caps or {}).items()}
+    near = df
+    for name, n in caps.items():
+        own = F.col(split) == name
+        near = upto_bound(near, order_by, n, own) if n else near.where(~own | own.isNull())
+    numbered = with_position(near, order_by, by=split)
+    if not caps:
+        return numbered
     limit = F.coalesce(*[F.when(F.col(split) == s, F.lit(n)) for s, n in caps.items()])
-    return numbered.where(F.col("pos") < limit)
+    return numbered.where(limit.isNull() | (F.col("pos") < limit))
 
 
 def repeat_epochs(df: DataFrame, n: int) -> DataFrame:
-    """Every row once per epoch. A generator copies rows in place; nothing is joined."""
+    """Every row once per epoch, none without epochs. Rows are copied in place by a generator."""
+    if n < 0:
+        raise ValueError("the number of epochs must not be negative")
+    if n == 0:
+        return df.withColumn("epoch", F.lit(0)).limit(0)
     return df.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
 
 

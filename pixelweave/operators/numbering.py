@@ -21,8 +21,8 @@ Order = str | Column | Sequence["str | Column"]
 _ROW_BITS = 33
 _SLOT = "__slot"
 
-# Rows of a few short columns that may be sent to every executor.
-_FEW_ROWS = 100_000
+# Keys of the sample that bounds a limit.
+_SAMPLE = 10_000
 
 
 def _columns(spec: Order) -> list:
@@ -50,17 +50,43 @@ def _partition_starts(table: DataFrame, amount: Column) -> list[int]:
 
 
 def _start_of_partition(table: DataFrame, amount: Column) -> Column:
-    # One folded literal, however many partitions there are.
-    text = ",".join(map(str, _partition_starts(table, amount)))
+    return _folded(_partition_starts(table, amount))
+
+
+def _folded(numbers: list[int]) -> Column:
+    """The row's sort partition's entry; one folded literal, however many partitions."""
+    text = ",".join(map(str, numbers))
     return F.get(F.split(F.lit(text), ",").cast("array<bigint>"), _sort_partition())
 
 
-def broadcast_if_few(df: DataFrame, most: int = _FEW_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast after counting that it has at most ``most`` rows.
+def _carried(table: DataFrame, groups: list) -> list[int]:
+    """For every sort partition, the rows of its first group in the partitions before it.
 
-    A longer table is returned unmarked, and Catalyst joins it by shuffling.
+    A group is contiguous in the sort, so only the last group of a partition can go on in the
+    next one. What is gathered is one row per sort partition.
     """
-    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+    key = F.struct(*[F.col(g) if isinstance(g, str) else g for g in groups]).alias("g")
+    sizes = table.groupBy(_sort_partition().alias("p"), key).agg(
+        F.count("*").alias("n"), F.min(_SLOT).alias("at")
+    )
+    ends = sizes.groupBy("p").agg(
+        F.min_by("g", "at").alias("first"),
+        F.max_by("g", "at").alias("last"),
+        F.max_by("n", "at").alias("n"),
+        F.count("*").alias("groups"),
+    )
+    found = {row["p"]: row for row in ends.collect()}
+    carried, running, last = [], 0, None
+    for p in range(max(found, default=0) + 1):
+        row = found.get(p)
+        if row is None:
+            carried.append(0)
+            continue
+        start = running if last is not None and repr(row["first"]) == last else 0
+        carried.append(start)
+        running = row["n"] + (start if row["groups"] == 1 else 0)
+        last = repr(row["last"])
+    return carried
 
 
 def with_position(
@@ -76,27 +102,62 @@ def with_position(
     """
     groups = _columns(by)
     table = _sorted_table(df, groups + _columns(order_by))
-    start = _start_of_partition(table, F.count("*"))
     within = F.col(_SLOT).bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
-    numbered = table.withColumn(name, start + within).drop(_SLOT)
     if not groups:
-        return numbered
-    first = numbered.groupBy(*groups).agg(F.min(name).alias("__first"))
-    first = first.withColumnsRenamed({g: f"__{g}" for g in groups})
-    same_group = [F.col(g).eqNullSafe(F.col(f"__{g}")) for g in groups]
-    shifted = numbered.join(broadcast_if_few(first), same_group, "inner")
-    return shifted.withColumn(name, F.col(name) - F.col("__first")).select(*numbered.columns)
+        start = _start_of_partition(table, F.count("*"))
+        return table.withColumn(name, start + within).drop(_SLOT)
+    # A group's rows in one sort partition are numbered there; no window holds more.
+    first = F.min(within).over(Window.partitionBy(_sort_partition(), *groups))
+    carried = _folded(_carried(table, groups))
+    start = F.when(F.col("__first") == 0, carried).otherwise(F.lit(0).cast("bigint")) - F.col("__first")
+    numbered = table.withColumn("__first", first).withColumn(name, start + within)
+    return numbered.drop("__first", _SLOT)
 
 
 def first_rows(df: DataFrame, order_by: Order, n: int) -> DataFrame:
-    """First ``n`` rows, however many; later sort partitions are skipped by the scan."""
-    table = _sorted_table(df, _columns(order_by))
+    """First ``n`` rows, however many.
+
+    Only rows up to a bound are sorted and written, which ``upto_bound`` makes a little more
+    than ``n``, so the work behind the scan follows ``n`` and not the table.
+    """
+    keys = _columns(order_by)
+    table = _sorted_table(upto_bound(df, keys, n), keys)
     starts = _partition_starts(table, F.count("*"))
     last = max(bisect.bisect_left(starts, n) - 1, 0)
     end = (last << _ROW_BITS) + n - starts[last]
     return table.where(F.col(_SLOT) < end).drop(_SLOT)
 
 
+def upto_bound(df: DataFrame, order_by: Order, n: int, where: Column | None = None) -> DataFrame:
+    """Rows up to a key that at least the first ``n`` rows do not exceed.
+
+    The key comes from a hashed sample of at most about ``_SAMPLE`` keys and is checked by a
+    count; a key that turns out too small is replaced by a larger one, and the last resort is
+    the whole table. With ``where``, the bound is for the rows of that condition and other
+    rows stay. Ascending keys only: any other order gives the table back.
+    """
+    keys = _columns(order_by)
+    if not all(isinstance(k, str) for k in keys):
+        return df
+    own = df if where is None else df.where(where)
+    key = F.struct(*keys)
+    total = own.count()
+    every = max(1, total // _SAMPLE)
+    sample = own.where(F.pmod(F.xxhash64(*keys), F.lit(every)) == 0).select(*keys)
+    place = int(1.1 * n / every) + 20
+    while place < min(total // every, 2 * _SAMPLE):
+        bound = sample.orderBy(*keys).limit(place).collect()
+        if len(bound) < place:
+            break
+        types = [df.schema[k].dataType for k in keys]
+        limit = F.struct(*[F.lit(v).cast(t).alias(k) for k, v, t in zip(keys, bound[-1], types)])
+        within = key <= limit
+        if own.where(within).count() >= min(n, total):
+            return df.where(within if where is None else within | ~where | where.isNull())
+        place *= 2
+    return df
+
+
 def running_total(df: DataFrame, order_by: Order, value: str, name: str) -> DataFrame:
     """Add the sum of ``value`` over all rows up to and including the current one."""
     table = _sorted_table(df, _columns(order_by))

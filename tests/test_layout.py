@@ -133,8 +133,59 @@ def test_caps_per_split(any_plan, spark):
     df = table(spark, rows, "split string, path string")
     got = layout.cap_per_split(df, {"train": 20, "test": 10, "validation": 3}).collect()
     assert sorted(r["path"] for r in got) == sorted(
-        [f"train{i:03d}" for i in range(20)] + [f"test{i:03d}" for i in range(9)]
+        [f"train{i:03d}" for i in range(20)] + [f"test{i:03d}" for i in range(9)] + [f"other{i:03d}" for i in range(5)]
     )
+    assert layout.cap_per_split(df, {"train": 0}).count() == 14
+    assert layout.cap_per_split(df).count() == 104
+
+
+def test_no_cap_by_default(spark):
+    rows = spark.range(70_000).select(F.lit("train").alias("split"), F.col("id").alias("path"))
+    got = layout.cap_per_split(rows).agg(F.count("*").alias("n"), F.max("pos").alias("last")).first()
+    assert tuple(got) == (70_000, 69_999)
+    assert layout.cap_per_split(rows, {"train": 69_000}).count() == 69_000
+
+
+def written_rows(spark, n, size, monkeypatch):
+    """Rows that a limit writes."""
+    from pixelweave.operators import numbering
+
+    seen = []
+    real = numbering.materialize
+
+    def counting(df, purpose):
+        done = real(df, purpose)
+        seen.append(done.count())
+        return done
+
+    monkeypatch.setattr(numbering, "materialize", counting)
+    df = spark.range(size).select(F.xxhash64("id").alias("k"), "id")
+    got = [r["k"] for r in layout.head(df, n, "k").collect()]
+    assert sorted(got) == sorted(r["k"] for r in df.orderBy("k").limit(n).collect())
+    return sum(seen)
+
+
+def test_a_limit_writes_little_more_than_its_rows(spark, monkeypatch):
+    small, large = (written_rows(spark, 5000, size, monkeypatch) for size in (100_000, 600_000))
+    assert small < 12_000 and large < 12_000
+
+
+@pytest.mark.parametrize("sizes", [[1] * 50, [1000], [3, 900, 2, 1, 700, 5], [0, 1, 400, 400]])
+def test_grouped_positions(any_plan, spark, sizes):
+    rows = [(f"g{g}" if g else None, i) for g, n in enumerate(sizes) for i in range(n)]
+    got = with_position(table(spark, rows, "g string, i int").repartition(6), "i", by="g").collect()
+    assert sorted((str(r["g"]), r["i"], r["pos"]) for r in got) == sorted((str(g), i, i) for g, i in rows)
+
+
+def test_grouped_positions_need_no_join(spark):
+    df = with_position(spark.range(100).withColumn("g", F.col("id") % 3), "id", by="g")
+    assert "Join" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_no_epochs(spark):
+    assert layout.repeat_epochs(spark.range(5), 0).collect() == []
+    with pytest.raises(ValueError):
+        layout.repeat_epochs(spark.range(5), -1)
 
 
 @pytest.mark.parametrize("sizes", [[5, 0, 7, 1], [9000, 1, 0, 3, 4095, 2], [1] * 300])
