@@ -39,6 +39,8 @@ def column_of(block: np.ndarray) -> pa.Array:
         return pa.array([], pa.binary())
     flat = np.ascontiguousarray(block)
     width = flat.nbytes // n
+    if n * width > np.iinfo(np.int32).max:
+        raise ValueError("a block of tensors must stay under 2 GiB")
     offsets = np.arange(n + 1, dtype=np.int32) * np.int32(width)
     return pa.BinaryArray.from_buffers(
         pa.binary(), n, [None, pa.py_buffer(offsets), pa.py_buffer(flat)]

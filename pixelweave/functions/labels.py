@@ -75,8 +75,12 @@ def label_of(idx: Column | str, classes: Sequence) -> Column:
 
 
 def one_hot(idx: Column | str, n: int) -> Column:
-    """Float target of length ``n`` with a single one."""
+    """Float target of length ``n`` with a single one; without classes it is empty."""
+    if n < 0:
+        raise ValueError("the number of classes must not be negative")
     i = _col(idx)
+    if n == 0:
+        return F.array().cast("array<float>")
     return F.transform(
         F.sequence(F.lit(0), F.lit(n - 1)), lambda k: (k == i).cast("int").cast("float")
     )
@@ -95,13 +99,18 @@ def parse_label_map(c: Column | str) -> Column:
 def parse_label_list(c: Column | str) -> Column:
     """Labels of a label file, which is an object with ``labels`` or a bare list.
 
-    Any other text gives null, which callers treat as "no labels".
+    Any other text gives null, which callers treat as "no labels": strict JSON only, in
+    double quotes and with nothing after the value.
     """
-    text = _col(c)
-    return F.coalesce(
-        F.from_json(text, "struct<labels:array<string>>")["labels"],
-        F.from_json(text, "array<string>"),
-    )
+    # The parser stops at the end of the first value. As a field with another one behind it,
+    # a value that something follows is no longer well-formed.
+    text = F.concat(F.lit('{"v":'), _col(c), F.lit(',"end":1}'))
+
+    def parsed(kind: str) -> Column:
+        row = F.from_json(text, f"struct<v:{kind},end:int>", {"allowSingleQuotes": "false"})
+        return F.when(row["end"] == 1, row["v"])
+
+    return F.coalesce(parsed("struct<labels:array<string>>")["labels"], parsed("array<string>"))
 
 
 def has_prefix(c: Column | str, prefix: str = fixed.BATCH_PREFIX) -> Column:

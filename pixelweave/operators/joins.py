@@ -1,9 +1,7 @@
 """Pairing, lookup and range assignment.
 
-Only class lists are broadcast: they are built from a list in the caller's program, so
-their size is known and does not grow with the data. Every other join is left to Catalyst,
-which broadcasts a side by its measured size and otherwise shuffles, with skewed
-partitions split at run time.
+No join carries a hint: Catalyst broadcasts a side by its measured size and otherwise
+shuffles, with skewed partitions split at run time.
 """
 
 from __future__ import annotations
@@ -16,9 +14,8 @@ from pixelweave.functions import labels as L
 from pixelweave.operators.numbering import Order, with_position
 from pixelweave.workspace import one_row
 
-# Positions per bin of the range assignment, and the most bins one range may span.
-_BIN = 4096
-_MAX_BINS_PER_RANGE = 100_000
+# Positions per bin of the range assignment.
+_BIN = 65_536
 
 
 def class_list(spark: SparkSession, classes: Sequence, label: str = "label") -> DataFrame:
@@ -46,7 +43,7 @@ def exists_in(df: DataFrame, listing: DataFrame, on: str, anti: bool = False) ->
 
 def semi_join_classes(df: DataFrame, classes: DataFrame, label: str = "label") -> DataFrame:
     """Rows whose label is in the class list."""
-    return df.join(F.broadcast(classes.select(label)), label, "left_semi")
+    return df.join(classes.select(label), label, "left_semi")
 
 
 def encode_label(
@@ -68,7 +65,7 @@ def encode_label(
 
 def unknown_labels(df: DataFrame, classes: DataFrame, label: str = "label") -> DataFrame:
     """Labels missing from the class list, with their row counts; empty when all match."""
-    unmatched = df.join(F.broadcast(classes.select(label)), label, "left_anti")
+    unmatched = df.join(classes.select(label), label, "left_anti")
     return unmatched.groupBy(label).agg(F.count("*").alias("n"))
 
 
@@ -119,18 +116,15 @@ def assign_batch_range(df: DataFrame, ranges: DataFrame, pos: str = "pos") -> Da
     start at or before a row wins. No candidate pairs are formed, a bin holds at most as
     many rows as it has positions, and a long range simply spans many bins.
     """
-    longest = ranges.agg(F.max(F.col("end") - F.col("start"))).first()[0] or 0
-    width = max(_BIN, longest // _MAX_BINS_PER_RANGE + 1)
-
     def bin_of(c: Column) -> Column:
-        return F.floor(c / F.lit(width)).cast("bigint")
+        return F.floor(c / F.lit(_BIN)).cast("bigint")
 
     pieces = (
         ranges.where(F.col("start") < F.col("end"))
         .withColumn("__bin", F.explode(F.sequence(bin_of(F.col("start")), bin_of(F.col("end") - 1))))
         .select(
             "__bin",
-            F.greatest(F.col("start"), F.col("__bin") * width).alias("__at"),
+            F.greatest(F.col("start"), F.col("__bin") * _BIN).alias("__at"),
             F.struct("batch_id", "end").alias("__range"),
         )
     )

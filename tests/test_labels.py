@@ -46,6 +46,13 @@ def test_first_label(spark):
         ("{broken", []),
         ('{"labels":null}', []),
         ('["a", 3]', ["a", "3"]),
+        (' \n["a"]\n ', ["a"]),
+        ('["a","b"] xx', []),
+        ('{"labels":["a"]} trailing', []),
+        ("['a']", []),
+        ("{'labels':['a']}", []),
+        ('["a"]["b"]', []),
+        ('{"labels":["}","]"]}', ["}", "]"]),
     ],
 )
 def test_label_file_shapes(spark, tmp_path, text, want):
@@ -56,6 +63,12 @@ def test_label_file_shapes(spark, tmp_path, text, want):
     assert [r["pos"] for r in rows] == list(range(len(want)))
 
 
+def test_one_hot_of_no_classes(spark):
+    assert one(spark, L.one_hot(F.lit(0), 0)) == []
+    with pytest.raises(ValueError):
+        L.one_hot(F.lit(0), -1)
+
+
 def test_missing_label_file_is_empty(spark, tmp_path):
     assert files.read_labels(spark, str(tmp_path / "none.json")).count() == 0
 
