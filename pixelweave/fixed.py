@@ -24,7 +24,8 @@ CHUNKS_PER_BATCH = 10
 MINIBATCH_SIZE = 32
 FALLBACK_CLASSES = 80
 
-# Row caps per split.
+# Splits of a data set, and the row caps of a run that wants the published sizes.
+SPLITS = ("train", "validation", "test")
 SPLIT_CAPS = {"train": 64000, "validation": 8000, "test": 8000}
 
 # Training settings and the probability floor of the cross-entropy.

@@ -7,6 +7,7 @@ has written.
 
 from __future__ import annotations
 
+import contextlib
 import math
 from collections.abc import Callable, Mapping, Sequence
 
@@ -18,9 +19,9 @@ from pixelweave.functions import labels as L, tensors as T
 from pixelweave.learning import scoring, training
 from pixelweave.operators import images, layout
 from pixelweave.operators.filters import drop_bad_payload, keep_classes
-from pixelweave.operators.numbering import broadcast_if_few, with_position
+from pixelweave.operators.numbering import with_position
 from pixelweave.operators.sets import all_splits
-from pixelweave.session import use_tensor_settings
+from pixelweave.session import tensor_settings
 from pixelweave.sinks import metadata, tables
 from pixelweave.sinks.image_files import write_image_files
 from pixelweave.sources import chunks, files
@@ -35,12 +36,12 @@ def import_samples(
     spark: SparkSession,
     source: str,
     raw_root: str,
-    caps: Mapping[str, int] = fixed.SPLIT_CAPS,
+    caps: Mapping[str, int] | None = None,
     fmt: str = "parquet",
 ) -> DataFrame:
     """Copy the images of annotated samples to canonical names and write their labels.
 
-    The cap counts samples before missing files are dropped, and names keep the gaps.
+    All samples are taken unless ``caps`` limits a split. A cap counts samples before missing files are dropped, and names keep the gaps.
     Returns ``(split, name, pos, label)`` of the images copied.
     """
     annotated = spark.read.schema(schemas.ANNOTATED_SAMPLE).format(fmt).load(source)
@@ -67,9 +68,10 @@ def select_images(
     spark: SparkSession,
     raw_root: str,
     classes: Sequence[str] | None = fixed.TARGET_CLASSES,
-    caps: Mapping[str, int] = fixed.SPLIT_CAPS,
+    caps: Mapping[str, int] | None = None,
     chunk_size: int = fixed.CHUNK_SIZE,
     labels_of: Callable[[str], DataFrame] | None = None,
+    splits: Sequence[str] = fixed.SPLITS,
 ) -> DataFrame:
     """Images to prepare, with label, position and chunk. Only file names are read.
 
@@ -78,7 +80,7 @@ def select_images(
     earlier run cannot shift.
     """
     per_split = {}
-    for split in caps:
+    for split in splits:
         listed = files.list_images(spark, raw_root, split)
         if labels_of:
             labels = labels_of(split)
@@ -98,37 +100,68 @@ def prepare(
     raw_root: str,
     out: str,
     classes: Sequence[str] | None = fixed.TARGET_CLASSES,
-    caps: Mapping[str, int] = fixed.SPLIT_CAPS,
+    caps: Mapping[str, int] | None = None,
     shape: T.Shape = fixed.IMAGE_SHAPE,
     chunk_size: int = fixed.CHUNK_SIZE,
     decode: images.Decoder | None = None,
     labels_of: Callable[[str], DataFrame] | None = None,
+    splits: Sequence[str] = fixed.SPLITS,
 ) -> DataFrame:
-    """Write the processed samples of all splits and return them.
+    """Write the processed samples of loose images and return them.
 
-    With a codec (``decode``, or OpenCV where installed) every task opens just the
-    selected files, and pixels are never shuffled. Without one, Spark's image source
-    decodes the whole folder; pixels are then resized before the selection is joined.
+    With ``decode`` every task opens just the selected files, and pixels are never shuffled.
+    Without it, Spark's image source decodes the whole folder; pixels are then resized before
+    the selection is joined. Many images are better packed; see ``prepare_packed``.
     """
-    h, w, c = shape
-    chosen = select_images(spark, raw_root, classes, caps, chunk_size, labels_of)
-    codec = decode or images.installed_decoder()
-    if codec:
-        rows = images.path_to_tensor(layout.spread(chosen, ["split", "pos"]), h, w, decode=codec)
+    h, w, _ = shape
+    chosen = select_images(spark, raw_root, classes, caps, chunk_size, labels_of, splits)
+    if decode:
+        dealt = layout.spread(chosen, ["split", "pos"])
+        rows = images.path_to_tensor(dealt, h, w, decode=decode)
     else:
-        decoded = all_splits(**{s: files.decode_images(spark, raw_root, s) for s in caps})
+        decoded = all_splits(**{s: files.decode_images(spark, raw_root, s) for s in splits})
         resized = images.image_to_pixels(decoded, h, w)
-        picked = resized.join(broadcast_if_few(chosen.drop("path")), ["split", "name"])
+        picked = resized.join(chosen.drop("path"), ["split", "name"])
         rows = picked.withColumn("tensor", T.standardize_pixels("pixels", shape))
-    sized = rows.withColumns({"h": F.lit(h), "w": F.lit(w), "c": F.lit(c)})
+    return _write_processed(spark, rows, out, shape)
+
+
+def prepare_packed(
+    spark: SparkSession,
+    raw_table: str,
+    out: str,
+    decode: images.Decoder,
+    classes: Sequence[str] | None = fixed.TARGET_CLASSES,
+    caps: Mapping[str, int] | None = None,
+    shape: T.Shape = fixed.IMAGE_SHAPE,
+    chunk_size: int = fixed.CHUNK_SIZE,
+) -> DataFrame:
+    """Write the processed samples of images packed by ``write_raw`` and return them.
+
+    Class filter, caps and numbering read the narrow columns of the table; encoded files are
+    read for the selected rows and decoded in the task that has them. No folder is listed.
+    """
+    h, w, _ = shape
+    stored = spark.read.parquet(raw_table)
+    labelled = stored.select("split", "name", "label")
+    wanted = keep_classes(labelled, classes) if classes else labelled
+    chosen = layout.assign_chunk(layout.cap_per_split(wanted, caps, "name"), chunk_size)
+    contents = stored.select("split", "name", "content")
+    picked = contents.join(chosen, ["split", "name"])
+    rows = images.content_to_tensor(picked, h, w, decode=decode)
+    return _write_processed(spark, rows, out, shape)
+
+
+def _write_processed(spark: SparkSession, rows: DataFrame, out: str, shape: T.Shape) -> DataFrame:
+    sized = rows.withColumns({n: F.lit(x) for n, x in zip(("h", "w", "c"), shape)})
     tables.write_chunks(sized.select(*schemas.PROCESSED_SAMPLE.fieldNames()), out)
     return read_processed(spark, out)
 
 
-def _expect_tensors(spark: SparkSession, shape: T.Shape) -> None:
-    """Shrink the session's batches if rows of this shape are wide."""
-    if math.prod(shape) * 4 > _WIDE_ROW:
-        use_tensor_settings(spark)
+def _expecting(spark: SparkSession, shape: T.Shape):
+    """Smaller batches for the time being if rows of this shape are wide."""
+    wide = math.prod(shape) * 4 > _WIDE_ROW
+    return tensor_settings(spark) if wide else contextlib.nullcontext()
 
 
 def read_processed(spark: SparkSession, path: str) -> DataFrame:
@@ -148,40 +181,76 @@ def build_batches(
     num_batches: int | None = None,
     per_batch: int = fixed.CHUNKS_PER_BATCH,
     shape: T.Shape = fixed.IMAGE_SHAPE,
+    **settings,
 ) -> DataFrame:
-    """Write the training rows of the train split and the run's metadata; return the rows."""
-    _expect_tensors(spark, shape)
+    """Write the training rows of the train split and the run's metadata; return the rows.
+
+    ``settings`` (epochs, batch_size, learning_rate) go into the run's config, which ``train``
+    reads.
+    """
     loaded = read_processed(spark, processed).where(F.col("split") == "train")
     packed = layout.pack_batches(loaded, per_batch, num_batches)
-    tables.write_training_set(tables.training_set(packed, classes), f"{out}/batches")
+    with _expecting(spark, shape):
+        tables.write_training_set(tables.training_set(packed, classes), f"{out}/batches")
     rows = spark.read.parquet(f"{out}/batches")
     info = metadata.batch_info(packed, f"{out}/batches", classes)
     metadata.write_meta(info.select(*schemas.BATCH_INFO.fieldNames()), f"{out}/batch_info")
     metadata.write_meta(metadata.label_map(spark, classes), f"{out}/label_mapping")
     found = files.read_meta(spark, f"{out}/batch_info", schemas.BATCH_INFO).first()
-    config = metadata.run_config(spark, found["num_batches"], len(classes), chunks_per_batch=per_batch)
+    config = metadata.run_config(
+        spark, found["num_batches"], len(L.label_lookup(classes)), chunks_per_batch=per_batch, **settings
+    )
     metadata.write_meta(config, f"{out}/config")
     return rows
 
 
-def _model_rows(df: DataFrame, shape: T.Shape) -> DataFrame:
+def stored_classes(spark: SparkSession, training_root: str) -> list[str]:
+    """Class list of a run in index order, from its label map."""
+    mapping = files.read_label_map(spark, f"{training_root}/label_mapping")
+    # One row per class of the list that the map was made from.
+    return [row["label"] for row in mapping.orderBy("class_idx").collect()]
+
+
+def _model_rows(df: DataFrame, shape: T.Shape, *more: str) -> DataFrame:
     whole = drop_bad_payload(df, *shape)
     values = whole.withColumn("values", T.from_bytes("tensor", shape))
     return training.with_features(values, "values").select(
-        "features", F.col("label_idx").cast("double").alias("label_idx")
+        "features", F.col("label_idx").cast("double").alias("label_idx"), *more
     )
 
 
 def train(
     spark: SparkSession,
-    batches: str,
+    training_root: str,
     model_path: str,
     shape: T.Shape = fixed.IMAGE_SHAPE,
+    hidden: Sequence[int] | None = None,
+    balanced: bool = False,
     **params,
 ) -> PipelineModel:
-    """Fit on the batch table and save the model."""
-    _expect_tensors(spark, shape)
-    model = training.fit_classifier(_model_rows(spark.read.parquet(batches), shape), **params)
+    """Fit on the batch table that ``build_batches`` wrote under ``training_root`` and save
+    the model.
+
+    The run's config gives the epochs and, for a perceptron with ``hidden`` layers, the
+    minibatch size and learning rate; the class count of the config must be that of the label
+    map. ``balanced`` weighs rows so that classes count the same.
+    """
+    config = files.read_meta(spark, f"{training_root}/config", schemas.RUN_CONFIG).first()
+    classes = stored_classes(spark, training_root)
+    if config["num_classes"] != len(classes):
+        raise ValueError(f"{config['num_classes']} classes in the config, {len(classes)} in the label map")
+    settings = {"epochs": config["epochs"]}
+    if hidden:
+        settings |= {
+            "layers": (math.prod(shape), *hidden, len(classes)), "solver": "gd",
+            "blockSize": config["batch_size"], "stepSize": config["learning_rate"],
+        }
+    stored = spark.read.parquet(f"{training_root}/batches")
+    rows = _model_rows(training.with_class_weights(stored) if balanced else stored, shape, *["weight"] * balanced)
+    if balanced:
+        settings["weightCol"] = "weight"
+    with _expecting(spark, shape):
+        model = training.fit_classifier(rows, **settings | params)
     training.save_model(model, model_path)
     return model
 
@@ -190,12 +259,22 @@ def evaluate(
     spark: SparkSession,
     processed: str,
     model_path: str,
-    classes: Sequence[str] = fixed.TARGET_CLASSES,
+    training_root: str,
+    classes: Sequence[str] | None = None,
     split: str = "validation",
     shape: T.Shape = fixed.IMAGE_SHAPE,
 ) -> DataFrame:
-    """Loss and accuracy on the contiguous chunks of a split; one row."""
-    _expect_tensors(spark, shape)
-    rows = keep_classes(chunks.read_chunk_prefix(read_processed(spark, processed), split), classes)
-    encoded = rows.withColumn("label_idx", L.label_index("label", classes))
-    return scoring.evaluate(_model_rows(encoded, shape), training.load_model(model_path))
+    """Loss and accuracy on the contiguous chunks of a split; one row.
+
+    Labels are encoded by the label map of the training run; a class list that differs from
+    it is an error.
+    """
+    known = stored_classes(spark, training_root)
+    if classes is not None and list(L.label_lookup(classes)) != known:
+        raise ValueError(f"the model was trained with classes {known}")
+    rows = keep_classes(chunks.read_chunk_prefix(read_processed(spark, processed), split), known)
+    encoded = rows.withColumn("label_idx", L.label_index("label", known))
+    with _expecting(spark, shape):
+        result = scoring.evaluate(_model_rows(encoded, shape), training.load_model(model_path))
+        # One row, computed while the settings hold.
+        return spark.createDataFrame([result.first()], result.schema)

@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import IndexToString, StringIndexerModel
 from pyspark.ml.functions import array_to_vector
-from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
 from pyspark.sql import DataFrame, functions as F
 
 from pixelweave import fixed
+from pixelweave.learning.scoring import evaluate
+from pixelweave.operators.aggregates import class_weights
 
 
 def label_encoder(
@@ -67,10 +68,34 @@ def fit_classifier(
 
 def training_history(model: PipelineModel, df: DataFrame) -> DataFrame:
     """Objective per epoch as ``(epoch, loss)``; as many rows as optimiser steps."""
-    losses = [float(x) for x in model.stages[-1].summary.objectiveHistory]
+    summary = model.stages[-1].summary
+    # A perceptron's summary is a method, a regression's a property.
+    found = summary() if callable(summary) else summary
+    losses = [float(x) for x in found.objectiveHistory]
     return df.sparkSession.createDataFrame(list(enumerate(losses)), "epoch int, loss double")
 
 
+def with_class_weights(df: DataFrame, label: str = "label_idx", output: str = "weight") -> DataFrame:
+    """Add the weight of every row's class, for ``weightCol`` of a fit."""
+    weights = class_weights(df, label).select(label, F.col("weight").alias(output))
+    return df.join(weights, label)
+
+
+def epoch_metrics(df: DataFrame, epochs: int, features: str = "features", label: str = "label_idx",
+                  **params) -> DataFrame:
+    """(epoch, loss, accuracy) on the training rows after 1, 2, ... epochs.
+
+    The optimiser starts from the same point each time, so the model after n epochs is a step
+    on the way of the longer fit; the cost is that of all fits together.
+    """
+    rows = []
+    for n in range(1, epochs + 1):
+        model = fit_classifier(df, features, label, epochs=n, **params)
+        found = evaluate(df, model, features, label).first()
+        rows.append((n, found["loss"], found["accuracy"]))
+    return df.sparkSession.createDataFrame(rows, "epoch int, loss double, accuracy double")
+
+
 def save_model(model: PipelineModel, path: str) -> None:
     """Save, replacing an earlier model."""
     model.write().overwrite().save(path)
@@ -84,32 +109,28 @@ def load_model(path: str) -> PipelineModel:
 def grid_search(
     df: DataFrame,
     grid: Mapping[str, Sequence],
+    key: str,
     features: str = "features",
     label: str = "label_idx",
     epochs: int = fixed.EPOCHS,
     train_ratio: float = 0.8,
     seed: int = 0,
-    parallelism: int = 4,
-) -> DataFrame:
-    """Validation accuracy of every combination as ``(candidate, params, accuracy)``.
+) -> tuple[DataFrame, PipelineModel]:
+    """Validation accuracy of every combination as ``(candidate, params, accuracy)``, and the
+    model of the best one (the first of equals), fitted on the training part.
 
-    One row per combination of the caller's grid. Choose with ``best_candidate``.
+    Rows are split by a hash of their key, so the result does not depend on partitions.
     """
-    model = classifier(features, label, epochs=epochs)
-    combinations = ParamGridBuilder()
-    for name, values in grid.items():
-        combinations = combinations.addGrid(model.getParam(name), list(values))
-    candidates = combinations.build()
-    search = TrainValidationSplit(
-        estimator=model,
-        estimatorParamMaps=candidates,
-        evaluator=MulticlassClassificationEvaluator(labelCol=label, metricName="accuracy"),
-        trainRatio=train_ratio,
-        seed=seed,
-        parallelism=parallelism,
-    ).fit(df)
-    rows = [
-        (i, ",".join(f"{p.name}={v}" for p, v in sorted(c.items(), key=lambda e: e[0].name)), float(m))
-        for i, (c, m) in enumerate(zip(candidates, search.validationMetrics))
-    ]
-    return df.sparkSession.createDataFrame(rows, "candidate int, params string, accuracy double")
+    share = F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(1_000_000)) < int(train_ratio * 1_000_000)
+    fitted, held_out = df.where(share), df.where(~share)
+    names = sorted(grid)
+    rows, best, best_accuracy = [], None, -1.0
+    for i, values in enumerate(itertools.product(*(grid[n] for n in names))):
+        params = dict(zip(names, values))
+        model = fit_classifier(fitted, features, label, epochs=epochs, **params)
+        accuracy = float(evaluate(held_out, model, features, label).first()["accuracy"] or 0.0)
+        rows.append((i, ",".join(f"{n}={v}" for n, v in params.items()), accuracy))
+        if accuracy > best_accuracy:
+            best, best_accuracy = model, accuracy
+    scores = df.sparkSession.createDataFrame(rows, "candidate int, params string, accuracy double")
+    return scores, best

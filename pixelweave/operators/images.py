@@ -6,7 +6,6 @@ each row is a few NumPy calls on a view of the Arrow buffer.
 
 from __future__ import annotations
 
-import importlib.util
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -15,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from pixelweave import fixed
 from pixelweave.functions.arrow import FLOAT, MAX_BLOCK_BYTES, block_of, column_of
-from pixelweave.functions.storage import read_file
+from pixelweave.functions.storage import Storage
 from pixelweave.functions.tensors import Shape, bilinear, look_up, pixel_table, swap_channels
 
 Decoder = Callable[[bytes], "np.ndarray | None"]
@@ -46,7 +45,9 @@ def _struct_pixels(images: pa.StructArray) -> Iterator[np.ndarray | None]:
         yield np.frombuffer(raw, np.uint8).reshape(shape) if valid else None
 
 
-def _decoded(content: bytes, decode: Decoder) -> np.ndarray | None:
+def _decoded(content: bytes | None, decode: Decoder) -> np.ndarray | None:
+    if content is None:
+        return None
     try:
         return decode(content)
     except ImportError:
@@ -61,9 +62,10 @@ def _content_pixels(contents: pa.Array, decode: Decoder) -> Iterator[np.ndarray
 
 
 def _file_pixels(paths: pa.Array, decode: Decoder) -> Iterator[np.ndarray | None]:
+    storage = Storage()
     for path in paths.to_pylist():
-        content = read_file(path)
-        yield None if content is None else _decoded(content, decode)
+        content, _ = storage.read(path)
+        yield _decoded(content, decode)
 
 
 def _image_rows(
@@ -141,17 +143,16 @@ def content_to_tensor(
     mean: Sequence[float] = fixed.CHANNEL_MEAN,
     std: Sequence[float] = fixed.CHANNEL_STD,
     content: str = "content",
-    decode: Decoder | None = None,
+    *,
+    decode: Decoder,
 ) -> DataFrame:
     """Like ``image_to_tensor`` for encoded files packed in a Parquet column.
 
     Rows can be filtered before anything is decoded, and no small files are listed.
-    ``decode`` turns file bytes into BGR pixels (H, W, C); OpenCV is used if it is not
-    given.
+    ``decode`` turns file bytes into BGR pixels (H, W, C).
     """
-    decoder = decode or opencv_decode
     return _image_rows(
-        df, content, lambda c: _content_pixels(c, decoder), h, w, _standardiser(mean, std), "tensor"
+        df, content, lambda c: _content_pixels(c, decode), h, w, _standardiser(mean, std), "tensor"
     )
 
 
@@ -162,18 +163,18 @@ def path_to_tensor(
     mean: Sequence[float] = fixed.CHANNEL_MEAN,
     std: Sequence[float] = fixed.CHANNEL_STD,
     path: str = "path",
-    decode: Decoder | None = None,
+    *,
+    decode: Decoder,
 ) -> DataFrame:
     """Add the tensor of the image file each row names; missing files are dropped.
 
     Only narrow rows are filtered, numbered and shuffled before this step, and pixels are
     never shuffled at all. The files must be reachable by all executors.
     """
-    decoder = decode or opencv_decode
     return _image_rows(
         df,
         path,
-        lambda p: _file_pixels(p, decoder),
+        lambda p: _file_pixels(p, decode),
         h,
         w,
         _standardiser(mean, std),
@@ -182,18 +183,6 @@ def path_to_tensor(
     )
 
 
-def opencv_decode(content: bytes) -> np.ndarray | None:
-    """Three-channel BGR pixels by way of OpenCV, where that is installed."""
-    import cv2
-
-    return cv2.imdecode(np.frombuffer(content, np.uint8), cv2.IMREAD_COLOR)
-
-
-def installed_decoder() -> Decoder | None:
-    """The OpenCV decoder if this machine has it."""
-    return opencv_decode if importlib.util.find_spec("cv2") else None
-
-
 def uniform(seed: int, epoch: Column, key: Column, use: str) -> Column:
     """Pseudo-random number in [0, 1) from seed, epoch, row key and purpose."""
     text = F.concat_ws("-", F.lit(str(seed)), epoch.cast("string"), key.cast("string"), F.lit(use))

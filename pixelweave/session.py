@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
+from collections.abc import Iterator
 
 from pyspark.sql import SparkSession
 
@@ -15,11 +17,20 @@ TENSOR_SETTINGS = {
 }
 
 
-def use_tensor_settings(spark: SparkSession) -> SparkSession:
-    """Apply the wide-row limits to a session that is about to read full-size tensors."""
+@contextlib.contextmanager
+def tensor_settings(spark: SparkSession) -> Iterator[SparkSession]:
+    """The wide-row limits while full-size tensors are read; then the session's own again."""
+    before = {key: spark.conf.get(key, None) for key in TENSOR_SETTINGS}
     for key, value in TENSOR_SETTINGS.items():
         spark.conf.set(key, value)
-    return spark
+    try:
+        yield spark
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
 
 
 def local_session(name: str = "pixelweave", cpus: str | int = "*") -> SparkSession:

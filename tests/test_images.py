@@ -1,6 +1,5 @@
 """Image files: listing, decoding, channel handling and the whole run."""
 
-import importlib.util
 import json
 import sys
 
@@ -134,11 +133,16 @@ def test_packed_contents(spark):
 
 
 def test_missing_codec_is_an_error(spark):
-    if importlib.util.find_spec("cv2"):
-        pytest.skip("the codec is installed")
+    def needs_a_codec(content):
+        import no_such_codec
+
+        return no_such_codec.decode(content)
+
     df = spark.createDataFrame([("x", bytearray(b"junk"))], "name string, content binary")
-    with pytest.raises(Exception, match="cv2"):
-        images.content_to_tensor(df).collect()
+    with pytest.raises(Exception, match="no_such_codec"):
+        images.content_to_tensor(df, decode=needs_a_codec).collect()
+    with pytest.raises(TypeError):
+        images.content_to_tensor(df)
 
 
 def test_loose_files_can_be_written_twice(spark, tmp_path):
@@ -189,9 +193,22 @@ def test_whole_run(spark, raw_root, tmp_path):
     assert rows.where("aggregate(target, cast(0 as float), (a, x) -> a + x) <> 1").count() == 0
 
     model = str(tmp_path / "model")
-    jobs.train(spark, str(tmp_path / "training/batches"), model, shape, epochs=60)
-    result = jobs.evaluate(spark, out, model, CLASSES, shape=shape).first()
+    training_root = str(tmp_path / "training")
+    jobs.train(spark, training_root, model, shape, epochs=60)
+    result = jobs.evaluate(spark, out, model, training_root, shape=shape).first()
     assert result["accuracy"] > 0.9
+    with pytest.raises(ValueError, match="trained with"):
+        jobs.evaluate(spark, out, model, training_root, CLASSES[::-1], shape=shape)
+    jobs.train(spark, training_root, model, shape, balanced=True, epochs=60)
+    assert jobs.evaluate(spark, out, model, training_root, CLASSES, shape=shape).first()["accuracy"] > 0.9
+    perceptron = jobs.train(spark, training_root, model, shape, hidden=[4])
+    stage = perceptron.stages[-1]
+    config = files.read_meta(spark, f"{training_root}/config", schemas.RUN_CONFIG).first()
+    layers = [int(x) for w in [stage.getLayers()] for x in w]
+    assert layers == [12, 4, 5]
+    assert stage.getOrDefault("maxIter") == config["epochs"] == 10
+    assert stage.getOrDefault("blockSize") == config["batch_size"] == 32
+    assert stage.getOrDefault("stepSize") == config["learning_rate"] == 0.001
 
 
 def test_import_keeps_gaps_and_labels(spark, tmp_path):
@@ -236,7 +253,7 @@ def test_both_decoding_ways_agree(spark, tmp_path):
         image = pixels(3, 4)
         (tmp_path / "train" / f"coco_{i:06d}.jpg").write_bytes(ppm(image) if i != 4 else b"broken")
     (tmp_path / "train" / "labels.json").write_text(json.dumps(["cat", "dog", "zebra"] * 4))
-    chosen = jobs.select_images(spark, str(tmp_path), CLASSES, {"train": 100}, 4)
+    chosen = jobs.select_images(spark, str(tmp_path), CLASSES, {"train": 100}, 4, splits=["train"])
     by_path = images.path_to_tensor(chosen, 2, 2, decode=ppm_decode)
     packed = files.read_contents(spark, str(tmp_path), "train").drop("name").join(chosen, "path")
     by_content = images.content_to_tensor(packed, 2, 2, decode=ppm_decode)
@@ -261,10 +278,41 @@ def test_images_arriving_as_files(spark, tmp_path):
     assert arrive("coco_3.jpg") == {"coco_1.jpg", "coco_2.png", "coco_3.jpg"}
 
 
-def test_missing_file_is_dropped(spark, tmp_path):
-    (tmp_path / "x.ppm").write_bytes(ppm(pixels(2, 2)))
-    df = spark.createDataFrame([(str(tmp_path / "x.ppm"),), (str(tmp_path / "gone.ppm"),)], "path string")
-    assert images.path_to_tensor(df, 2, 2, decode=ppm_decode).count() == 1
+def test_names_are_literal_and_unreadable_files_are_dropped(spark, tmp_path):
+    names = ["x.ppm", "a b.ppm", "a%20b.ppm", "50%.ppm", "ü#?.ppm", "gone.ppm", "folder.ppm"]
+    images_of = {}
+    for name in names[:5]:
+        images_of[name] = ppm(pixels(2, 2))
+        (tmp_path / name).write_bytes(images_of[name])
+    (tmp_path / "folder.ppm").mkdir()
+    rows = [(n, f"{prefix}{tmp_path}/{n}") for n in names for prefix in ("", "file:", "file://")] + [("none", None)]
+    df = spark.createDataFrame(rows, "name string, filepath string")
+    kept = files.with_contents(df, keep_rejects=True).collect()
+    reasons = {r["name"]: r["reject"] for r in kept}
+    assert len(kept) == len(rows)
+    assert {n: r for n, r in reasons.items() if r} == {
+        "gone.ppm": "not found", "folder.ppm": "unreadable", "none": "no path"
+    }
+    assert all(bytes(r["content"]) == images_of[r["name"]] for r in kept if r["reject"] is None)
+    assert files.with_contents(df).count() == 15
+    assert images.path_to_tensor(df, 2, 2, path="filepath", decode=ppm_decode).count() == 15
+
+
+def test_all_images_without_a_cap(spark, raw_root):
+    rows = jobs.select_images(spark, raw_root, CLASSES, None)
+    assert rows.count() == sum(i % 6 < 5 for n in (130, 40) for i in range(n))
+    some = jobs.select_images(spark, raw_root, CLASSES, {"train": 3})
+    counts = {r["split"]: r["n"] for r in some.groupBy("split").agg(F.count("*").alias("n")).collect()}
+    assert counts == {"train": 3, "validation": sum(i % 6 < 5 for i in range(40))}
+
+
+def test_settings_of_the_session_stay(spark, raw_root, tmp_path):
+    from pixelweave.session import TENSOR_SETTINGS, tensor_settings
+
+    before = {k: spark.conf.get(k) for k in TENSOR_SETTINGS}
+    with tensor_settings(spark):
+        assert all(spark.conf.get(k) == v for k, v in TENSOR_SETTINGS.items())
+    assert {k: spark.conf.get(k) for k in TENSOR_SETTINGS} == before
 
 
 def test_raw_table(spark, tmp_path):

@@ -84,11 +84,37 @@ def test_label_encoder_follows_the_list(spark):
         training.label_encoder(["cat"]).transform(df).collect()
 
 
-def test_grid_search_lists_every_combination(spark, points):
+def test_grid_search_keeps_the_best_and_ignores_partitions(spark, points):
     rows = training.with_features(points.withColumn("label_idx", F.col("label").cast("double")), "v")
-    found = training.grid_search(rows, {"regParam": [0.0, 0.1], "elasticNetParam": [0.0, 1.0]}, epochs=3)
-    assert found.count() == 4
-    assert A.best_candidate(found, "candidate", "accuracy").count() == 1
+    grid = {"regParam": [10.0, 0.0], "elasticNetParam": [0.0, 1.0]}
+    found, model = training.grid_search(rows, grid, "id", epochs=3)
+    scores = sorted(map(tuple, found.collect()))
+    assert len(scores) == 4
+    best = A.best_candidate(found, "candidate", "accuracy").first()["candidate"]
+    assert f"regParam={model.stages[-1].getOrDefault('regParam')}" in scores[best][1]
+    again, _ = training.grid_search(rows.repartition(1), grid, "id", epochs=3)
+    assert [(i, p) for i, p, _ in sorted(map(tuple, again.collect()))] == [(i, p) for i, p, _ in scores]
+    assert np.allclose([a for _, _, a in scores], [r["accuracy"] for r in again.orderBy("candidate").collect()])
+
+
+def test_epoch_metrics(spark, points):
+    rows = training.with_features(points.withColumn("label_idx", F.col("label").cast("double")), "v")
+    found = training.epoch_metrics(rows, 4).orderBy("epoch").collect()
+    assert [r["epoch"] for r in found] == [1, 2, 3, 4]
+    assert found[-1]["loss"] < found[0]["loss"] and found[-1]["accuracy"] >= found[0]["accuracy"]
+
+
+def test_class_weights_balance_a_fit(spark):
+    rng = np.random.default_rng(2)
+    rows = [(float(i % 20 == 0), [float(rng.normal((i % 20 == 0) * 0.8, 1.0))]) for i in range(2000)]
+    df = training.with_features(spark.createDataFrame(rows, "label_idx double, v array<double>"), "v")
+
+    def recall(**params):
+        model = training.fit_classifier(training.with_class_weights(df), epochs=20, **params)
+        found = scoring.score(df.where("label_idx = 1"), model)
+        return found.agg(F.avg((F.get("probs", F.lit(1)) > 0.5).cast("double"))).first()[0]
+
+    assert recall() < 0.1 < 0.4 < recall(weightCol="weight")
 
 
 def test_stream_continues_after_a_restart(spark, tmp_path):
