@@ -13,10 +13,16 @@ from pixelweave.operators.numbering import with_position
 CLASSES = ("purchase", "click", "view", "cart", "signup")
 INT_CLASSES = (0, 1, 2, 3, 4)
 
-# The first 48 values of an embedding are read as a 4 x 4 image of 3 channels.
-SHAPE = (4, 4, 3)
-VALUES = 48
-
+# The 64 values of an embedding are read as an 8 x 8 image. Its three channels are the values,
+# the negated values and the halved values, which differ and are exact in both engines.
+SHAPE = (8, 8, 3)
+VALUES = 192
+
+SQL_TENSORS = """(
+  SELECT vec_id, label,
+         flatten(list_transform(embedding, lambda x: [x, -x, CAST(x / 2 AS FLOAT)])) AS embedding
+  FROM embeddings
+)"""
 SQL_LIST = ", ".join(f"'{c}'" for c in CLASSES)
 SQL_CLASSES = ", ".join(f"({i}, '{c}')" for i, c in enumerate(CLASSES))
 SQL_INDEX = "CASE label " + " ".join(f"WHEN '{c}' THEN {i}" for i, c in enumerate(CLASSES)) + " END"
@@ -74,8 +80,11 @@ def batches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Small tensors as arrays ``(vec_id, label, pixels)``."""
-    pixels = F.slice("embedding", 1, VALUES).alias("pixels")
-    return table(spark, sf_dir, "embeddings").select("vec_id", "label", pixels)
+    half = F.lit(0.5).cast("float")
+    channels = F.transform("embedding", lambda x: F.array(x, -x, x * half))
+    return table(spark, sf_dir, "embeddings").select(
+        "vec_id", "label", F.flatten(channels).alias("pixels")
+    )
 
 
 def tensors(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,14 +15,15 @@ from pixelweave.functions import labels as L, tensors as T
 from pixelweave.functions.arrow import FLOAT, block_of
 from pixelweave.operators import images, layout
 from pixelweave.operators.numbering import with_position
-from pixelweave.plans.bindings import SHAPE, exploded, split_of, tensors, vectors
+from pixelweave.plans.bindings import SHAPE, SQL_TENSORS, exploded, split_of, tensors, vectors
 from pixelweave.plans.registry import query
 from pixelweave.plans.tensors import _MEAN, _STD, sql_resize
+from pixelweave.sinks import tables
 from pixelweave.sinks.image_files import write_image_files
 from pixelweave.sources import files
 from pixelweave.workspace import fresh_path
 
-_SIDE = 8
+_SIDE = 4
 
 
 def png(rgb: np.ndarray) -> bytes:
@@ -60,10 +61,10 @@ def png_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_SQL_QUANTISED = """
+_SQL_QUANTISED = f"""
   SELECT vec_id, list_transform(embedding, lambda x:
          least(255, greatest(0, floor((CAST(x AS DOUBLE) + 1) * 127.5::DOUBLE)))) AS px
-  FROM embeddings
+  FROM {SQL_TENSORS}
 """
 
 
@@ -133,3 +134,76 @@ def import_samples(spark, sf_dir):
     return jobs.import_samples(spark, source, fresh_path(spark, "raw")).select(
         "split", "name", "label", "pos"
     )
+
+
+def unpacked(content: bytes) -> np.ndarray:
+    """Decoder of the images that ``png`` writes: BGR pixels."""
+    at, size, data = 8, None, b""
+    while at < len(content):
+        n, tag = struct.unpack(">I4s", content[at : at + 8])
+        body = content[at + 8 : at + 8 + n]
+        if tag == b"IHDR":
+            size = struct.unpack(">II", body[:8])
+        elif tag == b"IDAT":
+            data += body
+        at += n + 12
+    w, h = size
+    lines = np.frombuffer(zlib.decompress(data), np.uint8).reshape(h, -1)
+    return lines[:, 1:].reshape(h, w, -1)[..., ::-1]
+
+
+_SQL_OUTCOME = """CASE vec_id % 5 WHEN 3 THEN 'not found' WHEN 4 THEN 'unreadable' ELSE 'read' END"""
+
+
+@query(f"""
+SELECT {_SQL_OUTCOME} AS outcome, count(*) AS n, count(*) FILTER (vec_id % 5 < 3) AS n_same FROM embeddings GROUP BY 1
+""")
+def named_files(spark, sf_dir):
+    """Files whose names hold a blank or a percent sign, absent files, and folders."""
+    root = fresh_path(spark, "named")
+    form = F.element_at(F.array(*map(F.lit, ("a b%d", "a%%20b%d", "a+b%%%d"))), (F.col("vec_id") % 3 + 1).cast("int"))
+    name = F.concat(F.regexp_replace(form, "%d", ""), F.col("vec_id").cast("string"), F.lit(".png"))
+    rows = png_files(spark, sf_dir).withColumn("name", name)
+    written = write_image_files(rows.where("vec_id % 5 < 3"), root)
+    written.agg(F.sum("bytes")).collect()  # one row; runs the write
+    place = F.when(F.col("vec_id") % 5 == 4, F.lit(f"{root}/train")).otherwise(
+        F.concat(F.lit(f"{root}/train/"), "name")
+    )
+    named = rows.select("vec_id", F.crc32("content").alias("crc"), place.alias("filepath"))
+    found = files.with_contents(named, keep_rejects=True)
+    return found.groupBy(F.coalesce("reject", F.lit("read")).alias("outcome")).agg(
+        F.count("*").alias("n"), F.count_if(F.crc32("content") == F.col("crc")).alias("n_same")
+    )
+
+
+@query(f"""
+WITH chosen AS (
+  SELECT vec_id, label, CASE WHEN vec_id % 10 <= 7 THEN 'train'
+                             WHEN vec_id % 10 = 8 THEN 'validation' ELSE 'test' END AS split
+  FROM embeddings WHERE label < 5
+),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY split ORDER BY vec_id) - 1 AS pos FROM chosen
+),
+cells AS (
+  SELECT vec_id, CAST(CAST((px[i + 1] / 255 - {_MEAN}[i % 3 + 1]) / {_STD}[i % 3 + 1] AS FLOAT) AS DOUBLE) AS x
+  FROM ({_SQL_QUANTISED}), range(192) AS r(i)
+),
+sums AS (SELECT vec_id, sum(x) AS total FROM cells GROUP BY 1)
+SELECT split, CAST(pos AS BIGINT) AS pos, CAST(pos // 50 AS BIGINT) AS chunk_id, 'c' || label AS label,
+       round(total, 3) + 0.0 AS total
+FROM placed JOIN sums USING (vec_id) WHERE split <> 'test' OR pos < 7
+""")
+def prepare_packed(spark, sf_dir):
+    """Raw table, selection, decoding, chunk table, and back."""
+    label = F.concat(F.lit("c"), F.col("label").cast("string")).alias("label")
+    labelled = png_files(spark, sf_dir).drop("split").join(vectors(spark, sf_dir).select("vec_id", label), "vec_id")
+    raw, out = fresh_path(spark, "raw"), fresh_path(spark, "processed")
+    tables.write_raw(labelled.withColumn("split", split_of("vec_id")), raw)
+    done = jobs.prepare_packed(
+        spark, raw, out, unpacked, [f"c{i}" for i in range(5)], {"test": 7}, SHAPE
+    )
+    total = F.aggregate(
+        T.from_bytes("tensor", SHAPE), F.lit(0.0), lambda s, x: s + x.cast("double")
+    )
+    return done.select("split", "pos", "chunk_id", "label", (F.round(total, 3) + 0.0).alias("total"))

@@ -21,8 +21,8 @@ from pixelweave.plans.bindings import (
     table,
 )
 from pixelweave.plans.registry import query
-from pixelweave.sinks import tables
-from pixelweave.sources import files
+from pixelweave.sinks import metadata, tables
+from pixelweave.sources import files, samples as sources
 from pixelweave.workspace import fresh_path
 
 
@@ -38,13 +38,41 @@ def label_class_histogram(spark, sf_dir):
 
 
 @query(f"""
-SELECT event_id, label, split
-FROM (SELECT event_id, event_type AS label, {SQL_SPLIT} AS split FROM events)
-WHERE split = 'train'
+SELECT event_id, event_type AS label, 'train' AS split
+FROM (SELECT event_id, event_type, {SQL_SPLIT} AS split FROM events) WHERE split = 'train'
 """)
 def sample_scan(spark, sf_dir):
-    rows = samples(spark, sf_dir).withColumn("split", split_of("event_id"))
-    return filters.select_split(rows, "train")
+    detection = F.struct(F.col("label").alias("label"))
+    annotated = samples(spark, sf_dir).select(
+        F.col("event_id").alias("sample_id"),
+        split_of("event_id").alias("split"),
+        F.format_string("img/%d.jpg", "event_id").alias("filepath"),
+        F.struct(F.array(detection).alias("detections")).alias("ground_truth"),
+    )
+    path = fresh_path(spark, "annotated")
+    annotated.write.parquet(path)
+    return sources.read_samples(spark, path, "train").select(
+        F.col("sample_id").alias("event_id"), L.first_label("ground_truth.detections").alias("label"), "split"
+    )
+
+
+@query(f"""
+SELECT event_id, event_type AS label
+FROM (SELECT event_id, event_type, {SQL_SPLIT} AS split FROM events) WHERE split = 'train'
+ORDER BY event_id LIMIT 300
+""")
+def first_samples(spark, sf_dir):
+    annotated = samples(spark, sf_dir).select(
+        F.col("event_id").alias("sample_id"),
+        split_of("event_id").alias("split"),
+        F.lit("").alias("filepath"),
+        F.struct(F.array(F.struct("label")).alias("detections")).alias("ground_truth"),
+    )
+    path = fresh_path(spark, "annotated")
+    annotated.write.parquet(path)
+    return sources.read_samples(spark, path, "train", max_samples=300).select(
+        F.col("sample_id").alias("event_id"), L.first_label("ground_truth.detections").alias("label")
+    )
 
 
 @query("""
@@ -64,23 +92,56 @@ def path_listing(spark, sf_dir):
     return with_position(filters.name_prefix(listed, "4"), ["url", "page_id"])
 
 
+# A label file is one text; the broken ones must count as having no labels.
+_LABEL_FILES = {
+    "object": '{"labels":%s}',
+    "list": "%s",
+    "blank space": " \n%s\n",
+    "trailing text": "%s xx",
+    "trailing after object": '{"labels":%s} trailing',
+    "other key": '{"other":%s}',
+}
+
+
 @query("""
-SELECT doc_id, 0 AS pos, CAST(quality AS VARCHAR) AS label, CAST(quality AS INTEGER) AS mapped
-FROM labels
-UNION ALL
-SELECT doc_id, 1, CAST(toxic AS VARCHAR), CAST(quality AS INTEGER) FROM labels
+WITH files(file) AS (VALUES ('object'), ('list'), ('blank space')),
+kinds AS (SELECT DISTINCT event_type AS label FROM events)
+SELECT file, CAST(row_number() OVER (PARTITION BY file ORDER BY label) - 1 AS BIGINT) AS pos, label
+FROM files, kinds
 """)
 def label_file_scan(spark, sf_dir):
+    # One list of the distinct labels, as long as the class list.
+    kinds = samples(spark, sf_dir).agg(F.to_json(F.array_sort(F.collect_set("label"))).alias("labels"))
+    found = None
+    for name, form in _LABEL_FILES.items():
+        path = fresh_path(spark, "label-file")
+        text = F.format_string(form.replace("%s", "%1$s"), "labels")
+        kinds.select(text.alias("value")).coalesce(1).write.text(path)
+        rows = files.read_labels(spark, path).select(F.lit(name).alias("file"), "pos", "label")
+        found = rows if found is None else found.union(rows)
+    return found
+
+
+@query("""
+SELECT doc_id, CAST(quality AS INTEGER) AS mapped FROM labels
+""")
+def label_map_text(spark, sf_dir):
     rows = table(spark, sf_dir, "labels")
-    items = F.array(F.col("quality").cast("string"), F.col("toxic").cast("string"))
-    text = F.when(F.col("doc_id") % 2 == 0, F.to_json(F.struct(items.alias("labels"))))
-    written = rows.select(
-        "doc_id",
-        text.otherwise(F.to_json(items)).alias("text"),
-        F.to_json(F.create_map(F.lit("quality"), "quality")).alias("map"),
-    )
-    mapped = F.try_element_at(L.parse_label_map("map"), F.lit("quality")).alias("mapped")
-    return written.select("doc_id", mapped, F.posexplode(L.parse_label_list("text")).alias("pos", "label"))
+    text = F.to_json(F.create_map(F.lit("quality"), "quality"))
+    mapped = F.try_element_at(L.parse_label_map(text), F.lit("quality"))
+    return rows.select("doc_id", mapped.alias("mapped"))
+
+
+@query(f"""
+SELECT label, CAST(class_idx AS INTEGER) AS class_idx FROM (VALUES {SQL_CLASSES}) AS c(class_idx, label)
+WHERE label IN (SELECT DISTINCT event_type FROM events) OR label = 'cart'
+""")
+def label_map_file(spark, sf_dir):
+    path = fresh_path(spark, "label-map")
+    metadata.write_meta(metadata.label_map(spark, CLASSES), path)
+    present = samples(spark, sf_dir).select("label").distinct()
+    stored = files.read_label_map(spark, path)
+    return stored.join(present, "label").union(stored.where("label = 'cart'")).select("label", "class_idx")
 
 
 @query("""
@@ -115,7 +176,7 @@ def first_detection_label(spark, sf_dir):
 @query("""
 WITH taken AS (
   SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS pos
-  FROM documents ORDER BY doc_id LIMIT 500
+  FROM documents
 )
 SELECT doc_id, CAST(pos AS BIGINT) AS pos, printf('coco_%06d.jpg', pos) AS name,
        'train/images_chunk_' || (pos // 50) AS chunk
@@ -123,7 +184,7 @@ FROM taken WHERE doc_id IN (SELECT doc_id FROM labels)
 """)
 def canonical_name(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id")
-    taken = with_position(layout.head(docs, 500, "doc_id"), "doc_id")
+    taken = with_position(docs, "doc_id")
     # Names count the rows before the drop, so missing sources leave gaps.
     found = filters.drop_missing_source(taken, table(spark, sf_dir, "labels"), "doc_id")
     return found.select(
@@ -203,6 +264,38 @@ def positional_zip(spark, sf_dir):
     return joins.zip_by_position(docs, side, "doc_id", "labelled_id")
 
 
+@query("""
+WITH d AS (SELECT doc_id, lang, row_number() OVER (ORDER BY doc_id) - 1 AS pos FROM documents ORDER BY doc_id LIMIT 60),
+l AS (SELECT doc_id AS labelled_id, quality, row_number() OVER (ORDER BY doc_id) - 1 AS pos FROM labels
+      ORDER BY doc_id LIMIT 50)
+SELECT CAST(pos AS BIGINT) AS pos, doc_id, lang, labelled_id, quality FROM d JOIN l USING (pos)
+""")
+def limited_zip(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang")
+    side = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("labelled_id"), "quality")
+    return joins.zip_by_position(
+        layout.head(docs, 60, "doc_id"), layout.head(side, 50, "labelled_id"), "doc_id", "labelled_id"
+    )
+
+
+@query("""
+SELECT page_id, url AS path FROM pages
+""")
+def ordered_paths(spark, sf_dir):
+    return layout.order_by_path(table(spark, sf_dir, "pages").select("page_id", F.col("url").alias("path")))
+
+
+@query(f"""
+SELECT 'listed' AS part, count(*) FILTER (event_type IN ({SQL_LIST})) > 0 AS any_rows FROM events
+UNION ALL SELECT 'absent', count(*) FILTER (event_type = 'cart') > 0 FROM events
+""")
+def any_rows(spark, sf_dir):
+    rows = samples(spark, sf_dir)
+    listed = A.any_rows(filters.keep_classes(rows, CLASSES)).withColumn("part", F.lit("listed"))
+    absent = A.any_rows(filters.keep_classes(rows, ["cart"])).withColumn("part", F.lit("absent"))
+    return listed.union(absent).select("part", "any_rows")
+
+
 @query("""
 SELECT doc_id, lang, quality, toxic FROM documents JOIN labels USING (doc_id)
 """)

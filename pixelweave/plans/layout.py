@@ -131,17 +131,44 @@ def batch_pack(spark, sf_dir):
 
 @query(f"""
 SELECT CAST(batch_id AS BIGINT) AS batch_id, label, count(*) AS n
-FROM ({SQL_BATCHES}) WHERE chunk_id < 20 AND label IN ({SQL_LIST}) GROUP BY 1, 2
+FROM ({SQL_BATCHES}) WHERE batch_id % 3 <> 1 AND label IN ({SQL_LIST}) GROUP BY 1, 2
 """)
 def batch_read(spark, sf_dir):
-    numbered = layout.assign_chunk(with_position(samples(spark, sf_dir), "event_id"))
-    packed = layout.pack_batches(numbered, per_batch=10, num_batches=2)
+    # All batches are written; the read leaves out every third.
+    packed = batches(spark, sf_dir)
     path = fresh_path(spark, "batches")
     tables.write_batches(packed, path, CLASSES)
-    stored = scans.read_batches(spark.read.schema(packed.schema).parquet(path), [0, 1])
+    wanted = [i for i in range(A.batch_count(packed).first()["num_batches"]) if i % 3 != 1]
+    stored = scans.read_batches(spark.read.schema(packed.schema).parquet(path), wanted)
     return stored.groupBy("batch_id", "label").agg(F.count("*").alias("n"))
 
 
+@query(f"""
+SELECT CAST(batch_id AS BIGINT) AS batch_id, count(*) AS n FROM ({SQL_BATCHES}) GROUP BY 1
+""")
+def ordered_batches(spark, sf_dir):
+    return layout.order_batches(A.batch_sizes(batches(spark, sf_dir)))
+
+
+@query(f"""
+SELECT event_id, CAST(chunk_id AS BIGINT) AS chunk_id, CAST(pos AS BIGINT) AS pos FROM ({SQL_CHUNKS})
+""")
+def stable_order(spark, sf_dir):
+    return layout.stable_order(chunks(spark, sf_dir)).select("event_id", "chunk_id", "pos")
+
+
+@query(f"""
+SELECT 10 AS epochs, 32 AS batch_size, 0.001::DOUBLE AS learning_rate, {len(CLASSES)} AS num_classes,
+       CAST(count(DISTINCT batch_id) AS INTEGER) AS num_batches, 10 AS chunks_per_batch
+FROM ({SQL_BATCHES})
+""")
+def run_config(spark, sf_dir):
+    found = A.batch_count(batches(spark, sf_dir)).first()["num_batches"]
+    path = fresh_path(spark, "config")
+    metadata.write_meta(metadata.run_config(spark, found, len(CLASSES)), path)
+    return files.read_meta(spark, path, schemas.RUN_CONFIG)
+
+
 _SQL_RANGES = f"""
   SELECT batch_id, n, CAST(sum(n) OVER (ORDER BY batch_id) - n AS BIGINT) AS start,
          CAST(sum(n) OVER (ORDER BY batch_id) AS BIGINT) AS "end"

@@ -96,33 +96,97 @@ def label_indexer(spark, sf_dir):
     return coded.withColumn("label_idx", F.col("label_idx").cast("int"))
 
 
-@query()
-def fit_classifier(spark, sf_dir):
-    """Fit, save, load and evaluate; with the last objective value of the fit."""
-    rows = _ready(training_rows(spark, sf_dir))
-    model = training.fit_classifier(rows, epochs=10)
+# What SQL can know of a fit: how many rows it scores, its classes, and that four statements
+# on it hold.
+_SQL_FIT = f"""
+SELECT count(*) FILTER (vec_id % 10 = 8) AS n_scored, count(DISTINCT label) FILTER (vec_id % 10 <> 8) AS n_classes,
+       true AS sums_to_one, true AS reloaded_same, true AS better_than_first, true AS better_than_guess
+FROM embeddings WHERE label < {_K}
+"""
+
+
+def _checked(spark, sf_dir, rows, model, first_loss, last_loss):
     path = fresh_path(spark, "model")
     training.save_model(model, path)
-    last = A.last_epoch_metric(training.training_history(model, rows), "loss").scalar()
     held_out = _ready(vectors(spark, sf_dir).where(F.col("vec_id") % 10 == 8))
-    return scoring.evaluate(held_out, training.load_model(path)).withColumn("train_loss", last)
+    scored = scoring.score(held_out, model).select("vec_id", "probs")
+    again = scoring.score(held_out, training.load_model(path)).select("vec_id", F.col("probs").alias("reloaded"))
+    both = scored.join(again, "vec_id")
+    total = F.aggregate("probs", F.lit(0.0), lambda s, x: s + x)
+    fitted = scoring.evaluate(rows, model).first()
+    return both.agg(
+        F.count("*").alias("n_scored"),
+        F.max(F.size("probs")).cast("bigint").alias("n_classes"),
+        F.every(F.abs(total - 1) < 1e-9).alias("sums_to_one"),
+        F.every(F.col("probs") == F.col("reloaded")).alias("reloaded_same"),
+        F.lit(bool(last_loss < first_loss)).alias("better_than_first"),
+        F.lit(bool(fitted["accuracy"] > 1.2 / _K)).alias("better_than_guess"),
+    )
+
+
+def _history(spark, model, rows):
+    history = training.training_history(model, rows)
+    first = history.where("epoch = 0").first()["loss"]
+    return first, A.last_epoch_metric(history, "loss").first()["loss"]
+
+
+@query(_SQL_FIT)
+def fit_classifier(spark, sf_dir):
+    """Fit, save, load and score."""
+    rows = _ready(training_rows(spark, sf_dir))
+    model = training.fit_classifier(rows, epochs=10)
+    return _checked(spark, sf_dir, rows, model, *_history(spark, model, rows))
 
 
-@query()
+@query(_SQL_FIT)
 def fit_perceptron(spark, sf_dir):
     """The same with one hidden layer."""
     rows = _ready(training_rows(spark, sf_dir))
     model = training.fit_classifier(rows, layers=(64, 32, _K), epochs=10, seed=7)
-    held_out = _ready(vectors(spark, sf_dir).where(F.col("vec_id") % 10 == 8))
-    return scoring.evaluate(held_out, model)
+    return _checked(spark, sf_dir, rows, model, *_history(spark, model, rows))
 
 
-@query()
+@query(_SQL_FIT)
+def fit_weighted(spark, sf_dir):
+    """The same with rows weighted so that classes count the same."""
+    rows = training.with_class_weights(_ready(training_rows(spark, sf_dir)))
+    model = training.fit_classifier(rows, epochs=10, weightCol="weight")
+    return _checked(spark, sf_dir, rows, model, *_history(spark, model, rows))
+
+
+@query("""
+SELECT epoch, true AS rows_scored, true AS falling FROM range(1, 4) AS r(epoch)
+WHERE (SELECT count(*) FROM embeddings) > 0
+""")
+def epoch_metrics(spark, sf_dir):
+    """Loss and accuracy after each epoch; the loss does not rise."""
+    rows = _ready(training_rows(spark, sf_dir))
+    found = training.epoch_metrics(rows, 3, regParam=0.0)
+    before = found.select((F.col("epoch") + 1).alias("epoch"), F.col("loss").alias("before"))
+    return found.join(before, "epoch", "left").select(
+        F.col("epoch").cast("bigint").alias("epoch"),
+        F.col("accuracy").between(0, 1).alias("rows_scored"),
+        (F.coalesce("before", F.col("loss")) >= F.col("loss")).alias("falling"),
+    )
+
+
+@query("""
+SELECT CAST(3 AS BIGINT) AS n_candidates, true AS best_is_largest, true AS model_is_best
+FROM embeddings LIMIT 1
+""")
 def grid_search(spark, sf_dir):
-    """Best regularisation by validation accuracy."""
+    """Best regularisation by validation accuracy, and the model that reached it."""
     rows = _ready(training_rows(spark, sf_dir))
-    found = training.grid_search(rows, {"regParam": [0.0, 0.01, 0.1], "elasticNetParam": [0.0]}, epochs=5)
-    return A.best_candidate(found, "params", "accuracy")
+    grid = {"regParam": [0.0, 0.01, 0.1], "elasticNetParam": [0.0]}
+    found, model = training.grid_search(rows, grid, "vec_id", epochs=5)
+    best = A.best_candidate(found, "candidate", "accuracy").first()
+    params = found.where(F.col("candidate") == best["candidate"]).first()["params"]
+    reg = model.stages[-1].getOrDefault("regParam")
+    return found.agg(
+        F.count("*").alias("n_candidates"),
+        (F.max("accuracy") == best["accuracy"]).alias("best_is_largest"),
+        F.lit(f"regParam={reg}" in params).alias("model_is_best"),
+    )
 
 
 @query("""

@@ -12,8 +12,10 @@ from pixelweave.operators.images import augment as augment_tensors
 from pixelweave.plans.bindings import (
     INT_CLASSES,
     SHAPE,
+    SQL_TENSORS,
     VALUES,
     exploded,
+    table,
     tensors,
     vectors,
 )
@@ -29,12 +31,12 @@ _STD = "([" + ", ".join(str(s) for s in fixed.CHANNEL_STD) + "]::DOUBLE[])"
 # Every pixel value with its 0-based index; DuckDB lists count from 1.
 _SQL_PIXELS = f"""
   SELECT vec_id, CAST(i AS INTEGER) AS i, embedding[i + 1] AS x, embedding
-  FROM embeddings, range({VALUES}) AS r(i)
+  FROM {SQL_TENSORS}, range({VALUES}) AS r(i)
 """
 
 
 def sql_resize(source: str, h: int, w: int) -> str:
-    """SQL of a bilinear resize of list column ``px`` of 4 x 4 x 3 doubles to h x w."""
+    """SQL of a bilinear resize of list column ``px`` of 8 x 8 x 3 doubles to h x w."""
     height, width, channels = SHAPE
 
     def taps(n_in: int, n_out: int) -> str:
@@ -54,7 +56,7 @@ def sql_resize(source: str, h: int, w: int) -> str:
     """
 
 
-_SQL_LIST_PIXELS = "SELECT vec_id, embedding::DOUBLE[] AS px FROM embeddings"
+_SQL_LIST_PIXELS = f"SELECT vec_id, embedding::DOUBLE[] AS px FROM {SQL_TENSORS}"
 
 
 @query(f"""
@@ -116,6 +118,14 @@ def bilinear_resize_expr(spark, sf_dir):
     return exploded(vectors(spark, sf_dir), T.resize_expr("pixels", SHAPE, 6, 6), 5)
 
 
+@query("""
+SELECT event_id, CAST(CAST(value AS FLOAT) AS DOUBLE) AS value FROM events
+""")
+def cast_float32(spark, sf_dir):
+    rows = table(spark, sf_dir, "events")
+    return rows.select("event_id", T.as_float32("value").cast("double").alias("value"))
+
+
 @query(f"""
 SELECT vec_id, i, CAST(x AS DOUBLE) AS value FROM ({_SQL_PIXELS}) WHERE embedding[1] >= 0
 """)
@@ -129,7 +139,7 @@ def tensor_bytes_roundtrip(spark, sf_dir):
 
 @query("""
 SELECT label, CAST(label AS INTEGER) AS label_idx, count(*) AS n,
-       CAST(count(*) AS DOUBLE) AS target_sum, CAST(count(*) * 192 AS BIGINT) AS tensor_bytes
+       CAST(count(*) AS DOUBLE) AS target_sum, CAST(count(*) * 768 AS BIGINT) AS tensor_bytes
 FROM embeddings WHERE label < 5 GROUP BY 1
 """)
 def training_set(spark, sf_dir):
@@ -154,15 +164,15 @@ WITH draws AS (
   SELECT vec_id, embedding, {_sql_uniform('flip')} < 0.5 AS flip,
          ({_sql_uniform('brightness')} * 2 - 1) * 0.2::DOUBLE AS shift,
          {_sql_uniform('contrast')} * (1.2::DOUBLE - 0.8::DOUBLE) + 0.8::DOUBLE AS gain
-  FROM embeddings
+  FROM {SQL_TENSORS}
 ),
 moved AS (
   SELECT vec_id, y, x, c, gain,
-         CAST(embedding[(y * 4 + CASE WHEN flip THEN 3 - x ELSE x END) * 3 + c + 1] AS DOUBLE) + shift AS p
-  FROM draws, range(4) AS a(y), range(4) AS b(x), range(3) AS d(c)
+         CAST(embedding[(y * 8 + CASE WHEN flip THEN 7 - x ELSE x END) * 3 + c + 1] AS DOUBLE) + shift AS p
+  FROM draws, range(8) AS a(y), range(8) AS b(x), range(3) AS d(c)
 ),
 centred AS (SELECT *, avg(p) OVER (PARTITION BY vec_id, c) AS m FROM moved)
-SELECT vec_id, CAST((y * 4 + x) * 3 + c AS INTEGER) AS i,
+SELECT vec_id, CAST((y * 8 + x) * 3 + c AS INTEGER) AS i,
        round(CAST(CAST((p - m) * gain + m AS FLOAT) AS DOUBLE), 5) + 0.0 AS value
 FROM centred
 """)

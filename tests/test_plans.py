@@ -6,9 +6,9 @@ import io
 import pytest
 from conftest import SMALL
 
-import __spark_entry__ as contract
+from pixelweave import plans
 
-QUERIES = contract.queries()
+QUERIES = plans.queries()
 
 
 def plan_of(df, mode="formatted"):

@@ -5,9 +5,10 @@ import pytest
 from conftest import MEDIUM, SMALL
 
 import __spark_entry__ as contract
+from pixelweave import plans
 
-QUERIES = contract.queries()
-SQL = contract.oracle_sql()
+QUERIES = plans.queries()
+SQL = plans.oracle_sql()
 
 
 @pytest.fixture(scope="module")
