@@ -25,7 +25,7 @@ from pixelweave.session import tensor_settings
 from pixelweave.sinks import metadata, tables
 from pixelweave.sinks.image_files import write_image_files
 from pixelweave.sources import chunks, files
-from pixelweave.workspace import materialize
+from pixelweave.workspace import materialize, scope
 
 
 # Bytes of a tensor from which the default batch sizes of Spark would fill the memory.
@@ -95,6 +95,7 @@ def select_images(
     return layout.assign_chunk(layout.cap_per_split(wanted, caps, "path"), chunk_size)
 
 
+@scope()
 def prepare(
     spark: SparkSession,
     raw_root: str,
@@ -126,6 +127,7 @@ def prepare(
     return _write_processed(spark, rows, out, shape)
 
 
+@scope()
 def prepare_packed(
     spark: SparkSession,
     raw_table: str,
@@ -173,6 +175,7 @@ def read_processed(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.PROCESSED_SAMPLE).parquet(path)
 
 
+@scope()
 def build_batches(
     spark: SparkSession,
     processed: str,
@@ -219,6 +222,7 @@ def _model_rows(df: DataFrame, shape: T.Shape, *more: str) -> DataFrame:
     )
 
 
+@scope()
 def train(
     spark: SparkSession,
     training_root: str,
@@ -255,6 +259,7 @@ def train(
     return model
 
 
+@scope()
 def evaluate(
     spark: SparkSession,
     processed: str,

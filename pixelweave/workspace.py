@@ -7,11 +7,15 @@ a file, not a re-run of the sort that produced it.
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pixelweave.functions.storage import locate
+
 _SETTING = "spark.checkpoint.dir"
 
 
@@ -39,9 +43,35 @@ def one_row(spark: SparkSession) -> DataFrame:
     return spark.range(0, 1, 1, numPartitions=1)
 
 
+_scopes: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def scope() -> Iterator[None]:
+    """Delete the working tables made inside the block when it ends.
+
+    Results must be written by then, as a DataFrame built inside still reads these tables.
+    Without a scope they stay until the shared folder is cleared.
+    """
+    made: list[str] = []
+    _scopes.append(made)
+    try:
+        yield
+    finally:
+        _scopes.remove(made)
+        for path in made:
+            # A folder that cannot be deleted from here is left to whoever clears the place.
+            with contextlib.suppress(OSError):
+                filesystem, place = locate(path)
+                filesystem.delete_dir(place)
+
+
 def fresh_path(spark: SparkSession, purpose: str) -> str:
     """A path nobody has used before, under the shared folder."""
-    return f"{shared_dir(spark)}/pixelweave/{purpose}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/pixelweave/{purpose}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
 
 
 def materialize(df: DataFrame, purpose: str) -> DataFrame:

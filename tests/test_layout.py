@@ -280,3 +280,23 @@ def test_class_weights_balance(spark):
     df = table(spark, [("a",)] * 30 + [("b",)] * 10, "label string")
     weights = {r["label"]: (r["weight"], r["n"]) for r in A.class_weights(df).collect()}
     assert weights["a"][0] * 30 == pytest.approx(weights["b"][0] * 10) == pytest.approx(20)
+
+
+def test_working_tables_go_with_their_scope(spark, tmp_path):
+    import os
+
+    from pixelweave import workspace
+
+    place = f"{workspace.shared_dir(spark).removeprefix('file:')}/pixelweave"
+
+    def tables():
+        return set(os.listdir(place)) if os.path.isdir(place) else set()
+
+    before = tables()
+    with workspace.scope():
+        with_position(spark.range(50), "id").write.parquet(str(tmp_path / "out"))
+        assert tables() - before
+    assert tables() == before
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 50
+    with_position(spark.range(50), "id")
+    assert tables() - before
