@@ -2,7 +2,8 @@
 
 A stage takes (spark, docs, sf_dir) and returns what it keeps of ``docs`` with the columns of
 ``documents``; the last returns the packed pieces. ``run`` writes every stage's rows as
-Parquet under the shared folder and reads them back for the next stage.
+Parquet under the shared folder and reads them back for the next stage; the working tables of
+a stage are deleted once its rows are written.
 
 Defined cases: empty tables stay empty; null texts fail the quality rules; rows without a key
 cannot be told apart, so the near-duplicate stage keeps them all; rows that repeat a key are
@@ -16,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pixelweave.llm import language, mixing, packing, rules, simhash
 from pixelweave.llm.registered import TARGETS, leaves_of
-from pixelweave.workspace import fresh_path
+from pixelweave.workspace import fresh_path, scope
 
 # Least confidence of the language stage; share of the tokens and seed of the mixing stage.
 LEAST_SURE = 0.2
@@ -76,7 +77,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         path = fresh_path(spark, f"pipeline-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
+        with scope():
+            stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs
 
