@@ -9,7 +9,7 @@ otherwise every pair would have been seen. A word that no other document has cou
 The tables are relational. Documents are dealt into blocks of about ``BLOCK`` by a hash of
 their key. A block's n-grams, counted once per block, are exploded into rows (gram, block,
 count) that lie in buckets of the gram's hash; a bucket's rows are summed into its part of the
-count table and joined to that table again, both in the partition where the bucket lies, so
+count table and get their gram's total in the partition where the bucket lies, by a window, so
 that n-grams cross the network once. The counts that a block cannot know by itself, of
 n-grams that other blocks have too, return to it, and its documents sum up their scores.
 
@@ -29,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import (
     ArrayType, DoubleType, IntegerType, LongType, StructField, StructType,
 )
@@ -39,7 +39,7 @@ from pixelweave.llm.text import texts
 BACKOFF = 0.4
 UNSEEN = 0.5
 # Documents of a block, and buckets per shuffle partition.
-BLOCK = 2_000
+BLOCK = 4_000
 BUCKETS_PER_PARTITION = 4
 
 
@@ -140,11 +140,12 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     grams = packed.select("bucket", "block", F.explode(F.arrays_zip("grams", "counts")).alias("x")).select(
         "bucket", "block", F.col("x.grams").alias("gram"), F.col("x.counts").alias("n")
     )
-    # The count table, partitioned by bucket like the rows that are joined to it.
-    table = grams.groupBy("bucket", "gram").agg(F.sum("n").alias("total"))
-    known = grams.join(table, ["bucket", "gram"])
+    # The count table is summed where the bucket lies, and each row meets its gram's total there:
+    # a window over the bucket's grams is that table joined back without a second exchange. The
+    # gram comes first in the sort, as it tells rows apart; a frequent gram has a row per block.
+    total = F.sum("n").over(Window.partitionBy("gram", "bucket"))
     # What only one block has, that block knows.
-    elsewhere = known.where(F.col("total") > F.col("n"))
+    elsewhere = grams.withColumn("total", total).where(F.col("total") > F.col("n"))
     replies = elsewhere.groupBy("bucket", "block").agg(F.collect_list(F.struct("gram", "total")).alias("x"))
     replies = replies.select("block", F.col("x.gram").alias("grams"), F.col("x.total").alias("totals"))
     n_corpus = rows.agg(F.sum(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")))).first()[0] or 0
