@@ -7,7 +7,7 @@ all *other* documents: what a document counts itself is taken off the corpus's c
 otherwise every pair would have been seen. A word that no other document has counts one half.
 
 The tables are relational. Documents are dealt into blocks of about ``BLOCK`` by a hash of
-their key. A block's n-grams, counted once per block, are exploded into rows (gram, block,
+their key and travel there compressed. A block's n-grams, counted once per block, are exploded into rows (gram, block,
 count) that lie in buckets of the gram's hash; a bucket's rows are summed into its part of the
 count table and get their gram's total in the partition where the bucket lies, by a window, so
 that n-grams cross the network once. The counts that a block cannot know by itself, of
@@ -31,7 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import (
-    ArrayType, DoubleType, IntegerType, LongType, StructField, StructType,
+    ArrayType, BinaryType, DoubleType, IntegerType, LongType, StructField, StructType,
 )
 
 from pixelweave.llm.text import texts
@@ -39,15 +39,15 @@ from pixelweave.llm.text import texts
 BACKOFF = 0.4
 UNSEEN = 0.5
 # Documents of a block, and buckets per shuffle partition.
-BLOCK = 4_000
+BLOCK = 3_000
 BUCKETS_PER_PARTITION = 4
 
 
-def _hashes(text: str, known: dict[bytes, int]) -> np.ndarray:
+def _hashes(text: bytes, known: dict[bytes, int]) -> np.ndarray:
     """Hash of every word of a text, an even number; ``known`` is a cache."""
     import xxhash
 
-    words = text.encode("utf-8", "surrogatepass").lower().split()
+    words = text.lower().split()  # lowers A-Z only
     for word in set(words).difference(known):
         known[word] = xxhash.xxh64_intdigest(word, 1) & ~1
     return np.array([known[w] for w in words], np.uint64)
@@ -61,19 +61,26 @@ def _pairs(words: np.ndarray) -> np.ndarray:
 
 
 class _Block:
-    """Words and pairs of a block's documents."""
+    """Words and pairs of a block's documents.
 
-    def __init__(self, documents: list[str]):
+    ``grams`` are the distinct words and then the distinct pairs with their ``counts``; in
+    ``order`` they stand by bucket, and bucket ``used[i]`` begins at ``starts[i]`` there.
+    """
+
+    def __init__(self, documents: list[bytes], n_buckets: int):
         known: dict[bytes, int] = {}
         self.words = [_hashes(t, known) for t in documents]
+        del known
         self.pairs = [_pairs(w) for w in self.words]
-
-    def counts(self) -> list[tuple[np.ndarray, np.ndarray]]:
-        """Distinct words and pairs, sorted, with their counts."""
-        return [
-            np.unique(np.concatenate(parts) if parts else np.empty(0, np.uint64), return_counts=True)
-            for parts in (self.words, self.pairs)
+        parts = [
+            np.unique(np.concatenate(x) if x else np.empty(0, np.uint64), return_counts=True)
+            for x in (self.words, self.pairs)
         ]
+        self.n_words = len(parts[0][0])
+        self.grams, self.counts = (np.concatenate(x) for x in zip(*parts))
+        bucket = (self.grams >> np.uint64(20)) % np.uint64(n_buckets)
+        self.order = np.argsort(bucket, kind="stable")
+        self.used, self.starts = np.unique(bucket[self.order], return_index=True)
 
 
 def _own(grams: np.ndarray) -> np.ndarray:
@@ -82,9 +89,10 @@ def _own(grams: np.ndarray) -> np.ndarray:
     return n[place]
 
 
-def _scores(block: _Block, totals: list[tuple[np.ndarray, np.ndarray]], n_corpus: int) -> list[float | None]:
+def _scores(block: _Block, totals: np.ndarray, n_corpus: int) -> list[float | None]:
     """Mean log score of every document, from the corpus's counts of the block's grams."""
-    (words, word_total), (pairs, pair_total) = totals
+    words, pairs = block.grams[: block.n_words], block.grams[block.n_words :]
+    word_total, pair_total = totals[: block.n_words], totals[block.n_words :]
     found: list[float | None] = []
     for w, p in zip(block.words, block.pairs):
         if not len(w):
@@ -103,14 +111,53 @@ def _scores(block: _Block, totals: list[tuple[np.ndarray, np.ndarray]], n_corpus
     return found
 
 
+_CARRIED = StructType([
+    StructField("block", LongType()), StructField("ids", ArrayType(LongType())),
+    StructField("sizes", ArrayType(IntegerType())), StructField("data", BinaryType()),
+])
 _PACKED = StructType([
-    StructField("bucket", IntegerType()), StructField("block", LongType()),
+    StructField("bucket", LongType()), StructField("block", LongType()),
     StructField("grams", ArrayType(LongType())), StructField("counts", ArrayType(IntegerType())),
 ])
 _SCORED = StructType([
     StructField("doc_id", LongType()), StructField("n_words", LongType()), StructField("score", DoubleType()),
 ])
 
+
+def _carry(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (block, id, text) as one compressed row per block of a batch."""
+    import zstandard
+
+    compressor = zstandard.ZstdCompressor(3)
+    for batch in batches:
+        blocks = batch.column("block").to_numpy()
+        order = np.argsort(blocks, kind="stable")
+        ids = batch.column("id").to_pylist()
+        data = [t.encode("utf-8", "surrogatepass") for t in texts(batch.column("text"))]
+        used, starts = np.unique(blocks[order], return_index=True)
+        rows = []
+        for block, members in zip(used.tolist(), np.split(order, starts[1:])):
+            own = [data[i] for i in members]
+            rows.append((block, [ids[i] for i in members], [len(d) for d in own], compressor.compress(b"".join(own))))
+        if rows:
+            kinds = (pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], _CARRIED.names)
+
+
+def _documents(table: pa.Table) -> tuple[list[int | None], list[bytes]]:
+    """Keys and texts of a block."""
+    import zstandard
+
+    decompressor = zstandard.ZstdDecompressor()
+    ids, documents = [], []
+    for row in table.to_pylist():
+        data = decompressor.decompress(row["data"])
+        ends = np.cumsum(row["sizes"]).tolist()
+        documents += [data[a:b] for a, b in zip([0, *ends], ends)]
+        ids += row["ids"]
+    return ids, documents
+
+
 def score(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_words and score (mean natural logarithm) of every document."""
     spark = docs.sparkSession
@@ -119,52 +166,45 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     n_buckets = BUCKETS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
     # Repeated keys may gather in a block, so the text takes part in dealing.
     blocked = rows.withColumn("block", F.pmod(F.xxhash64("id", "text"), F.lit(n_blocks)))
+    carried = blocked.select("block", "id", "text").mapInArrow(_carry, _CARRIED)
 
     def count(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        block = _Block(texts(table.column("text")))
-        (words, n_words), (pairs, n_pairs) = block.counts()
-        g, n = np.r_[words, pairs], np.r_[n_words, n_pairs]
-        bucket = (g >> np.uint64(20)) % np.uint64(n_buckets)
-        order = np.argsort(bucket, kind="stable")
-        g, n, bucket = g[order].view(np.int64), n[order], bucket[order]
-        used, starts = np.unique(bucket, return_index=True)
-        ends = pa.array(np.r_[starts, len(g)], pa.int32())
+        block = _Block(_documents(table)[1], n_buckets)
+        ends = pa.array(np.r_[block.starts, len(block.order)], pa.int32())
         return pa.table({
-            "bucket": pa.array(used.astype(np.int32)),
-            "block": pa.array(np.full(len(used), key[0].as_py())),
-            "grams": pa.ListArray.from_arrays(ends, pa.array(g)),
-            "counts": pa.ListArray.from_arrays(ends, pa.array(n, pa.int32())),
+            "bucket": pa.array(block.used.astype(np.int64)),
+            "block": pa.array(np.full(len(block.used), key[0].as_py()), pa.int64()),
+            "grams": pa.ListArray.from_arrays(ends, pa.array(block.grams[block.order].view(np.int64))),
+            "counts": pa.ListArray.from_arrays(ends, pa.array(block.counts[block.order], pa.int32())),
         })
 
-    packed = blocked.groupBy("block").applyInArrow(count, _PACKED).repartition(F.col("bucket"))
-    grams = packed.select("bucket", "block", F.explode(F.arrays_zip("grams", "counts")).alias("x")).select(
-        "bucket", "block", F.col("x.grams").alias("gram"), F.col("x.counts").alias("n")
-    )
+    packed = carried.groupBy("block").applyInArrow(count, _PACKED).repartition(F.col("bucket"))
+    exploded = packed.select("bucket", "block", F.posexplode(F.arrays_zip("grams", "counts")).alias("place", "x"))
+    grams = exploded.select("bucket", "block", "place", F.col("x.grams").alias("gram"), F.col("x.counts").alias("n"))
     # The count table is summed where the bucket lies, and each row meets its gram's total there:
     # a window over the bucket's grams is that table joined back without a second exchange. The
     # gram comes first in the sort, as it tells rows apart; a frequent gram has a row per block.
     total = F.sum("n").over(Window.partitionBy("gram", "bucket"))
-    # What only one block has, that block knows.
+    # What only one block has, that block knows. A reply names a gram by its place in the block.
     elsewhere = grams.withColumn("total", total).where(F.col("total") > F.col("n"))
-    replies = elsewhere.groupBy("bucket", "block").agg(F.collect_list(F.struct("gram", "total")).alias("x"))
-    replies = replies.select("block", F.col("x.gram").alias("grams"), F.col("x.total").alias("totals"))
+    replies = elsewhere.groupBy("bucket", "block").agg(
+        F.collect_list("place").alias("places"), F.collect_list("total").alias("totals")
+    )
     n_corpus = rows.agg(F.sum(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")))).first()[0] or 0
 
-    def sum_up(key: tuple[pa.Scalar, ...], documents: pa.Table, replies: pa.Table) -> pa.Table:
-        block = _Block(texts(documents.column("text")))
-        have = [replies.column(c).combine_chunks().flatten().to_numpy() for c in ("grams", "totals")]
-        gram, total = have[0].view(np.uint64), have[1]
-        totals = []
-        for g, n in block.counts():
-            place = np.minimum(np.searchsorted(g, gram), max(len(g) - 1, 0))
-            mine = g[place] == gram if len(g) else np.zeros(len(gram), bool)
-            n = n.astype(np.int64)
-            n[place[mine]] = total[mine]
-            totals.append((g, n))
-        ids = documents.column("id")
+    def sum_up(key: tuple[pa.Scalar, ...], carried: pa.Table, replies: pa.Table) -> pa.Table:
+        ids, documents = _documents(carried)
+        block = _Block(documents, n_buckets)
+        totals = block.counts.astype(np.int64)
+        start_of = dict(zip(block.used.tolist(), block.starts.tolist()))
+        columns = [replies.column(c) for c in ("bucket", "places", "totals")]
+        for bucket, places, found in zip(*columns):
+            at = block.order[start_of[bucket.as_py()] + places.values.to_numpy()]
+            totals[at] = found.values.to_numpy()
         return pa.table({
-            "doc_id": ids, "n_words": pa.array([len(w) for w in block.words], pa.int64()),
+            "doc_id": pa.array(ids, pa.int64()),
+            "n_words": pa.array([len(w) for w in block.words], pa.int64()),
             "score": pa.array(_scores(block, totals, n_corpus), pa.float64()),
         })
 
-    return blocked.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(sum_up, _SCORED)
+    return carried.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(sum_up, _SCORED)
