@@ -19,7 +19,9 @@ from pixelweave.llm import language, mixing, packing, rules, simhash
 from pixelweave.llm.registered import TARGETS, leaves_of
 from pixelweave.workspace import fresh_path, scope
 
-# Least confidence of the language stage; share of the tokens and seed of the mixing stage.
+# Least confidence of the language stage: labelled documents that pass the quality rules and are
+# held out from the fit score above it, letter gibberish and foreign texts below (tests compare).
+# Share of the tokens and seed of the mixing stage.
 LEAST_SURE = 0.2
 SHARE, SEED = (8, 10), 7
 
@@ -30,7 +32,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that can be told, with confidence ``LEAST_SURE``."""
+    """Documents in a learned language, told with confidence ``LEAST_SURE``: without letter
+    gibberish, other languages and texts that are as much in one language as in another."""
     found = language.identify(docs.select("*"), language.learn(docs))
     sure = (F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SURE)
     return found.where(sure).select(*docs.columns)

@@ -5,6 +5,14 @@ rest. Inside the winning family one machine for every two languages votes, so cl
 languages are separated by models that saw only them; equal votes are decided by the summed
 margins.
 
+The score is a confidence from 0 to 1. Its factors are how far the family's margin is above
+the next one's, how far the winner's margins are above its rivals' (both 0 where the two are
+equal), and how close the text is to the language: the cosine between the text's features and
+the mean of the language's fitted documents, over the median of that cosine for documents that
+are left out of the mean. It rises from 0 at ``FAR`` to 1 at ``NEAR``, so that a text unlike all
+of them scores low even where there are few rivals. Fewer than ``LEAST_ROWS`` documents of a
+language cannot tell how close its texts lie; that factor is then 1.
+
 Features are counts of hashed byte pairs and triples of the whole lower-cased text, with
 everything but letters reduced to blanks, scaled to unit length. The machines are fitted on a
 bounded sample: at most ``per_language`` labelled documents of each language, those smallest
@@ -46,6 +54,9 @@ UNKNOWN = "und"
 DIMENSIONS = 4096
 PER_LANGUAGE = 300
 
+# Closeness to the language at which a text is surely not, and surely, like its documents.
+FAR, NEAR, LEAST_ROWS = 0.4, 0.5, 10
+
 _LETTER = re.compile(r"[^\W\d_]")
 _BLANKED = bytes(
     c if c >= 128 or chr(c).isalpha() else 32 for c in range(256)
@@ -89,16 +100,19 @@ def fit_svm(x: np.ndarray, y: np.ndarray, cost: float = 10.0, rounds: int = 150)
 
 @dataclass(frozen=True)
 class Model:
-    """Stacked machines: one per family, then one per pair of languages of a family."""
+    """Stacked machines: one per family, then one per pair of languages of a family; the mean
+    direction of every language that has enough documents, over its documents' median cosine."""
 
     families: tuple[tuple[str, ...], ...]
     pairs: tuple[tuple[str, str], ...]
     weights: np.ndarray
+    centres: Mapping[str, np.ndarray]
 
     def predict(self, text: str | None) -> tuple[str, float]:
         if not text or not self.families or not _LETTER.search(text):
             return UNKNOWN, 0.0
-        margins = self.weights[:, :-1] @ _unit(gram_counts(text)) + self.weights[:, -1]
+        x = _unit(gram_counts(text))
+        margins = self.weights[:, :-1] @ x + self.weights[:, -1]
         heads = margins[: len(self.families)]
         chosen = int(np.argmax(heads))
         score = 1.0
@@ -117,11 +131,25 @@ class Model:
                 least[a] = min(least[a], _sure(2 * margin))
                 least[b] = min(least[b], _sure(-2 * margin))
         best = min(members, key=lambda m: (-votes[m], -sums[m], m))
+        if best in self.centres:
+            score *= min(1.0, max(0.0, (float(self.centres[best] @ x) - FAR) / (NEAR - FAR)))
         return best, score * least[best]
 
 
 def _sure(difference: float) -> float:
-    return float(1 / (1 + np.exp(-np.clip(2 * difference, -60, 60))))
+    """0 for equal margins, towards 1 the further the first is above the second."""
+    return float(np.tanh(max(0.0, difference)))
+
+
+def _centre(x: np.ndarray) -> np.ndarray | None:
+    """Mean direction of rows of unit length over the median cosine of a row with the mean of
+    the others; None if there are too few rows to tell."""
+    if len(x) < LEAST_ROWS:
+        return None
+    total = x.sum(axis=0)
+    others = total - x
+    cosines = (others * x).sum(axis=1) / np.maximum(np.linalg.norm(others, axis=1), 1e-9)
+    return total / max(float(np.linalg.norm(total) * np.median(cosines)), 1e-9)
 
 
 def fit(counts: np.ndarray, langs: list[str], families: Mapping[str, tuple[str, ...]] = FAMILIES) -> Model:
@@ -142,7 +170,8 @@ def fit(counts: np.ndarray, langs: list[str], families: Mapping[str, tuple[str,
         own = (of == a) | (of == b)
         rows.append(fit_svm(x[own], np.where(of[own] == a, 1, -1)))
     weights = np.array(rows, np.float32).reshape(len(rows), DIMENSIONS + 1)
-    return Model(members, pairs, weights)
+    centres = {lang: centre for lang in known if (centre := _centre(x[of == lang])) is not None}
+    return Model(members, pairs, weights, centres)
 
 
 def learn(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang",

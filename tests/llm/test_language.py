@@ -70,3 +70,15 @@ def test_edges(spark, langs):
     learned = {lang for lang in langs[1:] if lang}
     assert {r["lang_pred"] for r in got} <= learned | {"und"}
     assert language.identify(docs.limit(0), language.learn(docs.limit(0))).collect() == []
+
+
+def test_scores_can_fall_to_zero():
+    """Texts that no machine prefers, or that lie far from the only language, score next to nothing."""
+    rng = np.random.default_rng(4)
+    centre = {lang: rng.random(language.DIMENSIONS) ** 8 for lang in ("de", "en", "fr")}
+    langs = [lang for lang in centre for _ in range(20)]
+    counts = np.stack([centre[lang] + 0.05 * rng.random(language.DIMENSIONS) for lang in langs])
+    for of in (langs, langs[20:40]):
+        own = counts if len(of) > 20 else counts[20:40]
+        model = language.fit(own, of)
+        assert model.predict("qxz jwv kkq " * 40)[1] < 0.1

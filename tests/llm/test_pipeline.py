@@ -2,7 +2,7 @@
 
 import numpy as np
 import pytest
-from conftest import SMALL
+from conftest import MEDIUM, SMALL
 from test_packing import check_layout
 from test_simhash import slow_components, slow_fingerprint
 
@@ -10,6 +10,11 @@ import corpus_pipeline as pipeline
 from pixelweave.llm import language, rules
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+FOREIGN = (
+    "litwo ojczyzno moja ty jesteś jak zdrowie ile cię trzeba cenić ten tylko się dowie kto cię stracił ",
+    "mieleni minun tekevi aivoni ajattelevi lähteäni laulamahan saa ani sanelemahan sukuvirttä suoltamahan ",
+    "мой дядя самых честных правил когда не в шутку занемог он уважать себя заставил и лучше выдумать не мог ",
+)
 
 
 @pytest.fixture(scope="module")
@@ -88,3 +93,35 @@ def test_edges(spark, tmp_path, rows):
             docs.write.parquet(f"{tmp_path}/{i}")
             docs = spark.read.parquet(f"{tmp_path}/{i}")
     assert docs.count() >= (rows == "odd")
+
+
+def test_language_stage_rejects(spark):
+    """Letter gibberish, foreign texts and texts in two languages go; clean held-out texts stay."""
+    docs = spark.read.parquet(f"{MEDIUM}/documents.parquet")
+    clean = [r for r in rules.judge(docs).where("kept").select(*docs.columns).orderBy("doc_id").collect() if r["lang"]]
+    fit_on, held = clean[: 3 * len(clean) // 4], clean[3 * len(clean) // 4 :]
+    assert len(held) > 150
+    rng = np.random.default_rng(5)
+    letters = list("abcdefghijklmnopqrstuvwxyz")
+    planted = [" ".join("".join(rng.choice(letters, rng.integers(2, 10))) for _ in range(n)) for n in (60, 300, 2000)]
+    planted += [text * 4 for text in FOREIGN]
+    # As many letters in one language as in another.
+    part = {lang: next(r["text"] for r in fit_on if r["lang"] == lang and len(r["text"]) > 900)[:900] for lang in ("de", "en", "fr", "es")}
+    planted += [f"{part[a]} {part[b]}" for a, b in (("de", "fr"), ("en", "es"), ("de", "en"))]
+    rows = [tuple(r) for r in fit_on]
+    rows += [(*r[:2], None, *r[3:]) for r in map(tuple, held)]
+    rows += [(-1 - i, text, None, "src1", len(text)) for i, text in enumerate(planted)]
+    after = pipeline.language_id(spark, spark.createDataFrame(rows, SCHEMA), MEDIUM)
+    ids = {r["doc_id"] for r in after.select("doc_id").collect()}
+    assert not ids & {-1 - i for i in range(len(planted))}
+    assert len(ids & {r["doc_id"] for r in held}) >= 0.99 * len(held)
+
+
+def test_language_stage_rejects_with_one_language(spark):
+    """Without rivals a text must still be like the language."""
+    docs = spark.read.parquet(f"{MEDIUM}/documents.parquet").where("lang = 'en' and doc_id % 4 < 3")
+    kept = rules.judge(docs).where("kept").select(*docs.columns)
+    planted = spark.createDataFrame([(-1 - i, t * 4, None, "src1", 9) for i, t in enumerate(FOREIGN)], SCHEMA)
+    after = pipeline.language_id(spark, kept.unionByName(planted), MEDIUM)
+    ids = {r["doc_id"] for r in after.select("doc_id").collect()}
+    assert min(ids) >= 0 and len(ids) >= 0.99 * kept.count()
