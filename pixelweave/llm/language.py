@@ -16,8 +16,9 @@ language cannot tell how close its texts lie; that factor is then 1.
 Features are counts of hashed byte pairs and triples of the whole lower-cased text, with
 everything but letters reduced to blanks, scaled to unit length. The machines are fitted on a
 bounded sample: at most ``per_language`` labelled documents of each language, those smallest
-in a hash of their key, chosen by Spark over all labelled documents. Scoring adds one column
-in the scan of the documents.
+in a hash of their key, chosen by Spark over all labelled documents. A key that many rows repeat
+counts as one document, the row smallest in a hash of its text. Scoring adds one column in the
+scan of the documents.
 
 Defined cases: a null text or one without a letter is ``und`` with score 0, as is every text
 if nothing was learned; labels that are null teach nothing; a language that belongs to no
@@ -40,7 +41,7 @@ from pyspark.sql.types import (
     ArrayType, DoubleType, IntegerType, StringType, StructField, StructType,
 )
 
-from pixelweave.llm.text import texts
+from pixelweave.llm.text import first_of_each, texts
 
 # Families of the ISO 639-1 codes most often met.
 FAMILIES = {
@@ -179,37 +180,43 @@ def learn(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
     """Fit on at most ``per_language`` labelled documents of each language."""
     labelled = docs.select(
         F.col(key).alias("id"), F.col(text).alias("text"), F.col(lang).alias("lang")
-    ).where("lang is not null and id is not null")
+    ).where("lang is not null and id is not null").withColumn("mark", F.xxhash64("text"))
+    # One row a key, found by partial minima in every task.
+    one = labelled.groupBy("id").agg(F.min(F.struct("mark", "lang")).alias("row"))
     by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
     chosen = (
-        labelled.select("id", "lang")
+        one.select("id", "row.mark", "row.lang")
         .withColumn("place", F.row_number().over(by_hash))
         .where(F.col("place") <= per_language)
-        .select("id", "lang")
+        .select("id", "mark", "lang")
         .collect()
     )
     if not chosen:
         return fit(np.zeros((0, DIMENSIONS)), [])
     # A bounded list of keys, so sending it to every executor is safe.
-    keys = docs.sparkSession.createDataFrame([(r["id"],) for r in chosen], labelled.select("id").schema)
-    sample = labelled.join(F.broadcast(keys.distinct()), "id")
+    row = ["id", "mark", "lang"]
+    keys = docs.sparkSession.createDataFrame([tuple(r) for r in chosen], labelled.select(*row).schema)
+    sample = labelled.join(F.broadcast(keys), row)
     schema = StructType([
-        StructField("lang", StringType()),
+        *labelled.select(*row).schema,
         StructField("places", ArrayType(IntegerType())),
         StructField("counts", ArrayType(IntegerType())),
     ])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple] = set()
         for batch in batches:
+            batch = first_of_each(batch, row, seen)
             dense = [gram_counts(t) for t in texts(batch.column("text"))]
             places = [np.flatnonzero(d) for d in dense]
             yield pa.RecordBatch.from_arrays([
-                batch.column("lang"),
+                *map(batch.column, row),
                 pa.array(places, pa.list_(pa.int32())),
                 pa.array([d[p] for d, p in zip(dense, places)], pa.list_(pa.int32())),
             ], schema.names)
 
-    rows = sorted(sample.select("lang", "text").mapInArrow(count, schema).collect())
+    found = sample.select(*row, "text").mapInArrow(count, schema).dropDuplicates(row)
+    rows = sorted(found.select("lang", "places", "counts").collect())
     counts = np.zeros((len(rows), DIMENSIONS), np.float32)
     for i, row in enumerate(rows):
         counts[i, row["places"]] = row["counts"]

@@ -7,8 +7,11 @@ the mean of these, weighted by the lines' lengths, is the document's score.
 
 The field is fitted by maximum likelihood on a bounded sample: of each label, at most
 ``PER_LABEL`` labelled documents, those smallest in a hash of their key, chosen by Spark over
-all labelled documents. Lines take their document's label. Scoring adds one column in the scan
-of the documents, over whole texts, and looks at the text alone.
+all labelled documents. A key that many rows repeat counts as one document, the row smallest in
+a hash of its text. Lines take their document's label. A sampled document of more than ``LINES``
+lines teaches by a run of that many neighbouring lines, which starts at a place drawn from its
+hash; so the sample has at most ``2 * PER_LABEL * LINES`` lines. Scoring adds one column in the
+scan of the documents, over whole texts of any length, and looks at the text alone.
 
 Defined cases: null and empty texts are one empty line; documents whose label is null or whose
 key is null teach nothing, as do labels without a document; a key labelled twice counts once
@@ -30,9 +33,10 @@ from pyspark.sql.functions import arrow_udf
 from pyspark.sql.types import BinaryType, DoubleType, IntegerType, StructField, StructType
 
 from pixelweave.llm.rules import SYMBOLS, repeated_words
-from pixelweave.llm.text import texts
+from pixelweave.llm.text import first_of_each, texts
 
 PER_LABEL = 600
+LINES = 500
 ROUNDS = 120
 
 _OWN = 12
@@ -175,32 +179,43 @@ def fit(documents: list[np.ndarray], labels: list[int], rounds: int = ROUNDS, pe
 
 
 def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text",
-          label: str = "quality", per_label: int = PER_LABEL) -> Field:
-    """Fit on at most ``per_label`` documents of each label."""
+          label: str = "quality", per_label: int = PER_LABEL, lines: int = LINES) -> Field:
+    """Fit on at most ``per_label`` documents of each label and ``lines`` lines of each."""
     known = labels.select(F.col(key).alias("id"), F.col(label).cast("int").alias("label"))
     known = known.where("id is not null and label in (0, 1)").distinct()
-    rows = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
+    rows = docs.select(F.col(key).alias("id"), F.col(text).alias("text")).where("id is not null")
+    rows = rows.withColumn("mark", F.xxhash64("text"))
+    # One row a key, found by partial minima in every task.
+    one = rows.groupBy("id").agg(F.min("mark").alias("mark"))
     by_hash = Window.partitionBy("label").orderBy(F.xxhash64("id"), "id")
     chosen = (
-        known.join(rows.select("id").distinct(), "id", "left_semi")
+        known.join(one, "id")
         .withColumn("place", F.row_number().over(by_hash))
         .where(F.col("place") <= per_label)
-        .select("id", "label")
+        .select("id", "mark", "label")
         .collect()
     )
     if not chosen:
         return Field(None, None)
     # A bounded list of keys, so sending it to every executor is safe.
-    keys = docs.sparkSession.createDataFrame([tuple(r) for r in chosen], known.schema)
-    schema = StructType([StructField("label", IntegerType()), StructField("features", BinaryType())])
+    row = ["id", "mark", "label"]
+    key_schema = StructType([*rows.select("id", "mark").schema, StructField("label", IntegerType())])
+    keys = docs.sparkSession.createDataFrame([tuple(r) for r in chosen], key_schema)
+    schema = StructType([*key_schema, StructField("features", BinaryType())])
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple] = set()
         for batch in batches:
-            found = [line_features(t)[0].tobytes() for t in texts(batch.column("text"))]
-            yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array(found, pa.binary())], schema.names)
-
-    sample = rows.join(F.broadcast(keys), "id").select("label", "text").mapInArrow(describe, schema)
-    found = sorted((r["label"], bytes(r["features"])) for r in sample.collect())
+            batch = first_of_each(batch, row, seen)
+            found = []
+            for text_, mark in zip(texts(batch.column("text")), batch.column("mark").to_pylist()):
+                features = line_features(text_)[0]
+                at = mark % max(1, len(features) - lines + 1)
+                found.append(features[at : at + lines].tobytes())
+            yield pa.RecordBatch.from_arrays([*map(batch.column, row), pa.array(found, pa.binary())], schema.names)
+
+    sample = rows.join(F.broadcast(keys), ["id", "mark"]).select(*row, "text").mapInArrow(describe, schema)
+    found = sorted((r["label"], bytes(r["features"])) for r in sample.dropDuplicates(row).collect())
     documents = [np.frombuffer(f, np.float32).reshape(-1, N_FEATURES) for _, f in found]
     return fit(documents, [label for label, _ in found])
 

@@ -25,6 +25,16 @@ def texts(column: pa.Array) -> list[str]:
     return [t if t is not None else "" for t in column.to_pylist()]
 
 
+def first_of_each(batch: pa.RecordBatch, columns: Sequence[str], seen: set[tuple]) -> pa.RecordBatch:
+    """The rows whose values in ``columns`` are not in ``seen`` yet, which learns them. For few
+    distinct values."""
+    first = []
+    for values in zip(*(batch.column(c).to_pylist() for c in columns)):
+        first.append(values not in seen)
+        seen.add(values)
+    return batch.filter(pa.array(first, pa.bool_()))
+
+
 def words_of(text: str) -> list[bytes]:
     """Maximal runs of characters that are no separators, in UTF-8."""
     return text.encode("utf-8", "surrogatepass").split()

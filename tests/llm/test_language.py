@@ -82,3 +82,17 @@ def test_scores_can_fall_to_zero():
         own = counts if len(of) > 20 else counts[20:40]
         model = language.fit(own, of)
         assert model.predict("qxz jwv kkq " * 40)[1] < 0.1
+
+
+def test_sample_is_bounded(spark, monkeypatch):
+    """A key of many rows is one document of the sample, and takes one place in it."""
+    rows = [(1, f"text {i}", "en" if i % 2 else "de") for i in range(400)] + [(1, "same row", "en")] * 400
+    rows += [(i, f"own {i}", "en" if i % 2 else "de") for i in range(2, 42)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(7)
+    taught = []
+    monkeypatch.setattr(language, "fit", lambda counts, langs: taught.append((counts, langs)))
+    for most in (300, 300, 8):
+        language.learn(docs, per_language=most)
+    assert len(taught[0][0]) == len(taught[0][1]) == 41
+    assert (taught[0][0] == taught[1][0]).all() and taught[0][1] == taught[1][1]
+    assert taught[2][1] == ["de"] * 8 + ["en"] * 8

@@ -86,3 +86,32 @@ def test_edges(spark, labels):
     got = docs.withColumn("score", quality.scored(field, F.col("text"))).collect()
     assert len(got) == 5 and all(0 <= r["score"] <= 1 for r in got)
     assert quality.learn(docs.limit(0), known).weights is None
+
+
+def test_sample_is_bounded(spark, monkeypatch):
+    """A key of many rows teaches as one document, a text of many lines by a run of them."""
+    rows = [(1, f"shared key {i}\nline two.") for i in range(400)] + [(1, "same row")] * 400
+    rows += [(i, f"own key {i}\nline two.") for i in range(2, 40)] + [(40, "".join(f"line {i}\n" for i in range(20_000)))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    known = spark.createDataFrame([(i, i % 2) for i in range(1, 41)], "doc_id long, quality int")
+    taught = []
+    monkeypatch.setattr(quality, "fit", lambda documents, labels: taught.append((documents, labels)))
+    for _ in range(2):
+        quality.learn(docs, known, lines=300)
+    (documents, labels), again = taught
+    assert len(documents) == 40 and sorted(labels) == [0] * 20 + [1] * 20
+    assert sorted(map(len, documents))[-2:] == [2, 300]
+    assert all((a == b).all() for a, b in zip(documents, again[0]))
+    quality.learn(docs, known, per_label=5)
+    assert sorted(taught[2][1]) == [0] * 5 + [1] * 5
+
+
+def test_hot_key_does_not_decide_the_fit(spark):
+    rng = np.random.default_rng(6)
+    good = [" ".join(f"word{j}" for j in rng.integers(0, 900, 30)) + "." for _ in range(60)]
+    rows = [(i, good[i]) for i in range(30)] + [(i, "### $$$ ### $$$") for i in range(30, 60)]
+    labels = [(i, int(i < 30)) for i in range(60)] + [(99, 0)]
+    hot = [(99, text) for text in good[30:] * 20]
+    known = spark.createDataFrame(labels, "doc_id long, quality int")
+    field = quality.learn(spark.createDataFrame(rows + hot, "doc_id long, text string"), known)
+    assert np.mean([field.score(text) for text in good[:30]]) > 0.9
