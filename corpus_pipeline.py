@@ -7,7 +7,8 @@ a stage are deleted once its rows are written.
 
 Defined cases: empty tables stay empty; null texts fail the quality rules; rows without a key
 cannot be told apart, so the near-duplicate stage keeps them all; rows that repeat a key are
-one document there; extra columns pass through all stages but the last.
+documents of their own there unless their texts are near-duplicates; extra columns pass through
+all stages but the last.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pixelweave.llm import language, mixing, packing, rules, simhash
 from pixelweave.llm.registered import TARGETS, leaves_of
-from pixelweave.workspace import fresh_path, scope
+from pixelweave.workspace import fresh_path, materialize, scope
 
 # Least confidence of the language stage: labelled documents that pass the quality rules and are
 # held out from the fit score above it, letter gibberish and foreign texts below (tests compare).
@@ -40,13 +41,18 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of every group of near-duplicates the document with the smallest key."""
-    found = simhash.near_duplicates(docs.select("doc_id", "text"), shingle=4, budget=4)
-    kept = found.where("doc_id = component_id").groupBy("doc_id").count()
-    chosen = docs.join(kept.select("doc_id"), "doc_id", "left_semi")
-    if not kept.where("count > 1").isEmpty():
-        chosen = chosen.dropDuplicates(["doc_id"])
-    return chosen.union(docs.where("doc_id is null")).select(*docs.columns)
+    """Of every group of near-duplicates one row, with the smallest key and, where rows of the
+    group repeat that key, the smallest hash of its text."""
+    marked = docs.withColumn("_mark", F.xxhash64("text"))
+    found = simhash.near_duplicates(marked.select("doc_id", "text", "_mark"), shingle=4, budget=4, carry=("_mark",))
+    rows = found.where("doc_id = component_id").groupBy("label", "doc_id", "_mark").agg(F.count("*").alias("n"))
+    first = rows.groupBy("label").agg(F.min(F.struct("doc_id", "_mark", "n")).alias("row"))
+    kept = materialize(first.select("row.*"), "kept")
+    # Only rows that are there more than once have to meet.
+    by = ["doc_id", "_mark"]
+    once = marked.join(kept.where("n = 1"), by, "left_semi")
+    many = marked.join(kept.where("n > 1"), by, "left_semi").dropDuplicates(by)
+    return once.unionByName(many).select(*docs.columns).union(docs.where("doc_id is null"))
 
 
 def mixing_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

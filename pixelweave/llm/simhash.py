@@ -308,13 +308,15 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 4,
-                    budget: int = 4) -> DataFrame:
-    """One row per document: ``key``, ``fp`` (fingerprint) and ``component_id``, the smallest
-    key reachable over links of at most ``budget`` differing bits, itself included."""
+                    budget: int = 4, carry: tuple[str, ...] = ()) -> DataFrame:
+    """One row per document: ``key``, ``fp`` (fingerprint), ``component_id``, the smallest key
+    reachable over links of at most ``budget`` differing bits, itself included, and ``label``, a
+    fingerprint that names the component. Where a key repeats, two components can have one
+    smallest key, but not one label. Narrow columns named in ``carry`` pass through."""
     if not 0 <= budget <= 64 or shingle < 1:
         raise ValueError("budget must be 0 to 64 bits and a shingle at least one word")
     of = fingerprints(shingle)
-    rows = materialize(docs.select(F.col(key).alias("id"), of(F.col(text)).alias("fp")), "fps")
+    rows = materialize(docs.select(F.col(key).alias("id"), of(F.col(text)).alias("fp"), *carry), "fps")
     distinct = materialize(rows.groupBy("fp").agg(F.min("id").alias("id")), "distinct")
     labels = components(links(distinct, budget))
     labelled = distinct.join(labels, F.col("fp") == F.col("node"), "left").select(
@@ -324,8 +326,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     smallest = labelled.groupBy("label").agg(F.min("id").alias("component_id"))
     smallest = materialize(smallest, "smallest")
     # Both sides are tables, so adaptive execution splits a large component or group of copies.
-    named = materialize(labelled.join(smallest, "label").select("fp", "component_id"), "named")
-    return rows.join(named, "fp").select(F.col("id").alias(key), "fp", "component_id")
+    named = materialize(labelled.join(smallest, "label").select("fp", "component_id", "label"), "named")
+    return rows.join(named, "fp").select(F.col("id").alias(key), "fp", "component_id", "label", *carry)
 
 
 def hex_digits(fp: str = "fp"):

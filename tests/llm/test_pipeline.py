@@ -125,3 +125,19 @@ def test_language_stage_rejects_with_one_language(spark):
     after = pipeline.language_id(spark, kept.unionByName(planted), MEDIUM)
     ids = {r["doc_id"] for r in after.select("doc_id").collect()}
     assert min(ids) >= 0 and len(ids) >= 0.99 * kept.count()
+
+
+def test_near_duplicate_stage_repeated_keys(spark):
+    """Different texts under one key are decided on each by itself."""
+    rng = np.random.default_rng(8)
+    texts = [" ".join(f"w{j}" for j in rng.integers(0, 5000, 400)) for _ in range(4)]
+    a, b, c, d = texts
+    rows = [(1, a), (1, b), (2, c), (2, c), (3, c + " more"), (3, d), (4, "x" + a), (None, c)]
+    docs = spark.createDataFrame([(i, t, "en", "src1", 9) for i, t in rows], SCHEMA)
+    for some in (docs, docs.where("doc_id <> 2 or doc_id is null")):
+        got = sorted((r["doc_id"], texts.index(r["text"])) for r in
+                     pipeline.near_duplicates(spark, some.where("doc_id is not null"), SMALL).where("text not like '% more'").collect())
+        assert got == [(1, 0), (1, 1), *([(2, 2)] if some is docs else []), (3, 3)]
+    after = pipeline.near_duplicates(spark, docs, SMALL)
+    assert after.columns == docs.columns and after.where("doc_id is null").count() == 1
+    assert after.where("doc_id = 3").count() == 1
