@@ -24,6 +24,7 @@ replaced.
 
 from __future__ import annotations
 
+import itertools
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -38,7 +39,6 @@ from pixelweave.workspace import materialize
 
 # Items that one task packs at a time.
 GROUP = 20_000
-ROUNDS = 6
 
 _STATE = [StructField("sequence_id", LongType()), StructField("offset", LongType()),
           StructField("_free", BooleanType()), StructField("_head", BooleanType())]
@@ -143,8 +143,8 @@ def pack(items: DataFrame, length: str = "length", capacity: int = 2048, group:
             old = table.column("sequence_id").to_numpy() if round_ else None
             old_offsets = table.column("offset").to_numpy() if round_ else None
             bins, offsets, free = _assign(lengths, old, old_offsets, capacity)
-            # Round, group and bin make a number that no other bin has.
-            ids = (np.int64(round_) << 56) | (np.int64(key[0].as_py()) << 24) | bins
+            # Round (15 bits), group and bin (24 each) make a number that no other bin has.
+            ids = (np.int64(round_) << 48) | (np.int64(key[0].as_py()) << 24) | bins
             _, heads = np.unique(bins, return_index=True)
             head = np.zeros(len(bins), bool)
             head[heads] = True
@@ -157,7 +157,8 @@ def pack(items: DataFrame, length: str = "length", capacity: int = 2048, group:
 
     packed = materialize(rest.groupBy("_group").applyInArrow(packer(0), schema), "packed")
     done, used = [alone], int(number[capacity]) + packed.where("_head").count()
-    for round_ in range(1, ROUNDS + 1):
+    # Every round but the last saves a sequence at least, so this ends.
+    for round_ in itertools.count(1):
         pool = packed.where("_free").drop("_free", "_head")
         n_pool = pool.count() if used > bound else 0
         if not n_pool:
