@@ -11,7 +11,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pixelweave.llm import backoff, grammar, inner_product, language, mixing, packing, quality, rules, simhash, warc
+from pixelweave.llm import audit, backoff, grammar, inner_product, language, mixing, packing, quality, rules, simhash, warc
 from pixelweave.llm.text import fold
 from pixelweave.workspace import fresh_path
 
@@ -242,6 +242,52 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+OP13_SQL = """
+WITH t AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text FROM documents),
+w AS (SELECT *, regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+') AS ws FROM t),
+f AS (
+  SELECT doc_id, part, CASE WHEN len(ws) < 200 THEN 1 ELSE 0 END
+    + CASE WHEN 100 * len(list_distinct(ws)) < 50 * len(ws) THEN 2 ELSE 0 END
+    + CASE WHEN 100 * len(regexp_extract_all(text, '[A-Z]')) > 2 * length(text) THEN 4 ELSE 0 END
+    + CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 8 ELSE 0 END
+    + CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY text) THEN 16 ELSE 0 END AS failed
+  FROM w
+), l AS (
+  SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+  FROM labels GROUP BY doc_id
+), sets AS (
+  SELECT part, failed, count(*) AS n, coalesce(sum(good), 0) AS good, coalesce(sum(toxic), 0) AS toxic
+  FROM f LEFT JOIN l USING (doc_id) GROUP BY part, failed
+), x(l, b) AS (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+orders AS (
+  SELECT a.l || b.l || c.l || d.l || e.l AS filter_order, [a.b, b.b, c.b, d.b, e.b] AS bits
+  FROM x a JOIN x b ON b.l <> a.l JOIN x c ON c.l NOT IN (a.l, b.l) JOIN x d ON d.l NOT IN (a.l, b.l, c.l)
+  JOIN x e ON e.l NOT IN (a.l, b.l, c.l, d.l)
+), steps AS (
+  SELECT filter_order, s.step, bits[s.step] AS own, coalesce(list_sum(bits[1:s.step - 1]), 0) AS before
+  FROM orders CROSS JOIN (SELECT unnest(range(1, 6)) AS step) s
+), rows AS (
+  SELECT part, filter_order, step, own,
+    sum(CASE WHEN failed & CAST(own + before AS INT) = 0 THEN n ELSE 0 END) AS kept,
+    sum(CASE WHEN failed & own > 0 AND failed & CAST(before AS INT) = 0 THEN n ELSE 0 END) AS removed,
+    sum(CASE WHEN failed & own > 0 AND failed & CAST(before AS INT) > 0 THEN n ELSE 0 END) AS redundant,
+    sum(CASE WHEN failed = own THEN n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN failed & own > 0 AND failed & CAST(before AS INT) = 0 THEN good ELSE 0 END) AS good_lost,
+    sum(CASE WHEN failed & own > 0 AND failed & CAST(before AS INT) = 0 THEN toxic ELSE 0 END) AS toxic_lost
+  FROM sets CROSS JOIN steps GROUP BY ALL
+)
+SELECT part, filter_order, CAST(step AS INT) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+  CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+  CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+  CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley
+FROM rows
+"""
+
+
 QUERIES: dict[str, Query] = {
     "op1_line_field": op1_line_field,
     "op2_warc_dictionary": op2_warc_dictionary,
@@ -253,6 +299,7 @@ QUERIES: dict[str, Query] = {
     "op8_language_hierarchy": op8_language_hierarchy,
     "op9_simhash_near_duplicates": op9_simhash_near_duplicates,
     "op10_quality_rules": op10_quality_rules,
+    "op13_filter_audit": op13_filter_audit,
 }
 
 ORACLES: dict[str, str] = {
@@ -260,4 +307,5 @@ ORACLES: dict[str, str] = {
     "op3_stupid_backoff": OP3_SQL,
     "op6_norm_sorted_search": OP6_SQL,
     "op7_mixing_budget": _mix_sql(seed=7, max_epochs=2),
+    "op13_filter_audit": OP13_SQL,
 }
