@@ -29,7 +29,7 @@ from __future__ import annotations
 
 import hashlib
 import heapq
-import os
+import json
 import re
 import sys
 import types
@@ -49,12 +49,14 @@ from pixelweave.workspace import fresh_path, materialize
 
 # A block ends with the document that makes it this large, in characters or documents (places of
 # documents are 16 bits wide).
-BLOCK_CHARS = 32 << 20
+BLOCK_CHARS = 16 << 20
 BLOCK_DOCS = 1 << 16
 # Characters that are aligned at a time.
 PORTION = 2 << 20
-# Characters of parts that a worker keeps; about ten bytes each.
-CACHED_CHARS = 8_000_000
+# Characters of parts that a worker keeps; a part has about ten and takes 300 bytes.
+CACHED_CHARS = 3_000_000
+# Parts that are encoded and aligned in one go.
+_JOINED = 10_000
 
 # Bits of an id of B in a pair's code; ids of both have to fit a 32-bit number.
 _B_BITS = 15
@@ -70,6 +72,31 @@ def byte_level() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(0x100 + i): b for i, b in enumerate(hidden)}
 
 
+# Fixed value: the pattern by which byte-level tokenizers cut texts.
+_PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+
+
+def byte_level_bpe(path: str):
+    """Bytes of every id of a byte-level BPE file of the tokenizers library, and an encoder.
+
+    Ids in the order of the merges are what tiktoken calls ranks, so its encoder gives the ids of
+    the file, several times as fast. Special entries are no ids here: texts cannot hold them.
+    """
+    import tiktoken
+
+    with open(path, encoding="utf-8") as file:
+        held = json.load(file)
+    model, cut = held["model"], held["pre_tokenizer"]
+    byte, ids = byte_level(), model["vocab"]
+    merged = [ids["".join(m if isinstance(m, list) else m.split(" "))] for m in model["merges"]]
+    plain = cut["type"] == "ByteLevel" and cut["use_regex"] and not cut["add_prefix_space"]
+    if held["normalizer"] or not plain or merged != list(range(256, 256 + len(merged))):
+        raise ValueError("not a plain byte-level BPE file")
+    ranks = {bytes(byte[c] for c in t): i for t, i in ids.items() if i < 256 + len(merged)}
+    encoder = tiktoken.Encoding("aligned", pat_str=_PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return sorted(ranks, key=ranks.get), encoder
+
+
 def piece_bytes(piece: str, is_byte: bool) -> bytes:
     """Bytes of a sentencepiece token."""
     return bytes([int(piece[3:5], 16)]) if is_byte else piece.replace("▁", " ").encode()
@@ -113,24 +140,21 @@ class Aligner:
     """Aligns texts; what it learned of their parts is kept for the worker's life."""
 
     def __init__(self, path_a: str, path_b: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
-        from tokenizers import Tokenizer
 
         holder = sys.modules.setdefault("_alignment", types.ModuleType("_alignment"))
         if getattr(holder, "paths", None) != (path_a, path_b):
-            holder.a = Tokenizer.from_file(path_a)
-            holder.a.encode_special_tokens = True
+            holder.bytes_a, holder.a = byte_level_bpe(path_a)
             holder.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
-            byte = byte_level()
-            n_a, n_b = holder.a.get_vocab_size(), holder.b.get_piece_size()
+            n_a, n_b = len(holder.bytes_a), holder.b.get_piece_size()
             if n_b > 1 << _B_BITS or n_a > 1 << 32 - _B_BITS:
                 raise ValueError("the vocabularies are too large")
-            # Special entries may hold characters that are no bytes; they never occur in texts.
-            entries = [holder.a.id_to_token(i) or "" for i in range(n_a)]
-            holder.bytes_a = [bytes(byte[c] for c in t) if set(t) <= byte.keys() else b"" for t in entries]
             holder.bytes_b = [piece_bytes(holder.b.id_to_piece(i), holder.b.is_byte(i)) for i in range(n_b)]
-            holder.blank = holder.b.piece_to_id("▁")
+            holder.size_a = np.array([len(t) for t in holder.bytes_a])
+            holder.size_b = np.array([len(t) for t in holder.bytes_b])
+            # Ids as they are written after what may stand before them.
+            holder.written_a = [f"{mark}{i}" for mark in "\n;," for i in range(n_a)]
+            holder.written_b = [f"{mark}{i}" for mark in "|," for i in range(n_b)]
             holder.paths = path_a, path_b
             self._forget(holder)
         self._held = holder
@@ -144,10 +168,71 @@ class Aligner:
         holder.ends.add([0])
 
     def _learn(self, parts: list[str]) -> list[int]:
-        """Align parts that begin with a blank or a line end; their places."""
+        """Align parts that begin with a blank or a line end and have no other white space at
+        their ends; their places."""
+        first = self._held.stats.n
+        for at in range(0, len(parts), _JOINED):
+            some = parts[at : at + _JOINED]
+            if not self._learn_joined(some):
+                self._learn_each(some)
+        return range(first, self._held.stats.n)
+
+    def _learn_joined(self, parts: list[str]) -> bool:
+        """Align parts as one text, array by array; False if its tokens do not spell it or if groups
+        are large."""
+        held = self._held
+        joined = "".join(parts)
+        raw = joined.encode("utf-8", "surrogatepass")
+        part_ends = np.cumsum([len(p) if p.isascii() else len(p.encode("utf-8", "surrogatepass")) for p in parts])
+        a = np.array(held.a.encode_ordinary(joined))
+        # The library adds the blank that a text begins with, and one too many before a line end.
+        b = np.array(held.b.encode(joined[1:])) if joined[0] == " " else np.array(held.b.encode(joined)[1:])
+        ends_a, ends_b = np.cumsum(held.size_a[a]), np.cumsum(held.size_b[b])
+        if not (b"".join(map(held.bytes_a.__getitem__, a.tolist())) == raw
+                == b"".join(map(held.bytes_b.__getitem__, b.tolist()))):
+            return False
+        at_a, at_b = np.zeros((2, len(raw) + 1), bool)
+        at_a[ends_a] = at_b[ends_b] = True
+        both = at_a & at_b
+        last_a, last_b = both[ends_a], both[ends_b]
+        group_a, group_b = np.cumsum(last_a) - last_a, np.cumsum(last_b) - last_b
+        n_a, n_b = np.bincount(group_a), np.bincount(group_b)
+        if not both[part_ends].all() or (n_a * n_b).sum() > 20 * len(a):
+            return False
+        part = np.searchsorted(part_ends, ends_a[last_a])
+        stats = np.stack([np.bincount(part, w, len(parts)).astype(np.int64)
+                          for w in (n_a, n_b, np.ones(len(part)), n_a * n_b)], 1)
+        # Every token of A beside all of B in its group.
+        first_b = np.cumsum(n_b) - n_b
+        times = n_b[group_a]
+        nth = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+        code = np.repeat(a, times) << _B_BITS | b[np.repeat(first_b[group_a], times) + nth]
+        key, links = _merged(np.repeat(part[group_a], times) << 32 | code, np.ones(len(code), np.int64))
+        per_part = np.bincount(key >> 32, minlength=len(parts))
+        # Tokens in the order of writing: of a group those of A, then those of B.
+        first_a = np.cumsum(n_a) - n_a
+        new_group = np.r_[True, last_a[:-1]]
+        new_part = np.zeros(len(a), bool)
+        new_part[first_a[np.searchsorted(part, np.arange(len(parts)))]] = True
+        mark_a = np.where(new_part, 0, np.where(new_group, 1, 2))
+        mark_b = np.where(np.r_[True, last_b[:-1]], 0, 1)
+        words = np.empty(len(a) + len(b), object)
+        words[np.arange(len(a)) + first_b[group_a]] = list(
+            map(held.written_a.__getitem__, (mark_a * len(held.bytes_a) + a).tolist()))
+        words[np.arange(len(b)) + (first_a + n_a)[group_b]] = list(
+            map(held.written_b.__getitem__, (mark_b * len(held.bytes_b) + b).tolist()))
+        held.written += "".join(words.tolist()).split("\n")[1:]
+        held.stats.add(np.c_[stats, np.ones(len(parts), np.int64)])
+        held.codes.add(key & 0xFFFFFFFF)
+        held.links.add(links)
+        held.ends.add(held.ends.all[-1] + np.cumsum(per_part))
+        held.chars += len(joined)
+        return True
+
+    def _learn_each(self, parts: list[str]) -> list[int]:
+        """Align parts that begin with a blank or a line end, one by one; their places."""
         held = self._held
-        encoded_a = [e.ids for e in held.a.encode_batch(parts, add_special_tokens=False)]
-        # The library adds the blank that a part begins with, and one too many before a line end.
+        encoded_a = list(map(held.a.encode_ordinary, parts))
         encoded_b = held.b.encode([p[1:] if p[0] == " " else p for p in parts], num_threads=1)
         stats, codes, links, ends, first = [], [], [], [], held.stats.n
         total = int(held.ends.all[-1])
@@ -210,7 +295,7 @@ class Aligner:
                 # White space in a row: cut only where the cut is sure.
                 parts = _CUT.split(real)
                 fresh = list(set(parts).difference(held.other))
-                held.other.update(zip(fresh, self._learn(fresh)))
+                held.other.update(zip(fresh, self._learn_each(fresh)))
                 found = np.array(list(map(held.other.__getitem__, parts)), np.int64)
             out.append(found)
         return out
