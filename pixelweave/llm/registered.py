@@ -11,7 +11,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pixelweave.llm import alignment, audit, backoff, grammar, inner_product, language, mixing, packing, quality, rules, simhash, warc
+from pixelweave.llm import alignment, audit, backoff, extraction, grammar, inner_product, language, mixing, packing, quality, rules, simhash, warc
 from pixelweave.llm.text import fold
 from pixelweave.workspace import fresh_path
 
@@ -242,6 +242,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.extracted(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
     return alignment.align(table(spark, sf_dir, "documents"), *paths)
@@ -304,6 +308,7 @@ QUERIES: dict[str, Query] = {
     "op8_language_hierarchy": op8_language_hierarchy,
     "op9_simhash_near_duplicates": op9_simhash_near_duplicates,
     "op10_quality_rules": op10_quality_rules,
+    "op11_main_text": op11_main_text,
     "op12_token_alignment": op12_token_alignment,
     "op13_filter_audit": op13_filter_audit,
 }
