@@ -144,7 +144,7 @@ def prepare_packed(
     read for the selected rows and decoded in the task that has them. No folder is listed.
     """
     h, w, _ = shape
-    stored = spark.read.parquet(raw_table)
+    stored = tables.read_table(spark, raw_table)
     labelled = stored.select("split", "name", "label")
     wanted = keep_classes(labelled, classes) if classes else labelled
     chosen = layout.assign_chunk(layout.cap_per_split(wanted, caps, "name"), chunk_size)
@@ -172,7 +172,7 @@ def read_processed(spark: SparkSession, path: str) -> DataFrame:
     A split predicate prunes folders. Where a codec kept rows in position order, a chunk
     predicate skips files and row groups as well.
     """
-    return spark.read.schema(schemas.PROCESSED_SAMPLE).parquet(path)
+    return tables.read_table(spark, path).select(*schemas.PROCESSED_SAMPLE.fieldNames())
 
 
 @scope()
@@ -195,7 +195,7 @@ def build_batches(
     packed = layout.pack_batches(loaded, per_batch, num_batches)
     with _expecting(spark, shape):
         tables.write_training_set(tables.training_set(packed, classes), f"{out}/batches")
-    rows = spark.read.parquet(f"{out}/batches")
+    rows = tables.read_table(spark, f"{out}/batches")
     info = metadata.batch_info(packed, f"{out}/batches", classes)
     metadata.write_meta(info.select(*schemas.BATCH_INFO.fieldNames()), f"{out}/batch_info")
     metadata.write_meta(metadata.label_map(spark, classes), f"{out}/label_mapping")
@@ -249,7 +249,7 @@ def train(
             "layers": (math.prod(shape), *hidden, len(classes)), "solver": "gd",
             "blockSize": config["batch_size"], "stepSize": config["learning_rate"],
         }
-    stored = spark.read.parquet(f"{training_root}/batches")
+    stored = tables.read_table(spark, f"{training_root}/batches")
     rows = _model_rows(training.with_class_weights(stored) if balanced else stored, shape, *["weight"] * balanced)
     if balanced:
         settings["weightCol"] = "weight"

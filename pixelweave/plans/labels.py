@@ -386,5 +386,5 @@ def raw_rows(spark, sf_dir):
     )
     path = fresh_path(spark, "raw")
     tables.write_raw(sources, path)
-    stored = spark.read.schema(sources.schema).parquet(path)
+    stored = tables.read_table(spark, path)
     return stored.select("name", "split", "label", F.length("content").alias("n_bytes"))

@@ -139,7 +139,7 @@ def batch_read(spark, sf_dir):
     path = fresh_path(spark, "batches")
     tables.write_batches(packed, path, CLASSES)
     wanted = [i for i in range(A.batch_count(packed).first()["num_batches"]) if i % 3 != 1]
-    stored = scans.read_batches(spark.read.schema(packed.schema).parquet(path), wanted)
+    stored = scans.read_batches(tables.read_table(spark, path), wanted)
     return stored.groupBy("batch_id", "label").agg(F.count("*").alias("n"))
 
 

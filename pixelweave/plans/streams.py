@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from pixelweave.functions.labels import norm_label
-from pixelweave.plans.bindings import CLASSES, SQL_INDEX, SQL_KEPT, SQL_SPLIT, split_of, table
+from pixelweave.plans.bindings import CLASSES, SQL_INDEX, SQL_KEPT, SQL_SPLIT, kept, split_of, table
 from pixelweave.plans.learning import SQL_SCORES, mean_model, probability_rows
 from pixelweave.plans.registry import query
+from pixelweave.sinks import tables
 from pixelweave.streaming import build
 from pixelweave.workspace import fresh_path
 
@@ -44,3 +45,25 @@ def stream_scoring(spark, sf_dir):
     run = build.stream_score(rows, mean_model(spark, sf_dir), sink, fresh_path(spark, "stream-state"))
     run.awaitTermination()
     return probability_rows(_landed(spark, sink, ["vec_id", "probs"]))
+
+
+@query(f"""
+SELECT event_id, label, split, pos, pos // 50 AS chunk_id, pos // 500 AS batch_id, true AS replay_skipped
+FROM (
+  SELECT *, row_number() OVER (PARTITION BY split ORDER BY event_id) - 1 AS pos
+  FROM (SELECT event_id, label, {SQL_SPLIT} AS split FROM ({SQL_KEPT}))
+)
+""")
+def stream_layout(spark, sf_dir):
+    """Samples that arrive in three parts, one of them twice, numbered per split."""
+    samples = kept(spark, sf_dir).withColumn("split", split_of("event_id"))
+    arrived, root = fresh_path(spark, "arrived"), fresh_path(spark, "stream-layout")
+    bounds = samples.approxQuantile("event_id", [1 / 3, 2 / 3], 0.01)
+    part = sum((F.col("event_id") > b).cast("int") for b in bounds)
+    for i in range(3):
+        samples.where(part == i).coalesce(1).write.mode("append").parquet(arrived)
+    arriving = build.read_stream(spark, arrived, samples.schema, files_per_trigger=1)
+    state = fresh_path(spark, "stream-state")
+    build.stream_layout(arriving, root, state, "event_id", "split").awaitTermination()
+    again = build.land(samples.where(part == 1), 1, root, "event_id", "split")
+    return tables.read_table(spark, root).withColumn("replay_skipped", F.lit(not again))

@@ -146,7 +146,7 @@ def training_set(spark, sf_dir):
     rows = tables.training_set(tensors(spark, sf_dir), INT_CLASSES)
     path = fresh_path(spark, "training")
     tables.write_training_set(rows, path)
-    stored = spark.read.schema(rows.schema).parquet(path)
+    stored = tables.read_table(spark, path)
     return stored.groupBy("label", "label_idx").agg(
         F.count("*").alias("n"),
         F.sum(F.get("target", F.col("label_idx"))).alias("target_sum"),

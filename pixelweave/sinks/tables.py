@@ -1,35 +1,42 @@
 """Parquet writers. Executors write their own rows; each table is one job.
 
-Tables replace their predecessor, so rows of an earlier run are never read again.
+Tables replace their predecessor in one step (``sinks.snapshots``): rows of an earlier run are
+never read again, and a run that fails leaves the earlier table readable.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from pixelweave import fixed
 from pixelweave.functions import labels as L
 from pixelweave.operators.filters import keep_classes
+from pixelweave.sinks import snapshots
+
+
+def read_table(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
+    """Rows of a table that one of these writers made; its newest version unless one is given."""
+    return snapshots.read(spark, root, version)
 
 
 def write_raw(df: DataFrame, root: str) -> None:
     """Kept source images as rows ``(name, split, content, label)``, by split."""
     rows = df.select("name", "content", "label", "split")
-    rows.write.mode("overwrite").partitionBy("split").parquet(root)
+    snapshots.replace(rows, root, ["split"])
 
 
 def write_chunks(df: DataFrame, path: str) -> None:
     """Processed samples with their ``chunk_id``, by split."""
-    df.write.mode("overwrite").partitionBy("split").parquet(path)
+    snapshots.replace(df, path, ["split"])
 
 
 def write_batches(
     df: DataFrame, path: str, classes: Sequence = fixed.TARGET_CLASSES, label: str = "label"
 ) -> None:
     """Rows of the target classes with their ``batch_id``."""
-    keep_classes(df, classes, label).write.mode("overwrite").parquet(path)
+    snapshots.replace(keep_classes(df, classes, label), path)
 
 
 def training_set(
@@ -44,7 +51,7 @@ def training_set(
 
 def write_training_set(df: DataFrame, path: str) -> None:
     """Training rows: tensor, index and target side by side."""
-    df.write.mode("overwrite").parquet(path)
+    snapshots.replace(df, path)
 
 
 def write_label_lines(df: DataFrame, path: str, order: str = "pos") -> None:

@@ -321,7 +321,7 @@ def test_raw_table(spark, tmp_path):
         "name string, split string, content binary, label string, pos bigint",
     )
     tables.write_raw(df, str(tmp_path / "raw"))
-    assert spark.read.parquet(str(tmp_path / "raw")).where("split='test'").first()["name"] == "b"
+    assert tables.read_table(spark, str(tmp_path / "raw")).where("split='test'").first()["name"] == "b"
     tables.write_label_lines(df, str(tmp_path / "labels"))
     lines = files.read_label_lines(spark, str(tmp_path / "labels/split=test"))
     assert [(r["pos"], r["label"]) for r in lines.collect()] == [(1, "dog")]
