@@ -16,8 +16,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pixelweave import fixed, schemas
 from pixelweave.functions import labels as L, tensors as T
-from pixelweave.learning import scoring, training
+from pixelweave.learning import minibatch, scoring, training
 from pixelweave.operators import images, layout
+from pixelweave.operators.aggregates import evaluation
 from pixelweave.operators.filters import drop_bad_payload, keep_classes
 from pixelweave.operators.numbering import with_position
 from pixelweave.operators.sets import all_splits
@@ -259,6 +260,63 @@ def train(
     return model
 
 
+@scope()
+def train_minibatches(
+    spark: SparkSession,
+    training_root: str,
+    state_table: str,
+    processed: str | None = None,
+    candidates: Sequence[minibatch.Candidate] = (),
+    split: str = "validation",
+    shape: T.Shape = fixed.IMAGE_SHAPE,
+    balanced: bool = False,
+    **settings,
+) -> minibatch.State:
+    """Fit with Adam in the run's minibatches, learning rate and epochs on the batch table that
+    ``build_batches`` wrote, and keep the state of every epoch in ``state_table``.
+
+    With ``processed`` every epoch is scored on its ``split``. Started again after a failure, the
+    fit goes on from the last finished epoch. ``settings`` go to ``minibatch.fit``.
+    """
+    config = files.read_meta(spark, f"{training_root}/config", schemas.RUN_CONFIG).first()
+    classes = stored_classes(spark, training_root)
+    size = config["batch_size"]
+    stored = drop_bad_payload(tables.read_table(spark, f"{training_root}/batches"), *shape)
+    rows = training.with_class_weights(stored) if balanced else stored
+    with _expecting(spark, shape):
+        learned = minibatch.minibatches(rows, ["pos"], size, weight="weight" if balanced else None)
+        held = None
+        if processed:
+            wanted = chunks.read_chunk_prefix(read_processed(spark, processed), split)
+            encoded = keep_classes(drop_bad_payload(wanted, *shape), classes)
+            held = minibatch.minibatches(encoded.withColumn("label_idx", L.label_index("label", classes)), ["pos"], size)
+        chosen = tuple(candidates) or (minibatch.Candidate(config["learning_rate"]),)
+        return minibatch.fit(
+            learned, len(classes), chosen, validation=held, state_table=state_table,
+            **{"epochs": config["epochs"]} | settings,
+        )
+
+
+@scope()
+def evaluate_minibatches(
+    spark: SparkSession,
+    processed: str,
+    state_table: str,
+    training_root: str,
+    split: str = "validation",
+    shape: T.Shape = fixed.IMAGE_SHAPE,
+) -> DataFrame:
+    """Loss and accuracy of the best epoch of the best candidate of a state table; one row."""
+    state = minibatch.load_state(spark, state_table)
+    known = stored_classes(spark, training_root)
+    rows = keep_classes(chunks.read_chunk_prefix(read_processed(spark, processed), split), known)
+    encoded = drop_bad_payload(rows, *shape).withColumn("label_idx", L.label_index("label", known))
+    with _expecting(spark, shape):
+        answers = minibatch.probabilities(state.best[state.winner()], math.prod(shape))
+        result = evaluation(encoded.select("label_idx", answers.alias("probs")), "probs", "label_idx")
+        return spark.createDataFrame([result.first()], result.schema)
+
+
 @scope()
 def evaluate(
     spark: SparkSession,

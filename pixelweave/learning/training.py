@@ -81,21 +81,6 @@ def with_class_weights(df: DataFrame, label: str = "label_idx", output: str = "w
     return df.join(weights, label)
 
 
-def epoch_metrics(df: DataFrame, epochs: int, features: str = "features", label: str = "label_idx",
-                  **params) -> DataFrame:
-    """(epoch, loss, accuracy) on the training rows after 1, 2, ... epochs.
-
-    The optimiser starts from the same point each time, so the model after n epochs is a step
-    on the way of the longer fit; the cost is that of all fits together.
-    """
-    rows = []
-    for n in range(1, epochs + 1):
-        model = fit_classifier(df, features, label, epochs=n, **params)
-        found = evaluate(df, model, features, label).first()
-        rows.append((n, found["loss"], found["accuracy"]))
-    return df.sparkSession.createDataFrame(rows, "epoch int, loss double, accuracy double")
-
-
 def save_model(model: PipelineModel, path: str) -> None:
     """Save, replacing an earlier model."""
     model.write().overwrite().save(path)

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
-from pixelweave.functions import labels as L
-from pixelweave.learning import scoring, training
+from pixelweave.functions import labels as L, tensors as T
+from pixelweave.learning import minibatch, scoring, training
 from pixelweave.operators import aggregates as A, filters
 from pixelweave.plans.bindings import CLASSES, INT_CLASSES, SQL_INDEX, SQL_KEPT, kept, table
 from pixelweave.plans.registry import query
@@ -154,20 +154,111 @@ def fit_weighted(spark, sf_dir):
     return _checked(spark, sf_dir, rows, model, *_history(spark, model, rows))
 
 
-@query("""
-SELECT epoch, true AS rows_scored, true AS falling FROM range(1, 4) AS r(epoch)
-WHERE (SELECT count(*) FROM embeddings) > 0
+_STEPS = 4
+_CANDIDATES = (
+    minibatch.Candidate(0.01), minibatch.Candidate(0.001), minibatch.Candidate(0.05, 0.01), minibatch.Candidate(0.02, 1.0)
+)
+
+
+def _sql_history(candidates, epochs: int) -> str:
+    """CTEs of a fit with Adam: a table of weights and moments after every step, four steps an
+    epoch, and ``history`` as the fit reports it. The intercept is value 64."""
+    pick = lambda of: "CASE c " + " ".join(f"WHEN {i} THEN {of(x)}" for i, x in enumerate(candidates)) + " END"
+    rate, penalty = pick(lambda x: f"{x.learning_rate!r}::DOUBLE"), pick(lambda x: f"{x.penalty!r}::DOUBLE")
+
+    def answers(name: str, rows: str, weights: str, where: str = "true") -> str:
+        return f"""
+{name}z AS MATERIALIZED (
+  SELECT vec_id, y, c, k, sum(w * x) AS z FROM {rows} JOIN {weights} USING (d) WHERE {where} GROUP BY ALL),
+{name} AS MATERIALIZED (
+  SELECT *, e / sum(e) OVER (PARTITION BY vec_id, c) AS p,
+    row_number() OVER (PARTITION BY vec_id, c ORDER BY z DESC, k) = 1 AS top
+  FROM (SELECT *, exp(z - max(z) OVER (PARTITION BY vec_id, c)) AS e FROM {name}z)),"""
+
+    metrics = """SELECT c, {epoch} AS epoch, avg(-ln(least(greatest(p, 1e-7), 1 - 1e-7))) AS loss,
+    avg(CASE WHEN top THEN 1.0::DOUBLE ELSE 0 END) AS accuracy FROM ({rows}) WHERE k = y GROUP BY c"""
+    text = f"""
+WITH base AS (
+  SELECT vec_id, label AS y, embedding, vec_id % 10 = 8 AS held,
+    row_number() OVER (PARTITION BY vec_id % 10 = 8 ORDER BY vec_id) - 1 AS pos,
+    (count(*) OVER (PARTITION BY vec_id % 10 = 8) + {_STEPS - 1}) // {_STEPS} AS size
+  FROM embeddings WHERE label < {_K}),
+cells AS MATERIALIZED (
+  SELECT vec_id, y, held, pos // size AS step, CAST(d AS INTEGER) AS d,
+    CASE WHEN d < 64 THEN CAST(embedding[d + 1] AS DOUBLE) ELSE 1 END AS x
+  FROM base, range(65) AS r(d)),
+learned AS MATERIALIZED (SELECT * FROM cells WHERE NOT held),
+checked AS MATERIALIZED (SELECT * FROM cells WHERE held),
+w0 AS MATERIALIZED (
+  SELECT CAST(c AS INTEGER) AS c, CAST(k AS INTEGER) AS k, CAST(d AS INTEGER) AS d, 0::DOUBLE AS w, 0::DOUBLE AS m, 0::DOUBLE AS v
+  FROM range({len(candidates)}) AS a(c), range({_K}) AS b(k), range(65) AS e(d)),"""
+    for t in range(epochs * _STEPS):
+        text += answers(f"p{t}", "learned", f"w{t}", f"step = {t % _STEPS}") + f"""
+g{t} AS (
+  SELECT c, k, d, sum((p - CASE WHEN k = y THEN 1 ELSE 0 END) * x) / count(*) AS g
+  FROM p{t} JOIN learned USING (vec_id, y) GROUP BY ALL),
+w{t + 1} AS MATERIALIZED (
+  SELECT c, k, d, w - {rate} * (m / (1 - 0.9::DOUBLE ** {t + 1})) / (sqrt(v / (1 - 0.999::DOUBLE ** {t + 1})) + 1e-7) AS w, m, v
+  FROM (
+    SELECT c, k, d, w, 0.9::DOUBLE * m + 0.1::DOUBLE * h AS m, 0.999::DOUBLE * v + 0.001::DOUBLE * h * h AS v
+    FROM (SELECT *, g + CASE WHEN d < 64 THEN {penalty} * w ELSE 0 END AS h FROM w{t} JOIN g{t} USING (c, k, d)))),"""
+    seen, held = [], []
+    for epoch in range(1, epochs + 1):
+        steps = range((epoch - 1) * _STEPS, epoch * _STEPS)
+        seen.append(metrics.format(epoch=epoch, rows=" UNION ALL ".join(f"SELECT * FROM p{t}" for t in steps)))
+        text += answers(f"q{epoch}", "checked", f"w{epoch * _STEPS}")
+        held.append(metrics.format(epoch=epoch, rows=f"SELECT * FROM q{epoch}"))
+    return text + f"""
+history AS MATERIALIZED (
+  SELECT a.c AS candidate, CAST(a.epoch AS INTEGER) AS epoch, a.loss, a.accuracy, b.loss AS val_loss, b.accuracy AS val_accuracy
+  FROM ({" UNION ALL ".join(seen)}) a JOIN ({" UNION ALL ".join(held)}) b USING (c, epoch))"""
+
+
+def _minibatches(spark, sf_dir, held_out):
+    """Rows inside or outside the validation split, in four minibatches."""
+    held = F.col("vec_id") % 10 == 8
+    listed = filters.keep_classes(vectors(spark, sf_dir).where(held if held_out else ~held), INT_CLASSES)
+    rows = listed.select("vec_id", T.to_bytes("features").alias("tensor"), L.label_index("label", INT_CLASSES).alias("label_idx"))
+    return minibatch.minibatches(rows, "vec_id", max(1, -(-rows.count() // _STEPS)))
+
+
+def _searched(spark, sf_dir, **settings):
+    learned, held = _minibatches(spark, sf_dir, False), _minibatches(spark, sf_dir, True)
+    return minibatch.fit(learned, _K, _CANDIDATES, epochs=2, validation=held, **settings)
+
+
+_METRICS = ("loss", "accuracy", "val_loss", "val_accuracy")
+
+
+@query(_sql_history(_CANDIDATES, 2) + f"""
+SELECT candidate, epoch, {", ".join(f"round({m}, 4) AS {m}" for m in _METRICS)} FROM history
 """)
 def epoch_metrics(spark, sf_dir):
-    """Loss and accuracy after each epoch; the loss does not rise."""
-    rows = _ready(training_rows(spark, sf_dir))
-    found = training.epoch_metrics(rows, 3, regParam=0.0)
-    before = found.select((F.col("epoch") + 1).alias("epoch"), F.col("loss").alias("before"))
-    return found.join(before, "epoch", "left").select(
-        F.col("epoch").cast("bigint").alias("epoch"),
-        F.col("accuracy").between(0, 1).alias("rows_scored"),
-        (F.coalesce("before", F.col("loss")) >= F.col("loss")).alias("falling"),
-    )
+    """Loss and accuracy of every candidate after each epoch, of one fit with minibatches."""
+    found = minibatch.history(spark, _searched(spark, sf_dir))
+    return found.select("candidate", "epoch", *[F.round(m, 4).alias(m) for m in _METRICS])
+
+
+@query(_sql_history(_CANDIDATES, 2) + f""",
+scored AS (
+  SELECT *, val_accuracy - 0.4::DOUBLE / (SELECT count(*) FROM base WHERE held) * val_loss / (1 - ln(1e-7)) AS score
+  FROM history),
+going_on AS (
+  SELECT candidate FROM scored WHERE epoch = 1 ORDER BY score DESC, candidate LIMIT {len(_CANDIDATES) - len(_CANDIDATES) // 2}),
+run AS (SELECT * FROM scored WHERE epoch = 1 OR candidate IN (SELECT candidate FROM going_on)),
+best AS (
+  SELECT candidate, max(epoch) AS epochs, arg_max(epoch, score) AS best_epoch, max(score) AS score FROM run GROUP BY 1)
+SELECT candidate, epochs, best_epoch, round(score, 4) AS score,
+  row_number() OVER (ORDER BY score DESC, candidate) = 1 AS is_best
+FROM best
+""")
+def search_halving(spark, sf_dir):
+    """A search that fits all candidates in the same passes and drops the worse half after one epoch."""
+    state = _searched(spark, sf_dir, halve_after=(1,))
+    run = minibatch.history(spark, state).groupBy("candidate").agg(F.max("epoch").alias("epochs"))
+    rows = [(i, int(e), float(s), i == state.winner()) for i, (e, s) in enumerate(zip(state.best_epoch, state.best_score))]
+    best = spark.createDataFrame(rows, "candidate int, best_epoch int, score double, is_best boolean")
+    return run.join(best, "candidate").withColumn("score", F.round("score", 4))
 
 
 @query("""

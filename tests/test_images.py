@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pixelweave import fixed, jobs, schemas
 from pixelweave.functions import tensors as T
 from pixelweave.functions.arrow import FLOAT
+from pixelweave.learning import minibatch
 from pixelweave.operators import images
 from pixelweave.plans.images import png
 from pixelweave.sinks import tables
@@ -199,6 +200,14 @@ def test_whole_run(spark, raw_root, tmp_path):
     assert result["accuracy"] > 0.9
     with pytest.raises(ValueError, match="trained with"):
         jobs.evaluate(spark, out, model, training_root, CLASSES[::-1], shape=shape)
+    state_table = str(tmp_path / "state")
+    step = [minibatch.Candidate(0.05)]
+    jobs.train_minibatches(spark, training_root, state_table, out, step, shape=shape, epochs=1)
+    state = jobs.train_minibatches(spark, training_root, state_table, out, step, shape=shape, epochs=4, balanced=True)
+    assert state.epoch == 4 and len(state.history) == 4
+    found = jobs.evaluate_minibatches(spark, out, state_table, training_root, shape=shape).first()
+    best = max(state.history, key=lambda h: (h["val_accuracy"], -h["val_loss"]))
+    assert found["accuracy"] == pytest.approx(best["val_accuracy"]) and found["loss"] == pytest.approx(best["val_loss"])
     jobs.train(spark, training_root, model, shape, balanced=True, epochs=60)
     assert jobs.evaluate(spark, out, model, training_root, CLASSES, shape=shape).first()["accuracy"] > 0.9
     perceptron = jobs.train(spark, training_root, model, shape, hidden=[4])

@@ -97,13 +97,6 @@ def test_grid_search_keeps_the_best_and_ignores_partitions(spark, points):
     assert np.allclose([a for _, _, a in scores], [r["accuracy"] for r in again.orderBy("candidate").collect()])
 
 
-def test_epoch_metrics(spark, points):
-    rows = training.with_features(points.withColumn("label_idx", F.col("label").cast("double")), "v")
-    found = training.epoch_metrics(rows, 4).orderBy("epoch").collect()
-    assert [r["epoch"] for r in found] == [1, 2, 3, 4]
-    assert found[-1]["loss"] < found[0]["loss"] and found[-1]["accuracy"] >= found[0]["accuracy"]
-
-
 def test_class_weights_balance_a_fit(spark):
     rng = np.random.default_rng(2)
     rows = [(float(i % 20 == 0), [float(rng.normal((i % 20 == 0) * 0.8, 1.0))]) for i in range(2000)]
