@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StringType, StructField, StructType
 
 from pixelweave.functions.storage import locate
-from pixelweave.llm.text import texts
+from pixelweave.llm.text import byte_level, texts
 from pixelweave.workspace import fresh_path, materialize
 
 # A block ends with the document that makes it this large, in characters or documents (places of
@@ -64,14 +64,6 @@ _B_BITS = 15
 _CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
 
 
-def byte_level() -> dict[str, int]:
-    """The byte that each character of a byte-level vocabulary stands for: printable Latin-1
-    characters for themselves, the others in order from U+0100 on."""
-    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    hidden = [b for b in range(256) if b not in set(shown)]
-    return {chr(b): b for b in shown} | {chr(0x100 + i): b for i, b in enumerate(hidden)}
-
-
 # Fixed value: the pattern by which byte-level tokenizers cut texts.
 _PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 

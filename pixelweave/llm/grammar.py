@@ -19,7 +19,8 @@ Files are written by the tasks under names that no other attempt uses, and only
 task succeeded are listed in the index table; both lie in the shared folder.
 
 Defined cases: null and empty texts have the end id only; null keys come first; rows of equal
-keys are neighbours in no particular order; an empty table gives no file; extra columns are
+keys are neighbours in the order of a hash of their texts; a text of any length is one document of a
+shard, which a task holds whole; an empty table gives no file; extra columns are
 ignored.
 """
 
@@ -44,45 +45,62 @@ from pixelweave.workspace import fresh_path, materialize
 MAGIC = b"REPAIR01"
 SHARD_IDS = 1_000_000
 
-# A pair is replaced while it occurs at least LEAST times; passes and rules per pass.
+# A pair is replaced while it occurs at least LEAST times; rules of one pass, the most frequent
+# pairs first.
 LEAST = 32
-PASSES = 6
 RULES_PER_PASS = 2_500
 _BUCKETS = 1 << 18
 
 
-def _frequent(codes: np.ndarray, usable: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Codes of the most frequent pairs, sorted, and the places they may be at."""
+def _frequent(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, bool]:
+    """Codes of the most frequent pairs, sorted; which of ``codes`` may be among them; and whether
+    frequent ones are left over."""
+    if len(codes) < _BUCKETS:
+        found, counts = np.unique(codes, return_counts=True)
+        best = np.argsort(-counts, kind="stable")[: min(int((counts >= LEAST).sum()), RULES_PER_PASS)]
+        return np.sort(found[best]), np.arange(len(codes)), bool((counts >= LEAST).sum() > RULES_PER_PASS)
     slot = ((codes * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(46)).astype(np.int32)
     # A pair cannot be more frequent than its slot, so only pairs of full slots are sorted.
-    per_slot = np.bincount(slot[usable], minlength=_BUCKETS)
+    per_slot = np.bincount(slot, minlength=_BUCKETS)
     n_best = min(RULES_PER_PASS, _BUCKETS - 1)
     least = max(LEAST, int(np.partition(per_slot, -n_best)[-n_best]))
-    places = np.flatnonzero(usable & (per_slot >= least)[slot])
-    found, counts = np.unique(codes[places], return_counts=True)
-    best = np.argsort(-counts, kind="stable")[:RULES_PER_PASS]
-    return np.sort(found[best[counts[best] >= LEAST]]), places
+    near = np.flatnonzero((per_slot >= least)[slot])
+    found, counts = np.unique(codes[near], return_counts=True)
+    n_frequent = int((counts >= LEAST).sum())
+    best = np.argsort(-counts, kind="stable")[: min(n_frequent, RULES_PER_PASS)]
+    return np.sort(found[best]), near, least > LEAST or n_frequent > RULES_PER_PASS
 
 
 def compress(ids: np.ndarray, ends: np.ndarray, first: int):
     """Symbols, document ends among them, and rules for ``ids`` (documents end at ``ends``).
 
-    ``first`` is the number of the first nonterminal, above all ids.
+    ``first`` is the number of the first nonterminal, above all ids. Passes go on until no pair
+    occurs ``LEAST`` times. Only pairs with a symbol of the pass before can have become
+    frequent, so the others are counted again only while frequent ones are left over.
     """
     symbols = ids.astype(np.uint32)
     last = np.zeros(len(symbols), bool)
     last[ends - 1] = True
     rules: list[np.ndarray] = []
-    number = first
-    for _ in range(PASSES):
-        if len(symbols) < 2:
-            break
-        codes = symbols[:-1].astype(np.uint64) << np.uint64(32) | symbols[1:]
-        chosen, places = _frequent(codes, ~last[:-1])
+    number, new_from, left_over = first, 0, True
+    while len(symbols) > 1:
+        usable = ~last[:-1]
+        if not left_over:
+            new = symbols >= new_from
+            usable &= new[:-1] | new[1:]
+        places = np.flatnonzero(usable)
+        codes = symbols[places].astype(np.uint64) << np.uint64(32) | symbols[places + 1]
+        chosen, near, left_over = _frequent(codes)
         if not len(chosen):
-            break
-        rank = np.minimum(np.searchsorted(chosen, codes[places]), len(chosen) - 1)
-        found = chosen[rank] == codes[places]
+            if left_over:
+                # Full slots of rare pairs hid the frequent ones: look at every pair.
+                found, counts = np.unique(codes, return_counts=True)
+                chosen, near = found[counts >= LEAST][:RULES_PER_PASS], np.arange(len(codes))
+            if not len(chosen):
+                break
+        places, codes = places[near], codes[near]
+        rank = np.minimum(np.searchsorted(chosen, codes), len(chosen) - 1)
+        found = chosen[rank] == codes
         at, rank = places[found], rank[found]
         # Of a run of overlapping pairs every second one is replaced, from the left.
         starts = np.r_[True, np.diff(at) > 1]
@@ -95,7 +113,7 @@ def compress(ids: np.ndarray, ends: np.ndarray, first: int):
         last[at] |= last[at + 1]
         symbols, last = symbols[keep], last[keep]
         rules.append(np.stack([chosen >> np.uint64(32), chosen & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32))
-        number += len(chosen)
+        new_from, number = number, number + len(chosen)
     table = np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32)
     return symbols, np.flatnonzero(last) + 1, table
 
@@ -250,7 +268,9 @@ def write(docs: DataFrame, tokenizer: str, folder: str, key: str = "doc_id", tex
             yield flush()
 
     ordered = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
-    ordered = ordered.repartitionByRange("key").sortWithinPartitions("key")
+    # Rows of one key are as many as they like, so their texts part the ranges as well.
+    spread = ordered.withColumn("mark", F.xxhash64("text")).repartitionByRange("key", "mark")
+    ordered = spread.sortWithinPartitions("key", "mark").select("key", "text")
     return materialize(ordered.mapInArrow(save, _INDEX), "shards")
 
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import re
+import struct
 import sys
 import types
 from collections.abc import Iterable, Sequence
@@ -57,6 +59,21 @@ _MARKS = re.compile(rf"{_MARK}(?<=[A-Za-z]{_MARK}){_MARK}*(?=[ \n])")
 # Words that one call of the library encodes.
 _TOGETHER = 20_000
 
+# Words of Latin letters whose normal form is their lower case: one token run each, for which the
+# library's merges are enough.
+_LETTERS = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+")
+
+
+def byte_level() -> dict[str, int]:
+    """The byte that each character of a byte-level vocabulary stands for: printable Latin-1
+    characters for themselves, the others in order from U+0100 on."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in set(shown)]
+    return {chr(b): b for b in shown} | {chr(0x100 + i): b for i, b in enumerate(hidden)}
+
+
+_SHOWN = str.maketrans({chr(byte): shown for shown, byte in byte_level().items()})
+
 
 class Encoder:
     """Token ids of texts by a tokenizers file, as little-endian unsigned 32-bit bytes.
@@ -87,12 +104,42 @@ class Encoder:
             pieces = [_MARKS.sub(r" \g<0>", t).replace("\n", " ").split(" ") for t in part]
             if len(held.words) > CACHED_WORDS:
                 held.words = {}
-            self._learn(list(set().union(*pieces).difference(held.words)))
-            look = held.words.__getitem__
-            for words in pieces:
-                yield b"".join(map(look, words))
+            yield from self._encoded(pieces)
+
+    def _encoded(self, pieces: list[list[str]]) -> list[bytes]:
+        # Millions of objects come and go here without a cycle among them.
+        collects = gc.isenabled()
+        gc.disable()
+        try:
+            get = self._held.words.get
+            found = [list(map(get, words)) for words in pieces]
+            gaps = [[i for i, ids in enumerate(of) if ids is None] for of in found]
+            self._learn(list({words[i] for words, at in zip(pieces, gaps) for i in at}))
+            for words, ids, at in zip(pieces, found, gaps):
+                for i in at:
+                    ids[i] = get(words[i])
+            return list(map(b"".join, found))
+        finally:
+            if collects:
+                gc.enable()
 
     def _learn(self, fresh: list[str]) -> None:
+        """Encode new words: those of letters by the merges alone, the others as a text."""
+        words, tokenize, pack = self._held.words, self._held.tokenizer.model.tokenize, struct.pack
+        others = []
+        for word in fresh:
+            if not _LETTERS.fullmatch(word):
+                others.append(word)
+                continue
+            lower = word.lower()
+            ids = words.get(lower)
+            if ids is None:
+                spelt = lower if lower.isascii() else lower.encode().decode("latin-1").translate(_SHOWN)
+                words[lower] = ids = pack(f"<{len(found := tokenize(spelt))}I", *[t.id for t in found])
+            words[word] = ids
+        self._learn_text(others)
+
+    def _learn_text(self, fresh: list[str]) -> None:
         for first in range(0, len(fresh), _TOGETHER):
             words = fresh[first : first + _TOGETHER]
             encoding = self._held.tokenizer.encode(" ".join(words), add_special_tokens=False)

@@ -41,6 +41,45 @@ def test_round_trip_and_slices(kind):
         assert (back.slice(a, b) == flat[a:b]).all()
 
 
+def test_passes_go_on_while_pairs_are_frequent():
+    """A passage of 1,000 ids in many documents ends as a few symbols a document."""
+    rng = np.random.default_rng(6)
+    passage = rng.integers(3, 40_000, 1000).tolist()
+    docs = [[int(rng.integers(3, 40_000)), *passage, 2] for _ in range(980)]
+    shard = grammar.Shard.of([0] * len(docs), [np.array(d, "<u4").tobytes() for d in docs])
+    assert len(shard.symbols) <= 3 * len(docs)
+    codes = shard.symbols[:-1].astype(np.uint64) << np.uint64(32) | shard.symbols[1:]
+    inside = np.ones(len(codes), bool)
+    inside[shard.ends[:-1] - 1] = False
+    assert np.unique(codes[inside], return_counts=True)[1].max() < grammar.LEAST
+    assert (shard.ids() == np.concatenate(docs)).all()
+
+
+def test_no_pair_is_left_on_real_texts(spark):
+    texts = [r["text"] for r in spark.read.parquet(f"{MEDIUM}/documents.parquet").orderBy("doc_id").collect()]
+    documents = [ids + b"\x02\0\0\0" for ids in grammar.Encoder(PATH).encode(texts)]
+    shard = grammar.Shard.of(list(range(len(documents))), documents)
+    at = np.flatnonzero(~np.isin(np.arange(1, len(shard.symbols)), shard.ends))
+    pairs = np.stack([shard.symbols[at], shard.symbols[at + 1]], 1)
+    pairs, counts = np.unique(pairs, axis=0, return_counts=True)
+    # A pair of one symbol with itself is replaced every second time only.
+    assert counts[pairs[:, 0] != pairs[:, 1]].max() < grammar.LEAST
+    assert (shard.ids() == np.frombuffer(b"".join(documents), "<u4")).all()
+
+
+def test_hot_keys_are_dealt_to_many_tasks(spark, tmp_path):
+    rows = [(None if i % 2 else 7, f"text number {i} of many") for i in range(3000)] + [(9, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        index = grammar.write(docs, PATH, f"{tmp_path}/out").collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert max(r["documents"] for r in index) < 1000
+    read = grammar.read(spark.createDataFrame(index, grammar._INDEX)).collect()
+    assert len(read) == 3001 and sum(r["doc_id"] is None for r in read) == 1500
+
+
 def test_no_rule_spans_documents():
     docs = [[5, 6, 2], [5, 6, 2]] * 100
     shard = grammar.Shard.of([0] * len(docs), [np.array(d, "<u4").tobytes() for d in docs])
