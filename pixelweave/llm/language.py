@@ -58,6 +58,7 @@ PER_LANGUAGE = 300
 # Closeness to the language at which a text is surely not, and surely, like its documents.
 FAR, NEAR, LEAST_ROWS = 0.4, 0.5, 10
 
+# Letters, and numbers that are no decimal digits.
 _LETTER = re.compile(r"[^\W\d_]")
 _BLANKED = bytes(
     c if c >= 128 or chr(c).isalpha() else 32 for c in range(256)
@@ -77,6 +78,11 @@ def gram_counts(text: str) -> np.ndarray:
     return np.bincount(places, minlength=DIMENSIONS)
 
 
+def has_letter(text: str) -> bool:
+    """Whether a character is a letter, of the Unicode categories L."""
+    return any(found.group().isalpha() for found in _LETTER.finditer(text))
+
+
 def _unit(counts: np.ndarray) -> np.ndarray:
     x = counts.astype(np.float32)
     return x / max(float(np.sqrt(x @ x)), 1e-9)
@@ -110,7 +116,7 @@ class Model:
     centres: Mapping[str, np.ndarray]
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        if not text or not self.families or not _LETTER.search(text):
+        if not text or not self.families or not has_letter(text):
             return UNKNOWN, 0.0
         x = _unit(gram_counts(text))
         margins = self.weights[:, :-1] @ x + self.weights[:, -1]

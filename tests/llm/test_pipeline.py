@@ -6,6 +6,8 @@ from conftest import MEDIUM, SMALL
 from test_packing import check_layout
 from test_simhash import slow_components, slow_fingerprint
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline as pipeline
 from pixelweave.llm import language, rules
 
@@ -95,6 +97,19 @@ def test_edges(spark, tmp_path, rows):
     assert docs.count() >= (rows == "odd")
 
 
+def test_clashing_columns_pass_unchanged(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    names = ["quality", "kept", "f", "base_failed", "score", "lang_pred", "_mark", "_row", "label", "n", "id", "fp",
+             "component_id", "taken_id", "tokens", "a.b"]
+    for name in names:
+        docs = docs.withColumn(name, F.concat(F.lit(f"{name} of "), F.col("doc_id").cast("string")))
+    for _, stage in pipeline.STAGES[:4]:
+        docs = stage(spark, docs, SMALL)
+    rows = docs.collect()
+    assert docs.columns[5:] == names and len(rows) > 20
+    assert all(row[name] == f"{name} of {row['doc_id']}" for row in rows for name in names)
+
+
 def test_language_stage_rejects(spark):
     """Letter gibberish, foreign texts and texts in two languages go; clean held-out texts stay."""
     docs = spark.read.parquet(f"{MEDIUM}/documents.parquet")
