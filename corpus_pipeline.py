@@ -7,8 +7,8 @@ a stage are deleted once its rows are written.
 
 Defined cases: empty tables stay empty; null texts fail the quality rules; rows without a key
 cannot be told apart, so the near-duplicate stage keeps them all; rows that repeat a key are
-documents of their own there unless their texts are near-duplicates; extra columns pass through
-all stages but the last.
+documents of their own there unless their texts are near-duplicates; extra columns, whatever their
+names, pass unchanged through all stages but the last.
 """
 
 from __future__ import annotations
@@ -27,23 +27,29 @@ LEAST_SURE = 0.2
 SHARE, SEED = (8, 10), 7
 
 
+def _packed(docs: DataFrame, *columns) -> DataFrame:
+    """Whole rows as column ``_row`` beside the columns that an operator reads, so that columns
+    which an operator adds or replaces never meet the rows' own."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), *columns)
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base check and are probably good by the rules' votes."""
-    return rules.judge(docs).where("kept").select(*docs.columns)
+    return rules.judge(_packed(docs, "text")).where("kept").select("_row.*")
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a learned language, told with confidence ``LEAST_SURE``: without letter
     gibberish, other languages and texts that are as much in one language as in another."""
-    found = language.identify(docs.select("*"), language.learn(docs))
+    found = language.identify(_packed(docs, "text"), language.learn(docs))
     sure = (F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SURE)
-    return found.where(sure).select(*docs.columns)
+    return found.where(sure).select("_row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of every group of near-duplicates one row, with the smallest key and, where rows of the
     group repeat that key, the smallest hash of its text."""
-    marked = docs.withColumn("_mark", F.xxhash64("text"))
+    marked = _packed(docs, "doc_id", "text", F.xxhash64("text").alias("_mark"))
     found = simhash.near_duplicates(marked.select("doc_id", "text", "_mark"), shingle=4, budget=4, carry=("_mark",))
     rows = found.where("doc_id = component_id").groupBy("label", "doc_id", "_mark").agg(F.count("*").alias("n"))
     first = rows.groupBy("label").agg(F.min(F.struct("doc_id", "_mark", "n")).alias("row"))
@@ -52,7 +58,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     by = ["doc_id", "_mark"]
     once = marked.join(kept.where("n = 1"), by, "left_semi")
     many = marked.join(kept.where("n > 1"), by, "left_semi").dropDuplicates(by)
-    return once.unionByName(many).select(*docs.columns).union(docs.where("doc_id is null"))
+    return once.unionByName(many).select("_row.*").union(docs.where("doc_id is null"))
 
 
 def mixing_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
