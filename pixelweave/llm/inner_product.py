@@ -14,8 +14,9 @@ of blocks returns at most k rows per query, only those that reach the first scor
 best k of them are taken by a window per query.
 
 Defined cases: vectors that are null or hold null or non-finite components take no part; an
-empty vector scores 0; shorter vectors count as continued by zeros; a component beyond
-2 ** 24 / scale in size is an error, as scores would leave 64 bits; ties go to the smaller id;
+empty vector scores 0; shorter vectors count as continued by zeros; where a component is beyond
+2 ** 24 / scale in size, scores are Python's whole numbers and rank as such, and those that leave 64
+bits are returned as the least or greatest number of 64 bits; ties go to the smaller id;
 null ids take no part; rows that repeat an id are separate candidates, and one of them asks
 as a query; an empty table gives an empty result; extra columns are ignored.
 """
@@ -43,26 +44,48 @@ STEP = 512
 _BLOCK = StructType([
     StructField("longest", DoubleType()), StructField("ids", BinaryType()), StructField("vectors", BinaryType()),
 ])
-_FOUND = StructType([StructField(n, LongType()) for n in ("query_id", "vec_id", "score")])
+# ``exact`` orders scores that 64 bits cannot tell apart; null where they can.
+_FOUND = StructType([*(StructField(n, LongType()) for n in ("query_id", "vec_id", "score")),
+                     StructField("exact", BinaryType())])
+
+# Largest component of whole-number products in 64 bits; bytes of an exact score.
+_PLAIN, _EXACT_BYTES = 1 << 24, 300
 
 
 def whole_numbers(vector: Column, scale: int) -> Column:
-    """floor(scale * x) of every component; null if a component is null or not finite."""
+    """floor(scale * x) of every component as a double, which is exact where ``scale`` is a power of
+    two; null if a component is null or not finite."""
     good = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
-    scaled = F.transform(vector, lambda x: F.floor(x.cast("double") * scale))
-    return F.when(good, scaled)
+
+    def whole(x: Column) -> Column:
+        y = x.cast("double") * scale
+        # Doubles from 2 ** 52 on are whole, and too large for the function.
+        return F.when(F.abs(y) < float(1 << 52), F.floor(y).cast("double")).otherwise(y)
+
+    return F.when(good, F.transform(vector, whole))
 
 
 def _matrix(column: pa.Array, dims: int) -> np.ndarray:
     rows = column.to_pylist()
-    matrix = np.zeros((len(rows), dims), np.int64)
+    matrix = np.zeros((len(rows), dims))
     for place, row in zip(matrix, rows):
         place[: len(row)] = row
     return matrix
 
 
-def _blocks(dims: int, size: int):
-    """Pack sorted rows (id, vector) into blocks."""
+def _exact_scores(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
+    """Products of whole numbers of any size."""
+    own = [int(x) for x in query.tolist()]
+    return np.array([sum(int(x) * y for x, y in zip(row, own)) for row in vectors.tolist()], object)
+
+
+def _ordered(score: int) -> bytes:
+    """Bytes that sort as the scores do."""
+    return (score + (1 << 8 * _EXACT_BYTES - 1)).to_bytes(_EXACT_BYTES, "big")
+
+
+def _blocks(dims: int, size: int, kind: str):
+    """Pack sorted rows (id, vector) into blocks of numbers of a kind."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -73,13 +96,13 @@ def _blocks(dims: int, size: int):
                 longest = float(np.sqrt((part.astype(float) ** 2).sum(axis=1)).max())
                 yield pa.RecordBatch.from_arrays([
                     pa.array([longest]), pa.array([ids[first : first + size].astype("<i8").tobytes()]),
-                    pa.array([part.astype("<i8").tobytes()], pa.binary()),
+                    pa.array([part.astype(kind).tobytes()], pa.binary()),
                 ], _BLOCK.names)
 
     return pack
 
 
-def rotation(vectors: DataFrame, dims: int) -> np.ndarray:
+def rotation(vectors: DataFrame, dims: int, largest: float = 1.0) -> np.ndarray:
     """Right singular vectors of all vectors, strongest first, from their Gram matrix, which
     tasks sum up: ``dims`` rows leave a task."""
     schema = StructType([StructField("row", LongType()), StructField("sums", BinaryType())])
@@ -87,7 +110,7 @@ def rotation(vectors: DataFrame, dims: int) -> np.ndarray:
     def gram(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((dims, dims))
         for batch in batches:
-            matrix = _matrix(batch.column("vector"), dims).astype(float)
+            matrix = _matrix(batch.column("vector"), dims) / largest
             total += matrix.T @ matrix
         yield pa.RecordBatch.from_arrays(
             [pa.array(range(dims), pa.int64()), pa.array([r.tobytes() for r in total], pa.binary())], schema.names
@@ -127,19 +150,34 @@ def search(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, queries:
                 break  # all later vectors are shorter
             part = slice(first, first + STEP)
             bound = lead[part] @ ask_lead[q] + tail[part] * ask_tail[q] + slack
-            near = np.flatnonzero((bound >= least) & (ids[part] != query_ids[q])) + first
+            near = np.flatnonzero(~(bound < least) & (ids[part] != query_ids[q])) + first
             if not len(near):
                 continue
-            score = vectors[near] @ queries[q]
+            exact = vectors.dtype != np.int64
+            score = _exact_scores(vectors[near], queries[q]) if exact else vectors[near] @ queries[q]
             best_ids, best = np.r_[best_ids, ids[near]], np.r_[best, score]
-            keep = np.lexsort((best_ids, -best))[:k]
+            if exact:
+                keep = sorted(range(len(best)), key=lambda i: (-best[i], best_ids[i]))[:k]
+            else:
+                keep = np.lexsort((best_ids, -best))[:k]
             best_ids, best = best_ids[keep], best[keep]
             if len(best) == k:
+                # Doubles of exact scores are rounded by far less than the slack.
                 least = max(least, float(best[-1]))
-        keep = best >= floor[q]
+        keep = (best >= floor[q]).astype(bool)
         yield q, best_ids[keep], best[keep]
 
 
+def _score_columns(scores: list[np.ndarray], plain: bool) -> tuple[pa.Array, pa.Array]:
+    """Scores in 64 bits and, if these cannot hold them all, bytes in their order."""
+    whole = np.concatenate(scores)
+    if plain:
+        return pa.array(whole, pa.int64()), pa.nulls(len(whole), pa.binary())
+    ends = np.iinfo(np.int64)
+    return (pa.array([min(max(s, ends.min), ends.max) for s in whole.tolist()], pa.int64()),
+            pa.array([_ordered(s) for s in whole.tolist()], pa.binary()))
+
+
 def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = 256, key: str = "vec_id",
           vector: str = "embedding") -> DataFrame:
     """query_id, rank (from 1), vec_id and score of the k best other vectors of each query.
@@ -156,14 +194,15 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = 256, ke
         F.max(F.array_max(F.transform("vector", F.abs))).alias("largest"),
         F.count_if("asks").alias("queries"),
     ).first()
-    if (sizes["largest"] or 0) > 1 << 24:
-        raise ValueError("components are too large for exact scores")
+    largest = sizes["largest"] or 0.0
+    plain = largest <= _PLAIN
+    kind = "<i8" if plain else "<f8"
     dims = max(1, sizes["dims"] or 0)
-    axes = rotation(good, dims)
-    squares = F.aggregate("vector", F.lit(0).cast("long"), lambda s, x: s + x * x)
+    axes = rotation(good, dims, 1.0 if plain else largest)
+    squares = F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x)
     sorted_ = good.select("id", "vector", squares.alias("square")).repartitionByRange(F.desc("square"), "id")
     sorted_ = sorted_.sortWithinPartitions(F.desc("square"), "id").select("id", "vector")
-    blocks = materialize(sorted_.mapInArrow(_blocks(dims, BLOCK), _BLOCK), "ip-blocks")
+    blocks = materialize(sorted_.mapInArrow(_blocks(dims, BLOCK, kind), _BLOCK), "ip-blocks")
 
     n_query_blocks = max(1, -(-sizes["queries"] // QUERY_BLOCK))
     asking = good.where("asks").dropDuplicates(["id"])
@@ -174,7 +213,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = 256, ke
         matrix = _matrix(table.column("vector").combine_chunks(), dims)
         return pa.table({
             "qb": [key[0].as_py()], "query_ids": [ids.astype("<i8").tobytes()],
-            "queries": [matrix.astype("<i8").tobytes()],
+            "queries": [matrix.astype(kind).tobytes()],
         })
 
     schema = StructType([
@@ -189,14 +228,14 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = 256, ke
                 floors = row.get("floors")
                 floor = np.full(len(asked_ids), -np.inf) if floors is None else np.frombuffer(floors)
                 found = list(search(
-                    np.frombuffer(row["ids"], "<i8"), np.frombuffer(row["vectors"], "<i8").reshape(-1, dims),
-                    asked_ids, np.frombuffer(row["queries"], "<i8").reshape(-1, dims), floor, axes, k,
+                    np.frombuffer(row["ids"], "<i8"), np.frombuffer(row["vectors"], kind).reshape(-1, dims),
+                    asked_ids, np.frombuffer(row["queries"], kind).reshape(-1, dims), floor, axes, k,
                 ))
                 if found:
                     yield pa.RecordBatch.from_arrays([
                         pa.array(np.concatenate([np.full(len(i), asked_ids[q]) for q, i, _ in found]), pa.int64()),
                         pa.array(np.concatenate([i for _, i, _ in found]), pa.int64()),
-                        pa.array(np.concatenate([s for _, _, s in found]), pa.int64()),
+                        *_score_columns([s for _, _, s in found], plain),
                     ], _FOUND.names)
 
     def pairs(some_blocks: DataFrame, queries: DataFrame) -> DataFrame:
@@ -204,7 +243,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = 256, ke
         numbered = some_blocks.withColumn("qb", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_query_blocks - 1).cast("long"))))
         return numbered.join(queries, "qb").repartition("qb", "ids")
 
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    best = Window.partitionBy("query_id").orderBy(F.desc("exact"), F.desc("score"), "vec_id")
 
     def best_of(found: DataFrame) -> DataFrame:
         return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
@@ -213,7 +252,9 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = 256, ke
     longest = blocks.orderBy(F.desc("longest")).limit(1)
     first = best_of(pairs(longest, query_blocks).mapInArrow(compare, _FOUND))
     first = first.groupBy("query_id").agg(F.min("score").alias("floor"), F.count("*").alias("n"))
-    first = materialize(first.where(F.col("n") == k).select("query_id", "floor"), "ip-floors")
+    # Without 64 bits there is no first score to go by.
+    known = (F.col("n") == k) & F.lit(plain)
+    first = materialize(first.where(known).select("query_id", "floor"), "ip-floors")
     floored = dealt.select("qb", F.col("id").alias("query_id")).join(first, "query_id")
 
     def with_floors(key: tuple[pa.Scalar, ...], blocks: pa.Table, floors: pa.Table) -> pa.Table:

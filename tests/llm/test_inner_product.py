@@ -55,6 +55,13 @@ def test_odd_vectors(spark):
     assert run(spark, [(0, [1.0])]) == []
 
 
-def test_too_large(spark):
-    with pytest.raises(ValueError):
-        run(spark, [(0, [1e9]), (1, [1.0])])
+@pytest.mark.parametrize("size", [1e5, 1e9, 1e18, 3e38])
+def test_large_components(spark, size):
+    """Exact ranks beyond 64 bits; scores there are cut to 64 bits."""
+    rng = np.random.default_rng(7)
+    rows = [(i, [float(np.float32(x)) for x in v]) for i, v in enumerate(rng.normal(size=(40, 6)))]
+    rows += [(40 + i, [float(np.float32(x * size)) for x in rng.uniform(-1, 1, 6)]) for i in range(8)]
+    rows += [(60, [float(np.float32(size)), 1.0]), (61, [float(np.float32(size)), 2.0]), (62, [1.0])]
+    ends = np.iinfo(np.int64)
+    want = [(q, r, i, min(max(s, ends.min), ends.max)) for q, r, i, s in expected(rows, 5, 10)]
+    assert run(spark, rows) == want
