@@ -16,6 +16,8 @@ from pixelweave.workspace import one_row
 
 # Positions per bin of the range assignment.
 _BIN = 65_536
+# Modulus of the checksums: sums of 2^32 of them fit 64 bits.
+_PRIME = 2**31 - 1
 
 
 def class_list(spark: SparkSession, classes: Sequence, label: str = "label") -> DataFrame:
@@ -108,6 +110,42 @@ def realign_report(images: DataFrame, labels: DataFrame) -> DataFrame:
     )
 
 
+def chunk_checksums(df: DataFrame, key: str, pos: str = "pos") -> DataFrame:
+    """Rows, first and last position and two checksums ``(chunk_id, n, first, last, a, b)``.
+
+    A checksum is the sum, over a chunk's rows, of a hash of position and key taken modulo a prime
+    below 2^31, so parts of a chunk add up in any order, every task sends one row per chunk, and
+    rows that swap places, are lost or are repeated change it.
+    """
+    def checksum(seed: int) -> Column:
+        mixed = F.xxhash64(F.lit(seed), F.col(pos).cast("bigint"), F.col(key))
+        return F.sum(F.pmod(mixed, F.lit(_PRIME)))
+
+    return df.groupBy("chunk_id").agg(
+        F.count("*").alias("n"), F.min(pos).alias("first"), F.max(pos).alias("last"),
+        checksum(1).alias("a"), checksum(2).alias("b"),
+    )
+
+
+def alignment_report(images: DataFrame, labels: DataFrame, key: str, pos: str = "pos") -> DataFrame:
+    """Rows of both sides per chunk and whether they hold the same keys at the same positions.
+
+    Only checksums of chunks meet, not rows; ``realign_report`` counts the rows of those chunks
+    that differ. Two different chunks pass as equal with a chance of about 2^-62.
+    """
+    ours, theirs = chunk_checksums(images, key, pos), chunk_checksums(labels, key, pos)
+    both = ours.alias("i").join(theirs.alias("l"), F.col("i.chunk_id").eqNullSafe(F.col("l.chunk_id")), "full")
+    same = F.lit(True)
+    for c in ("n", "first", "last", "a", "b"):
+        same = same & F.col(f"i.{c}").eqNullSafe(F.col(f"l.{c}"))
+    return both.select(
+        F.coalesce("i.chunk_id", "l.chunk_id").alias("chunk_id"),
+        F.coalesce("i.n", F.lit(0).cast("bigint")).alias("n_images"),
+        F.coalesce("l.n", F.lit(0).cast("bigint")).alias("n_labels"),
+        same.alias("aligned"),
+    )
+
+
 def assign_batch_range(df: DataFrame, ranges: DataFrame, pos: str = "pos") -> DataFrame:
     """Add the ``batch_id`` whose ``[start, end)`` holds the row's position.
 

@@ -4,15 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from pixelweave import fixed
 from pixelweave.operators.numbering import (
+    TOP,
     Order,
     _columns,
     first_rows,
     running_total,
-    upto_bound,
+    upto_bounds,
     with_position,
 )
 from pixelweave.workspace import one_row
@@ -115,19 +116,29 @@ def cap_per_split(
 ) -> DataFrame:
     """At most ``caps[split]`` rows per split; a split without a cap keeps all its rows.
 
-    The position within the split stays in column ``pos``. Only rows that may lie within a cap
-    are sorted and written.
+    The position within the split stays in column ``pos``. With small caps every task sends the
+    first rows of each split. Beyond it one scan bounds all caps, and only rows that may lie
+    within a cap are sorted and written.
     """
     caps = {s: max(n, 0) for s, n in (caps or {}).items()}
-    near = df
-    for name, n in caps.items():
-        own = F.col(split) == name
-        near = upto_bound(near, order_by, n, own) if n else near.where(~own | own.isNull())
-    numbered = with_position(near, order_by, by=split)
     if not caps:
-        return numbered
+        return with_position(df, order_by, by=split)
+    wanted = {s: n for s, n in caps.items() if n}
+    uncapped = F.col(split).isNull() | ~F.col(split).isin(list(caps))
     limit = F.coalesce(*[F.when(F.col(split) == s, F.lit(n)) for s, n in caps.items()])
-    return numbered.where(limit.isNull() | (F.col("pos") < limit))
+    if max(caps.values()) > TOP:
+        rows = df.where(uncapped | F.col(split).isin(list(wanted)))
+        numbered = with_position(upto_bounds(rows, order_by, wanted, split), order_by, by=split)
+        return numbered.where(limit.isNull() | (F.col("pos") < limit))
+    rank = F.row_number().over(Window.partitionBy(split).orderBy(*_columns(order_by)))
+    first = df.where(F.col(split).isin(list(wanted))).withColumn("pos", rank)
+    # Each task cuts its rows of a split to the largest cap before any row is moved.
+    first = first.where(F.col("pos") <= max(caps.values())).withColumn("pos", F.col("pos").cast("bigint") - 1)
+    capped = first.where(F.col("pos") < limit)
+    others = df.where(uncapped)
+    if others.isEmpty():
+        return capped
+    return capped.unionByName(with_position(others, order_by, by=split))
 
 
 def repeat_epochs(df: DataFrame, n: int) -> DataFrame:
@@ -154,6 +165,36 @@ def shuffle_seeded(df: DataFrame, seed: int, key: str, epoch: str | None = None)
     return with_position(mixed, ["__mix", key], by=groups).drop("__mix")
 
 
+def shuffle_buffered(
+    df: DataFrame, seed: int, key: str, size: int, rows: int,
+    pos: str = "pos", epoch: str | None = None, epochs: int = 1,
+) -> DataFrame:
+    """Permutation that moves no row by ``size`` places or more: new place in ``shuffled``.
+
+    ``pos`` are dense positions ``0 .. rows - 1``, within each of ``epochs`` if ``epoch`` names
+    their column; epochs follow
+    one another without a border, so rows near it mix as in a buffer that is filled on. A row's
+    sort key is its place plus a draw below ``size`` from seed, epoch and row key. Rows of one
+    block of sort keys come from the block of places of the same number and the one before it, so
+    a block's rows know their places by themselves: all earlier places are taken but those of rows
+    that moved in. One exchange by block, at most twice ``size`` rows in a window, no sort of the
+    table, no join.
+    """
+    if size < 1:
+        raise ValueError("the buffer must hold at least one row")
+    at = F.col(pos).cast("bigint")
+    if epoch is not None:
+        at = at + F.col(epoch).cast("bigint") * F.lit(rows)
+    drawn = F.conv(F.substring(shuffle_key(seed, epoch or F.lit(0), key), 1, 12), 16, 10)
+    placed = df.withColumn("__at", at).withColumn("__to", at + F.pmod(drawn.cast("bigint"), F.lit(size)))
+    blocks = placed.withColumn("__block", _div("__to", size))
+    window = Window.partitionBy("__block")
+    moved_in = F.sum(F.when(_div("__at", size) < F.col("__block"), 1).otherwise(0)).over(window)
+    before = F.least(F.col("__block") * size, F.lit(rows * (epochs if epoch else 1)).cast("bigint")) - moved_in
+    rank = F.row_number().over(window.orderBy("__to", "__at")) - 1
+    return blocks.withColumn("shuffled", before + rank).drop("__at", "__to", "__block")
+
+
 def preshuffle(
     df: DataFrame, seed: int, key: str, size: int = fixed.CHUNK_SIZE
 ) -> DataFrame:

@@ -9,9 +9,11 @@ number is bounded by ``spark.sql.shuffle.partitions`` and not by the data.
 from __future__ import annotations
 
 import bisect
-from collections.abc import Sequence
+import contextlib
+import math
+from collections.abc import Iterator, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from pixelweave.workspace import materialize
 
@@ -21,8 +23,13 @@ Order = str | Column | Sequence["str | Column"]
 _ROW_BITS = 33
 _SLOT = "__slot"
 
-# Keys of the sample that bounds a limit.
-_SAMPLE = 10_000
+# Growth of the ranks that a sketch of keys keeps, and task sketches merged at a time.
+_GROWTH = 1.1
+_MERGED = 256
+# First rows, of a group at most, that each task may send to one task.
+TOP = 1_000
+# Rows behind a bound that one task may sort; beyond it they are sorted by all tasks.
+_ONE_TASK = 100_000
 
 
 def _columns(spec: Order) -> list:
@@ -117,45 +124,110 @@ def with_position(
 def first_rows(df: DataFrame, order_by: Order, n: int) -> DataFrame:
     """First ``n`` rows, however many.
 
-    Only rows up to a bound are sorted and written, which ``upto_bound`` makes a little more
-    than ``n``, so the work behind the scan follows ``n`` and not the table.
+    For small ``n`` every task sends its first ``n`` rows and one task streams through them,
+    keeping ``n``. Beyond it only rows up to a bound go on, which one scan makes a little more
+    than ``n`` (``bounds``), so the work behind the scans follows ``n`` and not the table. With
+    keys that are no plain columns (such as descending ones) every row is sorted.
     """
     keys = _columns(order_by)
-    table = _sorted_table(upto_bound(df, keys, n), keys)
+    if n <= TOP:
+        return df.orderBy(*keys).limit(n)
+    near = upto_bounds(df, keys, {None: n})
+    if n <= _ONE_TASK and near is not df:
+        return near.orderBy(*keys).limit(n)
+    table = _sorted_table(near, keys)
     starts = _partition_starts(table, F.count("*"))
     last = max(bisect.bisect_left(starts, n) - 1, 0)
     end = (last << _ROW_BITS) + n - starts[last]
     return table.where(F.col(_SLOT) < end).drop(_SLOT)
 
 
-def upto_bound(df: DataFrame, order_by: Order, n: int, where: Column | None = None) -> DataFrame:
-    """Rows up to a key that at least the first ``n`` rows do not exceed.
+def _thinned(rows: DataFrame, by: list, keys: list) -> DataFrame:
+    """Those of the rows with a growing ``__rank`` before which it passes a power of the growth,
+    and each group's last one; ``__w`` is the number of rows since the one kept before."""
+    order = Window.partitionBy(*by).orderBy("__rank")
+    step = F.floor(F.log("__rank") / math.log(_GROWTH))
+    following = F.floor(F.log(F.lead("__rank").over(order)) / math.log(_GROWTH))
+    kept = rows.withColumn("__kept", ~step.eqNullSafe(following)).where("__kept")
+    since = F.col("__rank") - F.coalesce(F.lag("__rank").over(order), F.lit(0))
+    return kept.withColumn("__w", since).select(*by, *keys, "__w")
 
-    The key comes from a hashed sample of at most about ``_SAMPLE`` keys and is checked by a
-    count; a key that turns out too small is replaced by a larger one, and the last resort is
-    the whole table. With ``where``, the bound is for the rows of that condition and other
-    rows stay. Ascending keys only: any other order gives the table back.
+
+def bounds(df: DataFrame, keys: Sequence[str], wanted: Mapping, group: str | None = None) -> dict:
+    """For every group in ``wanted`` a key that at least its first ``wanted[group]`` rows do not
+    exceed, or ``None`` where the group has no more rows; one scan for all groups.
+
+    Every task ranks the first rows of each group it reads and keeps the keys at ranks that grow
+    by a tenth, with the number of rows each stands for. Such lists merge: those of 256 tasks
+    are put in order, summed up and thinned again, so the last step meets a few hundred keys of
+    a group for every 256 tasks. A kept key vouches for rows at or below it, hence the smallest
+    key whose sum reaches ``wanted`` is a true bound; rows beyond those wanted are about a fifth.
     """
+    most = max(wanted.values())
+    name = F.lit(None).cast("string") if group is None else F.col(group)
+    rows = df.select(F.spark_partition_id().alias("__part"), name.alias("__group"), *keys)
+    if group is not None:
+        rows = rows.where(F.col("__group").isin(list(wanted)))
+    by = ["__part", "__group"]
+    order = Window.partitionBy(*by).orderBy(*keys)
+    # Spark cuts each task's rows of a group to the first ones before it moves any.
+    first = rows.withColumn("__rank", F.row_number().over(order)).where(F.col("__rank") <= most)
+    sketch = _thinned(first, by, keys)
+
+    def summed(*groups: str) -> Column:
+        upto = Window.partitionBy(*groups).orderBy(*keys, "__w")
+        return F.sum("__w").over(upto.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+
+    merged = sketch.withColumn("__part", F.expr(f"__part div {_MERGED}"))
+    sketch = _thinned(merged.withColumn("__rank", summed(*by)), by, keys)
+    need = F.coalesce(*[
+        F.when(F.col("__group").eqNullSafe(F.lit(g)), F.lit(n)) for g, n in wanted.items()
+    ])
+    reached = sketch.withColumn("__rank", summed("__group")).where(F.col("__rank") >= need)
+    found = reached.groupBy("__group").agg(F.min(F.struct(*keys)).alias("bound"))
+    with _limits_ahead_of_windows(df.sparkSession, most):
+        # One row per group in ``wanted``.
+        held = {row["__group"]: row["bound"] for row in found.collect()}
+    return {g: held.get(g) for g in wanted}
+
+
+@contextlib.contextmanager
+def _limits_ahead_of_windows(spark: SparkSession, n: int) -> Iterator[None]:
+    """Let Spark cut groups to ``n`` ranks inside each task, as it does for small ``n``."""
+    setting = "spark.sql.optimizer.windowGroupLimitThreshold"
+    before = spark.conf.get(setting)
+    if int(before) >= 0:
+        spark.conf.set(setting, str(max(int(before), n + 1)))
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
+def upto_bounds(df: DataFrame, order_by: Order, wanted: Mapping, group: str | None = None) -> DataFrame:
+    """Rows that may be among the first ``wanted[group]`` of their group, by one scan's bounds;
+    rows of groups that are not in ``wanted`` stay. Ascending keys only: any other order gives
+    the table back."""
     keys = _columns(order_by)
-    if not all(isinstance(k, str) for k in keys):
+    if not wanted or not all(isinstance(k, str) for k in keys):
+        return df
+    held = {g: b for g, b in bounds(df, keys, wanted, group).items() if b is not None}
+    if not held:
         return df
-    own = df if where is None else df.where(where)
-    key = F.struct(*keys)
-    total = own.count()
-    every = max(1, total // _SAMPLE)
-    sample = own.where(F.pmod(F.xxhash64(*keys), F.lit(every)) == 0).select(*keys)
-    place = int(1.1 * n / every) + 20
-    while place < min(total // every, 2 * _SAMPLE):
-        bound = sample.orderBy(*keys).limit(place).collect()
-        if len(bound) < place:
-            break
-        types = [df.schema[k].dataType for k in keys]
-        limit = F.struct(*[F.lit(v).cast(t).alias(k) for k, v, t in zip(keys, bound[-1], types)])
-        within = key <= limit
-        if own.where(within).count() >= min(n, total):
-            return df.where(within if where is None else within | ~where | where.isNull())
-        place *= 2
-    return df
+    types = [df.schema[k].dataType for k in keys]
+    condition = F.lit(False)
+    for name, bound in held.items():
+        limit = F.struct(*[F.lit(v).cast(t).alias(k) for k, v, t in zip(keys, bound, types)])
+        within = F.struct(*keys) <= limit
+        if bound[0] is not None:
+            # Alone in a form that reaches the scan, where it skips row groups.
+            ahead = F.col(keys[0]) <= F.lit(bound[0]).cast(types[0])
+            within = (F.col(keys[0]).isNull() | ahead) & within
+        own = F.lit(True) if group is None else F.col(group) == name
+        condition = condition | (own & within)
+    if group is not None:
+        condition = condition | F.col(group).isNull() | ~F.col(group).isin(list(held))
+    return df.where(condition)
 
 
 def running_total(df: DataFrame, order_by: Order, value: str, name: str) -> DataFrame:

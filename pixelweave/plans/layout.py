@@ -31,6 +31,7 @@ from pixelweave.workspace import fresh_path
 
 _SEED = 17
 _EPOCHS = 2
+_BUFFER = 1000
 _RUN_INFO = T.StructType([*schemas.BATCH_INFO.fields, T.StructField("num_classes", T.LongType())])
 
 
@@ -212,6 +213,33 @@ def realign_check(spark, sf_dir):
     return report.select("chunk_id", *[F.col(c).cast("bigint").alias(c) for c in counts])
 
 
+_SQL_MIXED = f"""
+  SELECT CASE WHEN chunk_id % 5 = 1 AND pos % 50 = 7 THEN pos + 1
+              WHEN chunk_id % 5 = 1 AND pos % 50 = 8 THEN pos - 1 ELSE pos END AS pos, chunk_id, event_id
+  FROM ({SQL_CHUNKS}) WHERE NOT (chunk_id % 5 = 2 AND pos % 50 = 0)
+  UNION ALL SELECT pos, chunk_id, event_id FROM ({SQL_CHUNKS}) WHERE chunk_id % 5 = 3 AND pos % 50 = 0
+"""
+
+
+@query(f"""
+SELECT CAST(chunk_id AS BIGINT) AS chunk_id, n_images, coalesce(n_labels, 0) AS n_labels,
+       coalesce(held = other, false) AS aligned
+FROM (SELECT chunk_id, count(*) AS n_images, list((pos, event_id) ORDER BY pos, event_id) AS held
+      FROM ({SQL_CHUNKS}) GROUP BY 1)
+LEFT JOIN (SELECT chunk_id, count(*) AS n_labels, list((pos, event_id) ORDER BY pos, event_id) AS other
+           FROM ({_SQL_MIXED}) GROUP BY 1) USING (chunk_id)
+""")
+def chunk_alignment(spark, sf_dir):
+    # Of every five chunks one has two keys swapped, one lacks a row, and one repeats a row.
+    rows = chunks(spark, sf_dir).select("chunk_id", "pos", "event_id")
+    place, kind = F.col("pos") % 50, F.col("chunk_id") % 5
+    swapped = F.when((kind == 1) & (place == 7), F.col("pos") + 1)
+    swapped = swapped.when((kind == 1) & (place == 8), F.col("pos") - 1).otherwise(F.col("pos"))
+    other = rows.where(~((kind == 2) & (place == 0))).withColumn("pos", swapped)
+    other = other.unionByName(rows.where((kind == 3) & (place == 0)))
+    return joins.alignment_report(rows, other, "event_id")
+
+
 @query(f"""
 SELECT event_id, label, CAST(chunk_id AS BIGINT) AS chunk_id, CAST(pos AS BIGINT) AS pos
 FROM ({SQL_CHUNKS}) WHERE label <> 'signup'
@@ -277,6 +305,23 @@ def preshuffle(spark, sf_dir):
     return layout.preshuffle(table(spark, sf_dir, "embeddings").select("vec_id", "label"), _SEED, "vec_id")
 
 
+@query(f"""
+SELECT vec_id, epoch, pos, CAST(row_number() OVER (ORDER BY place + draw % {_BUFFER}, place) - 1 AS BIGINT) AS shuffled
+FROM (
+  SELECT vec_id, CAST(epoch AS INTEGER) AS epoch, CAST(pos AS BIGINT) AS pos,
+         pos + epoch * (SELECT count(*) FROM embeddings) AS place,
+         ('0x' || substr(md5('{_SEED}-' || epoch || '-' || vec_id), 1, 12))::BIGINT AS draw
+  FROM (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS pos FROM embeddings), range({_EPOCHS}) AS e(epoch)
+)
+""")
+def buffered_shuffle(spark, sf_dir):
+    placed = with_position(table(spark, sf_dir, "embeddings").select("vec_id"), "vec_id")
+    n = placed.count()
+    rows = layout.repeat_epochs(placed, _EPOCHS)
+    mixed = layout.shuffle_buffered(rows, _SEED, "vec_id", _BUFFER, n, epoch="epoch", epochs=_EPOCHS)
+    return mixed.select("vec_id", "epoch", "pos", "shuffled")
+
+
 @query("""
 SELECT CAST(pos // 32 AS BIGINT) AS step, count(*) AS n, min(vec_id) AS first_id, max(vec_id) AS last_id
 FROM (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS pos FROM embeddings) GROUP BY 1

@@ -9,8 +9,10 @@ from pixelweave.operators import aggregates as A, joins, layout, sets
 from pixelweave.operators.numbering import (
     _sort_partition,
     _sorted_table,
+    bounds,
     first_rows,
     running_total,
+    upto_bounds,
     with_position,
 )
 from pixelweave.sources import chunks as scans
@@ -256,6 +258,70 @@ def test_shuffle_is_a_reproducible_permutation(any_plan, spark):
     assert any(first[0, i] != first[1, i] for i in range(300))
 
 
+@pytest.mark.parametrize("n,epochs,size", [(300, 1, 1), (300, 2, 40), (299, 3, 100), (50, 2, 1000), (0, 2, 5)])
+def test_a_buffered_shuffle_moves_no_row_further_than_the_buffer(any_plan, spark, n, epochs, size):
+    rows = layout.repeat_epochs(spark.range(n).withColumn("pos", F.col("id")), epochs).repartition(4)
+    mixed = layout.shuffle_buffered(rows, 3, "id", size, n, epoch="epoch", epochs=epochs)
+    moved = [(r["epoch"] * n + r["pos"], r["shuffled"]) for r in mixed.collect()]
+    assert sorted(to for _, to in moved) == list(range(n * epochs))
+    assert all(abs(to - at) < size for at, to in moved)
+    if size > 1 and epochs > 1 and n:
+        assert any((at < n) != (to < n) for at, to in moved)
+        assert sum(at != to for at, to in moved) > n / 2
+
+
+def test_a_buffered_shuffle_needs_one_exchange_and_no_join(spark):
+    rows = spark.range(1000).withColumn("pos", F.col("id"))
+    plan = layout.shuffle_buffered(rows, 3, "id", 50, 1000)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1 and "Join" not in plan and "rangepartitioning" not in plan
+
+
+def test_checksums_find_swaps_losses_and_repeats(any_plan, spark):
+    rows = [(p // 10, p, f"k{p}") for p in range(60)]
+    other = [(c, p + 1 if p == 13 else p - 1 if p == 14 else p, k) for c, p, k in rows if p != 25]
+    other = [(c, p, "k36" if p == 35 else k) for c, p, k in other] + [(4, 41, "k41"), (9, 90, "k90")]
+    schema = "chunk_id int, pos int, key string"
+    report = joins.alignment_report(table(spark, rows, schema), table(spark, other, schema), "key").collect()
+    assert {r["chunk_id"]: (r["n_images"], r["n_labels"], r["aligned"]) for r in report} == {
+        0: (10, 10, True), 1: (10, 10, False), 2: (10, 9, False), 3: (10, 10, False),
+        4: (10, 11, False), 5: (10, 10, True), 9: (0, 1, False),
+    }
+
+
+def test_checksums_exchange_rows_of_chunks_only(spark):
+    rows = spark.range(1000).select((F.col("id") / 50).cast("int").alias("chunk_id"), F.col("id").alias("pos"), "id")
+    plan = joins.chunk_checksums(rows, "id")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1 and "partial_count" in plan
+
+
+@pytest.mark.parametrize("caps", [{"train": 1500, "test": 3}, {"train": 700, "test": 1}, {"train": 0, "test": 1400}])
+def test_caps_equal_sorting_each_split(any_plan, spark, caps):
+    draw = random.Random(2)
+    rows = [(draw.choice(["train", "train", "test", "other", None]), draw.choice(["a", None, "b"]), i) for i in range(4000)]
+    df = table(spark, rows, "split string, k string, i int").repartition(7)
+    got = layout.cap_per_split(df, caps, ["k", "i"]).collect()
+    want = []
+    for split in ("train", "test", "other", None):
+        own = sorted((k or "", i) for s, k, i in rows if s == split)
+        want += [(str(split), k, i, p) for p, (k, i) in enumerate(own[: caps.get(split, 4000)])]
+    assert sorted((str(r["split"]), r["k"] or "", r["i"], r["pos"]) for r in got) == sorted(want)
+
+
+def test_one_scan_bounds_many_caps(any_plan, spark):
+    df = spark.range(60_000, numPartitions=40).select((F.col("id") % 3).alias("split"), F.xxhash64("id").alias("k"))
+    wanted = {0: 50, 1: 5000, 2: 30_000}
+    held = bounds(df, ["k"], wanted, "split")
+    within = {g: df.where((F.col("split") == g) & (F.col("k") <= b["k"])).count() for g, b in held.items() if b}
+    assert 50 <= within[0] <= 75 and 5000 <= within[1] <= 6500 and held[2] is None
+
+
+def test_the_bound_of_a_limit_reaches_the_scan(spark, tmp_path):
+    spark.range(50_000).select(F.xxhash64("id").alias("k")).write.parquet(str(tmp_path / "t"))
+    near = upto_bounds(spark.read.parquet(str(tmp_path / "t")), "k", {None: 5000})
+    plan = near._jdf.queryExecution().executedPlan().toString()
+    assert "LessThanOrEqual(k" in plan
+
+
 def test_minibatch_keeps_the_short_last_step(spark):
     steps = layout.minibatch(with_position(spark.range(70), "id")).groupBy("step").count().collect()
     assert {r["step"]: r["count"] for r in steps} == {0: 32, 1: 32, 2: 6}
