@@ -11,8 +11,9 @@ combinations is bounded by 3 to the number of rules and not by the corpus. The f
 is a few numbers per rule, applied in the scan of the documents.
 
 Defined cases: a null text has no words; an empty text has counts of zero and fails the
-base check; repeated rows vote once each; an empty table gives an empty result; a null id
-is kept as null; extra columns are ignored.
+base check; a very long text is one string and its words in one task; repeated rows vote once
+each; a posterior of exactly the least one is kept; an empty table gives an empty result; a
+null id is kept as null; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -139,9 +140,10 @@ RULES = (
 # document, on one of its own kind of bad ones and on one of another kind; and the weight
 # of that start in documents.
 _SHARE, _ON_GOOD, _ON_OWN, _ON_OTHER, _PSEUDO = 0.85, 0.001, 0.5, 0.02, 10.0
-# A rule errs on at most this share of the good documents; otherwise documents that break one
-# rule only could end up as good ones on which that rule is often wrong.
-_MOST_ON_GOOD = 0.002
+# Weight of the start for good documents, as a share of the corpus: a Beta prior of the rules'
+# errors there. It grows with the corpus, as a document that breaks one rule only looks the same
+# whether it is bad or the rule errs, however many documents there are.
+PRIOR = 0.5
 
 
 @dataclass(frozen=True)
@@ -155,20 +157,23 @@ class Model:
 
 
 def estimate(votes: np.ndarray, counts: np.ndarray, rules: tuple[Rule, ...] = RULES,
-             rounds: int = 200) -> Model:
+             prior: float = PRIOR, rounds: int = 500) -> Model:
     """Expectation-maximisation over distinct vote vectors and their document counts.
 
     The classes are the good documents and one class for each kind of bad ones, as a
     document that shouts and one that repeats itself have little in common. It starts from
     what a filter is written for: good documents hardly ever break it, and a bad document
     breaks some of the rules of its kind. Pseudo-counts of that start keep every
-    probability inside (0, 1), so few or no rows give a defined model.
+    probability inside (0, 1), so few or no rows give a defined model. On good documents they
+    weigh ``prior`` of the corpus: the larger, the more it takes to learn that a rule misfires.
     """
     kinds = list(dict.fromkeys(rule.kind for rule in rules))
     start = np.array([[_ON_GOOD] * len(rules)] + [
         [_ON_OWN if rule.kind == kind else _ON_OTHER for rule in rules] for kind in kinds
     ])
     start_shares = np.array([_SHARE] + [(1 - _SHARE) / len(kinds)] * len(kinds))
+    weights = np.full((len(start), 1), _PSEUDO)
+    weights[0] += prior * counts.sum()
     model = Model(start_shares, start)
     is_good, is_bad = votes == 2, votes == 1
     voted = is_good | is_bad
@@ -181,8 +186,7 @@ def estimate(votes: np.ndarray, counts: np.ndarray, rules: tuple[Rule, ...] = RU
         score = np.exp(score - score.max(axis=1, keepdims=True, initial=-np.inf))
         weight = counts[:, None] * score / score.sum(axis=1, keepdims=True)
         shares = (weight.sum(axis=0) + _PSEUDO * start_shares) / (counts.sum() + _PSEUDO)
-        says_bad = (weight.T @ is_bad + _PSEUDO * start) / (weight.T @ voted + _PSEUDO)
-        says_bad[0] = np.minimum(says_bad[0], _MOST_ON_GOOD)
+        says_bad = (weight.T @ is_bad + weights * start) / (weight.T @ voted + weights)
         moved = np.abs(says_bad - model.says_bad).max()
         model = Model(shares, says_bad)
         if moved < 1e-9:
@@ -205,7 +209,8 @@ def posterior(model: Model, votes: np.ndarray) -> np.ndarray:
     return weight[:, 0] / weight.sum(axis=1)
 
 
-def fit(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> Model:
+def fit(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES,
+        prior: float = PRIOR) -> Model:
     """Accuracies from the votes on every document."""
 
     @arrow_udf(LongType())
@@ -218,7 +223,7 @@ def fit(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) ->
     table = docs.select(ballot(F.col(text)).alias("ballot")).groupBy("ballot").count()
     rows = np.array(sorted(map(tuple, table.collect())), np.int64).reshape(-1, 2)
     votes = rows[:, :1] // 3 ** np.arange(len(rules)) % 3
-    return estimate(votes, rows[:, 1], rules)
+    return estimate(votes, rows[:, 1], rules, prior)
 
 
 def judged(model: Model, text: Column, rules: tuple[Rule, ...] = RULES) -> Column:
@@ -243,11 +248,11 @@ def base_failed(f: Column) -> Column:
 
 
 def judge(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES,
-          least: float = 0.5) -> DataFrame:
+          least: float = 0.5, prior: float = PRIOR) -> DataFrame:
     """``docs`` with columns ``f`` (counts), ``quality`` (posterior), ``base_failed`` and
     ``kept`` (posterior at least ``least`` and base check passed); columns of these names
     are replaced."""
-    model = fit(docs, text, rules)
+    model = fit(docs, text, rules, prior)
     return (
         docs.withColumn("f", judged(model, F.col(text), rules))
         .withColumn("quality", F.col("f")["quality"])

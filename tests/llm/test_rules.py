@@ -57,6 +57,27 @@ def test_estimation_finds_planted_accuracies():
     assert (good == (bad_kind == "")).mean() > 0.96
 
 
+@pytest.mark.parametrize("errs,prior", [(0.02, rules.PRIOR), (0.05, rules.PRIOR), (0.15, 0.0), (0.3, 0.0)])
+def test_a_rule_that_misfires_on_good_documents_is_learned(errs, prior):
+    rng = np.random.default_rng(3)
+    n, kinds = 20_000, ["form", "noise", "repetition"]
+    bad_kind = rng.choice(["", *kinds], n, p=[0.85, 0.05, 0.05, 0.05])
+    says_bad = np.stack([
+        rng.random(n) < np.where(bad_kind == "", 0.001, np.where(bad_kind == rule.kind, 0.5, 0.02))
+        for rule in rules.RULES
+    ], axis=1)
+    good = bad_kind == ""
+    wrong = [rule.name for rule in rules.RULES].index("lines end as sentences")
+    says_bad[good, wrong] = rng.random(good.sum()) < errs
+    votes = np.where(says_bad, 1, 2)
+    patterns, counts = np.unique(votes, axis=0, return_counts=True)
+    model = rules.estimate(patterns, counts, prior=prior)
+    others = np.delete(model.says_bad[0], wrong)
+    assert model.says_bad[0, wrong] > errs / 2 and others.max() < errs / 4
+    kept = rules.posterior(model, votes) >= 0.5
+    assert kept[good].mean() > 0.98 and kept[~good].mean() < 0.12
+
+
 @pytest.mark.parametrize("n", [0, 1])
 def test_few_rows_give_a_defined_model(n):
     model = rules.estimate(np.full((n, len(rules.RULES)), 2), np.full(n, 3))
