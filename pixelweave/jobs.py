@@ -287,7 +287,7 @@ def train_minibatches(
         learned = minibatch.minibatches(rows, ["pos"], size, weight="weight" if balanced else None)
         held = None
         if processed:
-            wanted = chunks.read_chunk_prefix(read_processed(spark, processed), split)
+            wanted = chunks.read_stored_prefix(spark, processed, split)
             encoded = keep_classes(drop_bad_payload(wanted, *shape), classes)
             held = minibatch.minibatches(encoded.withColumn("label_idx", L.label_index("label", classes)), ["pos"], size)
         chosen = tuple(candidates) or (minibatch.Candidate(config["learning_rate"]),)
@@ -309,7 +309,7 @@ def evaluate_minibatches(
     """Loss and accuracy of the best epoch of the best candidate of a state table; one row."""
     state = minibatch.load_state(spark, state_table)
     known = stored_classes(spark, training_root)
-    rows = keep_classes(chunks.read_chunk_prefix(read_processed(spark, processed), split), known)
+    rows = keep_classes(chunks.read_stored_prefix(spark, processed, split), known)
     encoded = drop_bad_payload(rows, *shape).withColumn("label_idx", L.label_index("label", known))
     with _expecting(spark, shape):
         answers = minibatch.probabilities(state.best[state.winner()], math.prod(shape))
@@ -335,7 +335,7 @@ def evaluate(
     known = stored_classes(spark, training_root)
     if classes is not None and list(L.label_lookup(classes)) != known:
         raise ValueError(f"the model was trained with classes {known}")
-    rows = keep_classes(chunks.read_chunk_prefix(read_processed(spark, processed), split), known)
+    rows = keep_classes(chunks.read_stored_prefix(spark, processed, split), known)
     encoded = rows.withColumn("label_idx", L.label_index("label", known))
     with _expecting(spark, shape):
         result = scoring.evaluate(_model_rows(encoded, shape), training.load_model(model_path))

@@ -118,6 +118,27 @@ def chunk_prefix_scan(spark, sf_dir):
     return A.block_size(scans.read_chunk_prefix(gappy_chunks(spark, sf_dir)))
 
 
+@query(f"""
+WITH held AS (SELECT *, {SQL_SPLIT} AS split FROM ({SQL_GAPPY})),
+gap AS (SELECT min(chunk_id) AS first_gap FROM range(10000000) AS r(chunk_id)
+        WHERE chunk_id NOT IN (SELECT chunk_id FROM held WHERE split = 'train')
+          AND chunk_id <= (SELECT max(chunk_id) + 1 FROM held))
+SELECT 'range' AS scan, CAST(chunk_id AS BIGINT) AS chunk_id, count(*) AS n FROM held
+WHERE split = 'train' AND chunk_id >= 3 AND chunk_id < 40 GROUP BY 2
+UNION ALL
+SELECT 'prefix', CAST(chunk_id AS BIGINT), count(*) FROM held, gap
+WHERE split = 'train' AND chunk_id < first_gap GROUP BY 2
+""")
+def chunk_zone_scan(spark, sf_dir):
+    rows = gappy_chunks(spark, sf_dir).withColumn("split", split_of("event_id"))
+    path = fresh_path(spark, "chunks")
+    tables.write_chunks(rows.repartitionByRange("chunk_id").sortWithinPartitions("chunk_id"), path)
+    ranged = A.block_size(scans.read_stored_chunks(spark, path, 3, 40, "train"))
+    prefix = A.block_size(scans.read_stored_prefix(spark, path, "train"))
+    both = ranged.withColumn("scan", F.lit("range")).unionByName(prefix.withColumn("scan", F.lit("prefix")))
+    return both.select("scan", "chunk_id", "n")
+
+
 @query(f"""
 SELECT CAST(batch_id AS BIGINT) AS batch_id, count(*) AS n_loaded,
        count(*) FILTER (label IN ({SQL_LIST})) AS n_kept,

@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, types as T
@@ -78,17 +78,32 @@ def latest(spark: SparkSession, root: str) -> Snapshot | None:
     return None
 
 
-def read(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
-    """Rows of the newest or of a given version."""
+def find(spark: SparkSession, root: str, version: int | None = None) -> Snapshot:
+    """The newest or a given version; an error where no table is."""
     found = latest(spark, root) if version is None else _load(spark, root, version)
     if found is None:
         raise FileNotFoundError(f"no table in {root}")
-    if not found.folders:
+    return found
+
+
+def read(
+    spark: SparkSession, root: str, version: int | None = None, files: Sequence[str] | None = None
+) -> DataFrame:
+    """Rows of the newest or of a given version; with ``files``, of these files of its one folder."""
+    found = find(spark, root, version)
+    if not found.folders or files is not None and not files:
         return spark.createDataFrame([], found.schema)
     # The folders are partitions of one scan, however many there are.
     scan = spark.read.schema(found.schema).option("basePath", f"{root}/{_DATA}")
-    rows = scan.parquet(*[f"{root}/{_DATA}/{f}" for f in found.folders])
-    return rows.select(*found.schema.fieldNames())
+    paths = [data_path(root, f) for f in found.folders]
+    if files is not None:
+        paths = [f"{paths[0]}/{f}" for f in files]
+    return scan.parquet(*paths).select(*found.schema.fieldNames())
+
+
+def data_path(root: str, folder: str) -> str:
+    """Where the rows of one of a version's folders lie."""
+    return f"{root}/{_DATA}/{folder}"
 
 
 def _commit(spark: SparkSession, root: str, after: int, folders: Sequence[str], schema: T.StructType,
@@ -111,15 +126,17 @@ def _save(df: DataFrame, root: str, by: Sequence[str], options: Mapping[str, str
 
 
 def replace(df: DataFrame, root: str, by: Sequence[str] = (), notes: Mapping | None = None,
-            keep: int = 2, **options: str) -> int:
+            keep: int = 2, describe: Callable[[str], Mapping] | None = None, **options: str) -> int:
     """Make the rows of ``df`` the table; its version. ``df`` may read the table itself.
 
-    Of earlier versions, ``keep - 1`` stay for readers that opened them.
+    Of earlier versions, ``keep - 1`` stay for readers that opened them. ``describe`` is given
+    the folder of the written rows before they become valid and returns further notes.
     """
     spark = df.sparkSession
     before = (_numbers(spark, root) or [0])[-1]
     folder = _save(df, root, by, options)
-    version = _commit(spark, root, before, [folder], df.schema, notes or {})
+    described = describe(data_path(root, folder)) if describe else {}
+    version = _commit(spark, root, before, [folder], df.schema, {**(notes or {}), **described})
     drop_old(spark, root, keep)
     return version
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pixelweave import fixed
 from pixelweave.functions import labels as L
 from pixelweave.operators.filters import keep_classes
-from pixelweave.sinks import snapshots
+from pixelweave.sinks import snapshots, zones
 
 
 def read_table(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
@@ -28,8 +28,9 @@ def write_raw(df: DataFrame, root: str) -> None:
 
 
 def write_chunks(df: DataFrame, path: str) -> None:
-    """Processed samples with their ``chunk_id``, by split."""
-    snapshots.replace(df, path, ["split"])
+    """Processed samples with their ``chunk_id``, by split, and the zone map of their files."""
+    spark = df.sparkSession
+    snapshots.replace(df, path, ["split"], describe=lambda folder: zones.build(spark, folder, df.schema))
 
 
 def write_batches(

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pixelweave.sinks import snapshots, tables
+from pixelweave.sources import chunks
 
 
 def ids(df):
@@ -117,3 +118,59 @@ def test_an_interrupted_landing_is_repeated(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(snapshots, "_commit", commit)
     assert build.land(spark.range(5, 8), 1, root, "id")
     assert sorted((r["id"], r["pos"]) for r in snapshots.read(spark, root).collect()) == [(i, i) for i in range(8)]
+
+
+def chunked(spark, tmp_path, files=12, missing=(7, 30)):
+    rows = spark.range(2000).select(
+        F.expr("CAST(id DIV 40 AS INT)").alias("chunk_id"), F.col("id").alias("pos"),
+        F.when(F.col("id") % 4 == 0, "test").otherwise("train").alias("split"),
+    ).where(~F.col("chunk_id").isin(list(missing)))
+    path = str(tmp_path / "with blank")
+    tables.write_chunks(rows.repartitionByRange(files, "chunk_id").sortWithinPartitions("chunk_id"), path)
+    return path, rows
+
+
+@pytest.mark.parametrize("start,end", [(0, 3), (5, 9), (7, 8), (20, 31), (49, 60), (80, 90), (0, 100)])
+def test_a_scan_of_chunks_opens_only_their_files(spark, tmp_path, start, end):
+    path, rows = chunked(spark, tmp_path)
+    got = chunks.read_stored_chunks(spark, path, start, end, "train")
+    want = rows.where((F.col("split") == "train") & F.col("chunk_id").between(start, end - 1))
+    assert sorted(r["pos"] for r in got.collect()) == sorted(r["pos"] for r in want.collect())
+    assert len(got.inputFiles()) <= min(12, (end - start) // 4 + 2)
+    assert got.columns == rows.columns
+
+
+def test_a_prefix_stops_at_the_first_gap_and_opens_no_later_file(spark, tmp_path):
+    path, _ = chunked(spark, tmp_path)
+    assert chunks.stored_first_gap(spark, path, "test") == 7
+    prefix = chunks.read_stored_prefix(spark, path)
+    assert {r["chunk_id"] for r in prefix.collect()} == set(range(7))
+    assert len(prefix.inputFiles()) <= 6 < len(tables.read_table(spark, path).inputFiles())
+
+
+def test_the_map_follows_the_version(spark, tmp_path):
+    path, rows = chunked(spark, tmp_path)
+    tables.write_chunks(rows.where("chunk_id >= 40"), path)
+    assert chunks.stored_first_gap(spark, path) == 0
+    assert chunks.read_stored_prefix(spark, path).count() == 0
+    assert chunks.read_stored_chunks(spark, path, 40, 42, "train").count() == 60
+    assert chunks.read_stored_chunks(spark, path, 1, 2, version=1).count() == 40
+
+
+def test_tables_without_a_map_are_scanned(spark, tmp_path, monkeypatch):
+    _, rows = chunked(spark, tmp_path)
+    plain = str(tmp_path / "plain")
+    snapshots.replace(rows, plain, ["split"])
+    assert chunks.read_stored_prefix(spark, plain, "train").count() == 7 * 30
+    path = str(tmp_path / "with blank")
+    monkeypatch.setattr(chunks, "MOST_FILES", 1)
+    assert chunks.read_stored_chunks(spark, path, 0, 30, "train").count() == 29 * 30
+
+
+def test_a_repeated_chunk_in_many_files_and_an_empty_table(spark, tmp_path):
+    rows = spark.range(900).select((F.col("id") % 3).alias("chunk_id"), "id", F.lit("train").alias("split"))
+    path = str(tmp_path / "t")
+    tables.write_chunks(rows.repartition(5), path)
+    assert chunks.read_stored_chunks(spark, path, 1, 2).count() == 300
+    tables.write_chunks(rows.limit(0), path)
+    assert chunks.read_stored_prefix(spark, path).count() == 0
