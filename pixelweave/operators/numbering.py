@@ -45,6 +45,17 @@ def _sorted_table(df: DataFrame, keys: list) -> DataFrame:
     return materialize(ranked, "sorted")
 
 
+def with_place(df: DataFrame, name: str = "place") -> DataFrame:
+    """Add the 0-based place of every row in the order the table is in, as a bigint.
+
+    The table is written as it is; after a sort the places show the order that a reader of all
+    partitions in turn would meet.
+    """
+    table = materialize(df.withColumn(_SLOT, F.monotonically_increasing_id()), "placed")
+    within = F.col(_SLOT).bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
+    return table.withColumn(name, _start_of_partition(table, F.count("*")) + within).drop(_SLOT)
+
+
 def _partition_starts(table: DataFrame, amount: Column) -> list[int]:
     """Total of ``amount`` over all earlier sort partitions, for every sort partition."""
     per_partition = table.groupBy(_sort_partition().alias("p")).agg(amount.alias("n"))

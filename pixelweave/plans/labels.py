@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from pixelweave.functions import labels as L
 from pixelweave.operators import aggregates as A, filters, joins, layout, sets
-from pixelweave.operators.numbering import with_position
+from pixelweave.operators.numbering import with_place, with_position
 from pixelweave.plans.bindings import (
     CLASSES,
     INT_CLASSES,
@@ -279,10 +279,12 @@ def limited_zip(spark, sf_dir):
 
 
 @query("""
-SELECT page_id, url AS path FROM pages
+SELECT url AS path, CAST(row_number() OVER (ORDER BY url) - 1 AS BIGINT) AS place FROM pages
 """)
 def ordered_paths(spark, sf_dir):
-    return layout.order_by_path(table(spark, sf_dir, "pages").select("page_id", F.col("url").alias("path")))
+    # Pages share paths, so the place belongs to the path and not to a page.
+    listed = table(spark, sf_dir, "pages").select(F.col("url").alias("path"))
+    return with_place(layout.order_by_path(listed))
 
 
 @query(f"""

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F, types as T
 from pixelweave import schemas
 from pixelweave.functions import labels as L
 from pixelweave.operators import aggregates as A, joins, layout
-from pixelweave.operators.numbering import with_position
+from pixelweave.operators.numbering import with_place, with_position
 from pixelweave.plans.bindings import (
     CLASSES,
     SQL_BATCHES,
@@ -166,17 +166,23 @@ def batch_read(spark, sf_dir):
 
 
 @query(f"""
-SELECT CAST(batch_id AS BIGINT) AS batch_id, count(*) AS n FROM ({SQL_BATCHES}) GROUP BY 1
+SELECT CAST(batch_id AS BIGINT) AS batch_id, count(*) AS n,
+       CAST(row_number() OVER (ORDER BY batch_id) - 1 AS BIGINT) AS place
+FROM ({SQL_BATCHES}) GROUP BY batch_id
 """)
 def ordered_batches(spark, sf_dir):
-    return layout.order_batches(A.batch_sizes(batches(spark, sf_dir)))
+    return with_place(layout.order_batches(A.batch_sizes(batches(spark, sf_dir))))
 
 
 @query(f"""
-SELECT event_id, CAST(chunk_id AS BIGINT) AS chunk_id, CAST(pos AS BIGINT) AS pos FROM ({SQL_CHUNKS})
+SELECT event_id, CAST(chunk_id AS BIGINT) AS chunk_id, CAST(pos AS BIGINT) AS pos,
+       CAST(row_number() OVER (ORDER BY chunk_id, pos) - 1 AS BIGINT) AS place
+FROM ({SQL_CHUNKS})
 """)
 def stable_order(spark, sf_dir):
-    return layout.stable_order(chunks(spark, sf_dir)).select("event_id", "chunk_id", "pos")
+    # Dealt to tasks by a hash first, so that only the sort can bring the rows in order.
+    dealt = chunks(spark, sf_dir).select("event_id", "chunk_id", "pos").repartition("event_id")
+    return with_place(layout.stable_order(dealt))
 
 
 @query(f"""
