@@ -279,12 +279,14 @@ def limited_zip(spark, sf_dir):
 
 
 @query("""
-SELECT url AS path, CAST(row_number() OVER (ORDER BY url) - 1 AS BIGINT) AS place FROM pages
+SELECT page_id, url AS path, CAST(rank() OVER (ORDER BY url) - 1 AS BIGINT) AS place FROM pages
 """)
 def ordered_paths(spark, sf_dir):
-    # Pages share paths, so the place belongs to the path and not to a page.
-    listed = table(spark, sf_dir, "pages").select(F.col("url").alias("path"))
-    return with_place(layout.order_by_path(listed))
+    listed = table(spark, sf_dir, "pages").select("page_id", F.col("url").alias("path"))
+    placed = with_place(layout.order_by_path(listed))
+    # Rows of one path may come in any order, so they share the place of the first.
+    first = placed.groupBy("path").agg(F.min("place").alias("place"))
+    return placed.drop("place").join(first, "path")
 
 
 @query(f"""
