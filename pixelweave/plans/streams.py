@@ -23,7 +23,7 @@ SELECT event_id, label, {SQL_SPLIT} AS split, CAST({SQL_INDEX} AS INTEGER) AS la
 """)
 def stream_build(spark, sf_dir):
     schema = table(spark, sf_dir, "events").schema
-    arriving = build.read_stream(spark, sf_dir, schema, "events.parquet")
+    arriving = build.read_table_stream(spark, sf_dir, "events.parquet", schema)
     sink = fresh_path(spark, "stream-build")
 
     def prepare(rows):
@@ -39,7 +39,7 @@ def stream_build(spark, sf_dir):
 @query(f"SELECT vec_id, class_idx, round(p, 4) AS p FROM ({SQL_SCORES})")
 def stream_scoring(spark, sf_dir):
     schema = table(spark, sf_dir, "embeddings").schema
-    arriving = build.read_stream(spark, sf_dir, schema, "embeddings.parquet")
+    arriving = build.read_table_stream(spark, sf_dir, "embeddings.parquet", schema)
     rows = arriving.select("vec_id", F.col("embedding").alias("features"))
     sink = fresh_path(spark, "stream-score")
     run = build.stream_score(rows, mean_model(spark, sf_dir), sink, fresh_path(spark, "stream-state"))

@@ -27,16 +27,29 @@ def read_stream(
     spark: SparkSession,
     path: str,
     schema: T.StructType,
-    name_glob: str = "*.parquet",
+    name_glob: str | None = "*.parquet",
     files_per_trigger: int | None = None,
 ) -> DataFrame:
     """Parquet files of a folder, as they arrive."""
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", name_glob)
+    reader = spark.readStream.schema(schema)
+    if name_glob:
+        reader = reader.option("pathGlobFilter", name_glob)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     return reader.parquet(path)
 
 
+def read_table_stream(
+    spark: SparkSession, folder: str, name: str, schema: T.StructType, files_per_trigger: int | None = None
+) -> DataFrame:
+    """A Parquet table ``name`` of a folder, be it one file or a folder of files, as its files arrive.
+
+    The name is given as a pattern: a stream takes a plain path for a folder, and a filter on
+    names sees the files inside a table's folder only.
+    """
+    return read_stream(spark, f"{folder}/{{{name}}}", schema, None, files_per_trigger)
+
+
 def read_image_stream(
     spark: SparkSession, path: str, files_per_trigger: int | None = None
 ) -> DataFrame:

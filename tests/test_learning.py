@@ -3,9 +3,12 @@
 import math
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+from pixelweave import plans
 from pixelweave.learning import scoring, training
 from pixelweave.operators import aggregates as A
 from pixelweave.streaming import build
@@ -125,3 +128,30 @@ def test_stream_continues_after_a_restart(spark, tmp_path):
     landed = arrive(30, 60)
     assert sorted(r["id"] for r in landed.collect()) == list(range(0, 60, 3))
     assert {r["label_idx"] for r in landed.collect()} == {1}
+
+
+@pytest.mark.parametrize("parts", [0, 3])
+@pytest.mark.parametrize("name", ["stream_build", "stream_scoring"])
+def test_streams_of_tables_in_files_and_folders(spark, tmp_path, name, parts):
+    """A table is one file, or a folder of files that Spark wrote."""
+    tables = {
+        "events": pa.table({"event_id": range(12), "event_type": ["view", "error", "click"] * 4}),
+        "embeddings": pa.table({
+            "vec_id": range(12), "label": pa.array([0, 1, 2] * 4, pa.int32()),
+            "embedding": pa.array([[float(i == j) for j in range(64)] for i in range(12)], pa.list_(pa.float32())),
+        }),
+    }
+    for table, rows in tables.items():
+        path = tmp_path / f"{table}.parquet"
+        if parts:
+            path.mkdir()
+            (path / "_SUCCESS").touch()
+        for i in range(max(parts, 1)):
+            own = rows.slice(i * 4, 4) if parts else rows
+            pq.write_table(own, path / f"part-{i}.parquet" if parts else path)
+    found = plans.queries()[name](spark, str(tmp_path)).collect()
+    if name == "stream_build":
+        assert sorted(r["event_id"] for r in found) == [i for i in range(12) if i % 3 != 1]
+    else:
+        expected = plans.queries()["batch_scoring"](spark, str(tmp_path)).collect()
+        assert sorted(found) == sorted(expected) and len(found) == 12 * 5
