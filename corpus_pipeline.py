@@ -25,6 +25,8 @@ from pixelweave.workspace import fresh_path, materialize, scope
 # Share of the tokens and seed of the mixing stage.
 LEAST_SURE = 0.2
 SHARE, SEED = (8, 10), 7
+# Words that the packing stage keeps encoded: workers live through all stages and hold them.
+CACHED = 200_000
 
 
 def _packed(docs: DataFrame, *columns) -> DataFrame:
@@ -71,7 +73,7 @@ def mixing_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of 2,048 tokens."""
-    cut = packing.pieces(docs, public_tokenizers.path("word_bpe_49k.json"))
+    cut = packing.pieces(docs, public_tokenizers.path("word_bpe_49k.json"), cached=CACHED)
     return packing.pack(cut)[0]
 
 

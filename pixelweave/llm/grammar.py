@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
 from pixelweave.functions.storage import locate
-from pixelweave.llm.text import Encoder, texts
+from pixelweave.llm.text import Encoder
 from pixelweave.operators.numbering import running_total
 from pixelweave.workspace import fresh_path, materialize
 
@@ -257,7 +257,7 @@ def write(docs: DataFrame, tokenizer: str, folder: str, key: str = "doc_id", tex
             )
 
         for batch in batches:
-            for doc_id, ids in zip(batch.column(0).to_pylist(), encoder.encode(texts(batch.column(1)))):
+            for doc_id, ids in zip(batch.column(0).to_pylist(), encoder.encode_column(batch.column(1))):
                 keys.append(doc_id)
                 held.append(ids + end)
                 size += len(ids) + 4

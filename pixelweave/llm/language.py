@@ -41,7 +41,7 @@ from pyspark.sql.types import (
     ArrayType, DoubleType, IntegerType, StringType, StructField, StructType,
 )
 
-from pixelweave.llm.text import first_of_each, texts
+from pixelweave.llm.text import few_texts, first_of_each
 
 # Families of the ISO 639-1 codes most often met.
 FAMILIES = {
@@ -213,7 +213,7 @@ def learn(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
         seen: set[tuple] = set()
         for batch in batches:
             batch = first_of_each(batch, row, seen)
-            dense = [gram_counts(t) for t in texts(batch.column("text"))]
+            dense = [gram_counts(t) for part in few_texts(batch.column("text")) for t in part]
             places = [np.flatnonzero(d) for d in dense]
             yield pa.RecordBatch.from_arrays([
                 *map(batch.column, row),
@@ -235,7 +235,7 @@ def predicted(model: Model, text: Column) -> Column:
     @arrow_udf(_PREDICTED)
     def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            found = [model.predict(t) for t in batch.to_pylist()]
+            found = [model.predict(t) for part in few_texts(batch) for t in part]
             yield pa.StructArray.from_arrays([
                 pa.array([lang for lang, _ in found], pa.string()),
                 pa.array([score for _, score in found], pa.float64()),

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
-from pixelweave.llm.text import Encoder, texts
+from pixelweave.llm.text import CACHED_WORDS, Encoder
 from pixelweave.workspace import materialize
 
 # Items that one task packs at a time.
@@ -185,16 +185,17 @@ _PIECES = StructType([StructField(n, LongType()) for n in ("doc_id", "piece", "s
 
 
 def pieces(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text",
-           capacity: int = 2048, end_id: int = 0) -> DataFrame:
+           capacity: int = 2048, end_id: int = 0, cached: int = CACHED_WORDS) -> DataFrame:
     """Pieces of at most ``capacity`` ids of every document, ``end_id`` appended: doc_id,
-    piece, start, length and the CRC-32 of its ids. A null text has the end id only."""
+    piece, start, length and the CRC-32 of its ids. A null text has the end id only. A worker
+    keeps ``cached`` words encoded."""
     end = end_id.to_bytes(4, "little")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer)
+        encoder = Encoder(tokenizer, cached)
         for batch in batches:
             rows = []
-            for doc_id, ids in zip(batch.column(0).to_pylist(), encoder.encode(texts(batch.column(1)))):
+            for doc_id, ids in zip(batch.column(0).to_pylist(), encoder.encode_column(batch.column(1))):
                 ids += end
                 for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at : at + 4 * capacity]

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.functions import arrow_udf
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
-from pixelweave.llm.text import SPACES, texts, words_of
+from pixelweave.llm.text import SPACES, few_texts, words_of
 
 # Fixed values of the base check.
 SYMBOLS = "#*$%&|<>"
@@ -89,7 +89,7 @@ def describe(text: str) -> tuple[int, ...]:
 
 
 def _counts(batch: pa.Array) -> dict[str, np.ndarray]:
-    rows = [describe(t) for t in texts(batch)]
+    rows = [describe(t) for part in few_texts(batch) for t in part]
     table = np.array(rows, np.int64).reshape(len(rows), len(_FEATURES))
     return dict(zip(_FEATURES, table.T))
 

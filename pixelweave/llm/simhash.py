@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.functions import arrow_udf
 from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
-from pixelweave.llm.text import texts
+from pixelweave.llm.text import few_texts
 from pixelweave.workspace import materialize
 
 # Fixed value: seed of XXH64.
@@ -86,7 +86,7 @@ def fingerprints(shingle: int):
     @arrow_udf(LongType())
     def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            yield pa.array([fingerprint(t, shingle) for t in texts(batch)], pa.int64())
+            yield pa.array([fingerprint(t, shingle) for part in few_texts(batch) for t in part], pa.int64())
 
     return of
 

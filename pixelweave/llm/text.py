@@ -8,7 +8,7 @@ import re
 import struct
 import sys
 import types
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +27,12 @@ def texts(column: pa.Array) -> list[str]:
     return [t if t is not None else "" for t in column.to_pylist()]
 
 
+def few_texts(column: pa.Array, rows: int = 500) -> Iterator[list[str]]:
+    """``texts`` of some rows at a time, so that a worker holds no batch twice."""
+    for first in range(0, len(column), rows):
+        yield texts(column.slice(first, rows))
+
+
 def first_of_each(batch: pa.RecordBatch, columns: Sequence[str], seen: set[tuple]) -> pa.RecordBatch:
     """The rows whose values in ``columns`` are not in ``seen`` yet, which learns them. For few
     distinct values."""
@@ -82,10 +88,11 @@ class Encoder:
     spans a blank, a line end or the place between a word and its closing marks, and a text's ids are the
     ids of the pieces between these in order. Each distinct piece is encoded once by the
     library and kept for the worker's life; the cache starts anew when it holds
-    ``CACHED_WORDS`` entries, so memory is bounded and results are not affected.
+    ``cached`` entries, so memory is bounded and results are not affected.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cached: int = CACHED_WORDS):
+        self._cached = cached
         # Spark runs a task per core already; more threads only add to the work.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -96,13 +103,18 @@ class Encoder:
             holder.tokenizer = Tokenizer.from_file(path)
         self._held = holder
 
+    def encode_column(self, column: pa.Array) -> Iterator[bytes]:
+        """Ids of every text of a column; null counts as empty."""
+        for part in few_texts(column):
+            yield from self.encode(part)
+
     def encode(self, batch: Sequence[str]) -> Iterable[bytes]:
         """Ids of every text of a batch."""
         held = self._held
         for first in range(0, len(batch), 500):
             part = batch[first : first + 500]
             pieces = [_MARKS.sub(r" \g<0>", t).replace("\n", " ").split(" ") for t in part]
-            if len(held.words) > CACHED_WORDS:
+            if len(held.words) > self._cached:
                 held.words = {}
             yield from self._encoded(pieces)
 
