@@ -25,6 +25,7 @@ table gives an empty result; extra columns are ignored.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,16 +42,16 @@ UNSEEN = 0.5
 # Documents of a block, and buckets per shuffle partition.
 BLOCK = 3_000
 BUCKETS_PER_PARTITION = 4
+# Documents of a block that are scored at a time.
+_TOGETHER = 250
 
 
-def _hashes(text: bytes, known: dict[bytes, int]) -> np.ndarray:
-    """Hash of every word of a text, an even number; ``known`` is a cache."""
-    import xxhash
+class _Places(dict):
+    """Number of every word met, in the order of first sight."""
 
-    words = text.lower().split()  # lowers A-Z only
-    for word in set(words).difference(known):
-        known[word] = xxhash.xxh64_intdigest(word, 1) & ~1
-    return np.array([known[w] for w in words], np.uint64)
+    def __missing__(self, word: bytes) -> int:
+        self[word] = place = len(self)
+        return place
 
 
 def _pairs(words: np.ndarray) -> np.ndarray:
@@ -61,31 +62,47 @@ def _pairs(words: np.ndarray) -> np.ndarray:
 
 
 class _Block:
-    """Words and pairs of a block's documents.
+    """Words and pairs of a block's documents, one after the other.
 
-    ``grams`` are the distinct words and then the distinct pairs with their ``counts``; in
-    ``order`` they stand by bucket, and bucket ``used[i]`` begins at ``starts[i]`` there.
+    ``at`` is the place of every word among the block's distinct ones, whose hashes are even
+    numbers; document i's words are those from ``ends[i]`` to ``ends[i + 1]``. ``grams`` are the
+    distinct words and then the distinct pairs with their ``counts``; in ``order`` they stand by
+    bucket, and bucket ``used[i]`` begins at ``starts[i]`` there.
     """
 
     def __init__(self, documents: list[bytes], n_buckets: int):
-        known: dict[bytes, int] = {}
-        self.words = [_hashes(t, known) for t in documents]
+        import xxhash
+
+        known, found = _Places(), []
+        for text in documents:
+            words = text.lower().split()  # lowers A-Z only
+            found.append(np.fromiter(map(known.__getitem__, words), np.int32, len(words)))
+        self.ends = np.cumsum([0, *map(len, found)])
+        hashes = np.fromiter((xxhash.xxh64_intdigest(w, 1) for w in known), np.uint64, len(known))
         del known
-        self.pairs = [_pairs(w) for w in self.words]
-        parts = [
-            np.unique(np.concatenate(x) if x else np.empty(0, np.uint64), return_counts=True)
-            for x in (self.words, self.pairs)
-        ]
-        self.n_words = len(parts[0][0])
-        self.grams, self.counts = (np.concatenate(x) for x in zip(*parts))
+        words, rank = np.unique(hashes & ~np.uint64(1), return_inverse=True)
+        self.at = rank[np.concatenate(found)] if found else np.empty(0, np.int64)
+        del found
+        self.n_words = len(words)
+        pairs, n = np.unique(_pairs(words[self.at])[self.later(0, len(documents)) - 1], return_counts=True)
+        self.grams = np.concatenate([words, pairs])
+        self.counts = np.concatenate([np.bincount(self.at, minlength=len(words)), n])
         bucket = (self.grams >> np.uint64(20)) % np.uint64(n_buckets)
         self.order = np.argsort(bucket, kind="stable")
         self.used, self.starts = np.unique(bucket[self.order], return_index=True)
 
+    def later(self, first: int, last: int) -> np.ndarray:
+        """Places of the words of documents ``first`` to ``last`` that have one before them in
+        their document, counted from where these documents begin."""
+        begin = self.ends[first : last + 1] - self.ends[first]
+        follows = np.ones(begin[-1], bool)
+        follows[begin[:-1][begin[:-1] < begin[-1]]] = False
+        return np.flatnonzero(follows)
 
-def _own(grams: np.ndarray) -> np.ndarray:
-    """How often each entry's value occurs among the entries."""
-    _, place, n = np.unique(grams, return_inverse=True, return_counts=True)
+
+def _own(documents: np.ndarray, grams: np.ndarray, n_grams: int) -> np.ndarray:
+    """How often each entry's gram, a number below ``n_grams``, occurs in the entry's document."""
+    _, place, n = np.unique(documents * n_grams + grams, return_inverse=True, return_counts=True)
     return n[place]
 
 
@@ -94,20 +111,21 @@ def _scores(block: _Block, totals: np.ndarray, n_corpus: int) -> list[float | No
     words, pairs = block.grams[: block.n_words], block.grams[block.n_words :]
     word_total, pair_total = totals[: block.n_words], totals[block.n_words :]
     found: list[float | None] = []
-    for w, p in zip(block.words, block.pairs):
-        if not len(w):
-            found.append(None)
-            continue
-        others = n_corpus - len(w)
-        c_word = word_total[np.searchsorted(words, w)] - _own(w)
-        share = np.maximum(c_word, UNSEEN) / max(others, 1)
+    for first in range(0, len(block.ends) - 1, _TOGETHER):
+        last = min(first + _TOGETHER, len(block.ends) - 1)
+        ends = block.ends[first : last + 1]
+        sizes = np.diff(ends)
+        at, document = block.at[ends[0] : ends[-1]], np.repeat(np.arange(last - first), sizes)
+        c_word = word_total[at] - _own(document, at, block.n_words)
+        share = np.maximum(c_word, UNSEEN) / np.maximum(n_corpus - sizes, 1)[document]
         score = np.log(share)
-        if len(p):
-            c_pair = pair_total[np.searchsorted(pairs, p)] - _own(p)
-            seen = c_pair > 0
-            backed = np.log(BACKOFF * share[1:])
-            score[1:] = np.where(seen, np.log(np.maximum(c_pair, 1) / np.maximum(c_word[:-1], 1)), backed)
-        found.append(float(score.mean()))
+        later = block.later(first, last)
+        distinct, own = np.unique(_pairs(words[at])[later - 1], return_inverse=True)
+        c_pair = pair_total[np.searchsorted(pairs, distinct)][own] - _own(document[later], own, len(distinct))
+        seen = np.log(np.maximum(c_pair, 1) / np.maximum(c_word[later - 1], 1))
+        score[later] = np.where(c_pair > 0, seen, np.log(BACKOFF * share[later]))
+        for a, b in itertools.pairwise((ends - ends[0]).tolist()):
+            found.append(float(score[a:b].mean()) if b > a else None)
     return found
 
 
@@ -203,7 +221,7 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
             totals[at] = found.values.to_numpy()
         return pa.table({
             "doc_id": pa.array(ids, pa.int64()),
-            "n_words": pa.array([len(w) for w in block.words], pa.int64()),
+            "n_words": pa.array(np.diff(block.ends), pa.int64()),
             "score": pa.array(_scores(block, totals, n_corpus), pa.float64()),
         })
 

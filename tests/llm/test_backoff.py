@@ -3,6 +3,7 @@
 import math
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from pixelweave.llm import backoff
@@ -67,3 +68,14 @@ def test_ngrams_cross_the_network_once(spark):
     exchanges = [line for line in plan.splitlines() if " Exchange " in line]
     assert len([x for x in exchanges if "hashpartitioning(bucket" in x]) == 1
     assert not [x for x in exchanges if "gram" in x]
+
+
+def test_documents_are_scored_together(monkeypatch):
+    """A block's documents take a few array operations together, not some each."""
+    documents = [b"a b c"] * 1_000
+    block = backoff._Block(documents, 8)
+    calls, unique = [], np.unique
+    monkeypatch.setattr(np, "unique", lambda *a, **b: calls.append(1) or unique(*a, **b))
+    found = backoff._scores(block, block.counts, 3_000)
+    assert len(set(found)) == 1 and len(found) == 1_000
+    assert len(calls) <= 20
